@@ -27,8 +27,7 @@ _DENSE = f"""{_CDC}, dense as (
 )"""
 
 _GAPPED = f"""{_DENSE}, gapped as (
-  select *, row_number() over (partition by part order by "offset") as rank
-  from dense where "offset" % 50 <> 0
+  select * replace ("offset" + "offset" // 49 as "offset"), "offset" + 1 as rank from dense
 )"""
 
 _IMAGE = """case when {0}_id is not null
@@ -182,7 +181,7 @@ select strftime(ts, '%Y-%m-%d--%H') as bucket, op, before_id, after_id from cdc"
     "append_only_guard": f"with {_LOG} select seq, id, actor, alias from log where row_kind = '+I'",
     "partition_commit": _published("max(ts)"),
     "insert_select": f"with {_BASE} select actor as name, id from base",
-    "insert_overwrite": f"with {_BASE} select id, actor as name from base where id % 4 = 0",
+    "insert_overwrite": f"with {_BASE} select id, alias as name from base",
     "text_append": f"""with {_BASE}
 select id || chr(9) || 'name' || id as line from base, range(2)""",
     "drop_partition": """select event_id, strftime(ts, '%Y%m%d') as ts_date from events
@@ -205,5 +204,5 @@ union all select id, actor, alias from last where row_kind <> '-D'""",
     "job_jdbc_insert_if_absent": f"""with {_BASE}
 select * from base union all
 select cast(c_custkey as int), 'from database ' || c_name, c_mktsegment from customer
-where c_custkey % 2 <> 0""",
+where c_custkey not in (select id from base)""",
 }

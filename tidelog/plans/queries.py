@@ -76,7 +76,7 @@ def jdbc_scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "cdc_feed")
-    fx.envelope_records(spark, sf_dir).write.parquet(f"{folder}/feed")
+    _write_feed(fx.envelope_records(spark, sf_dir), "offset", f"{folder}/feed")
     stream = feeds.decoded_changes(feeds.file_feed(spark, f"{folder}/feed"))
     files.start_parquet(stream, f"{folder}/out", f"{folder}/cp", None).awaitTermination()
     return _flat(spark.read.parquet(f"{folder}/out"))
@@ -97,7 +97,7 @@ def start_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def start_after_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = fx.dense_records(spark, sf_dir)
-    start = {0: 100, 1: 50, 2: 0}
+    start = {0: 100, 1: 50}
     return feeds.after_offsets(records, start).select("partition", "offset")
 
 
@@ -274,7 +274,7 @@ def parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rolling_text_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "rolling_text")
-    fx.envelope_records(spark, sf_dir).write.parquet(f"{folder}/feed")
+    _write_feed(fx.envelope_records(spark, sf_dir), "offset", f"{folder}/feed")
     stream = feeds.file_feed(spark, f"{folder}/feed")
     query = files.start_rolling_text(
         stream, codecs.text(F.col("value")), f"{folder}/out", f"{folder}/cp",
@@ -350,9 +350,9 @@ def insert_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 def insert_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, view = _name("overwritten"), _name("source_table")
     tables.create_table(spark, table, schemas.LINE, scratch_dir(spark, "insert_overwrite"))
-    base = fx.demo_base(spark, sf_dir).select("id", F.col("actor").alias("name"))
-    tables.insert(base, table)
-    base.where("id % 4 = 0").createOrReplaceTempView(view)
+    base = fx.demo_base(spark, sf_dir)
+    tables.insert(base.select("id", F.col("actor").alias("name")), table)
+    base.select("id", F.col("alias").alias("name")).createOrReplaceTempView(view)
     tables.insert_select(spark, table, f"SELECT id, name FROM {view}", overwrite=True)
     return spark.table(table)
 
@@ -397,6 +397,12 @@ def sql_script(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streaming
 
 
+def _write_feed(feed: DataFrame, order: str, path: str) -> None:
+    """Add a feed's records to a folder, in as many files as the session runs tasks."""
+    tasks = feed.sparkSession.sparkContext.defaultParallelism
+    feed.repartitionByRange(tasks, order).write.mode("append").parquet(path)
+
+
 def _in_rounds(
     feed: DataFrame, order: str, rounds: int, path: str, run: Callable[[], None]
 ) -> None:
@@ -404,7 +410,7 @@ def _in_rounds(
     cuts = fx.cut_points(feed, order, rounds)
     for low, high in zip(cuts, cuts[1:]):
         part = feed.where((F.col(order) >= low) & (F.col(order) < high))
-        part.write.mode("append").parquet(path)
+        _write_feed(part, order, path)
         run()
 
 
@@ -487,7 +493,7 @@ def resequenced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "job_changelog")
-    fx.envelope_records(spark, sf_dir).write.parquet(f"{folder}/feed")
+    _write_feed(fx.envelope_records(spark, sf_dir), "offset", f"{folder}/feed")
     feed = feeds.file_feed(spark, f"{folder}/feed")
     jobs.changelog_job(feed, f"{folder}/out", f"{folder}/cp").awaitTermination()
     return spark.read.parquet(f"{folder}/out")
@@ -502,7 +508,7 @@ def job_jdbc_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_image_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "job_image_log")
-    fx.envelope_records(spark, sf_dir).write.parquet(f"{folder}/feed")
+    _write_feed(fx.envelope_records(spark, sf_dir), "offset", f"{folder}/feed")
     feed = feeds.file_feed(spark, f"{folder}/feed")
     jobs.image_log_job(
         feed, f"{folder}/out", f"{folder}/cp", F.col("timestamp")

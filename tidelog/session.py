@@ -21,6 +21,7 @@ def local_session(app: str = "tidelog", cores: str = "8", **conf: str) -> SparkS
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "4k")
         .config("spark.sql.session.timeZone", "UTC")
     )
     for key, value in conf.items():

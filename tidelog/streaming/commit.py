@@ -10,10 +10,12 @@ published publish it again, whole, and the ledger marks it late.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog import storage
@@ -56,13 +58,13 @@ class PartitionCommitter:
             return self.spark.createDataFrame([], LEDGER)
         return self.spark.read.schema(LEDGER).parquet(f"{self.path}/ledger/batch={max(done)}")
 
-    def _stage(self, rows: DataFrame, batch: int) -> str:
-        folder = f"{self.path}/stage/batch={batch}"
-        gathered = tables.together(rows, *PARTS)
-        gathered.write.mode("overwrite").partitionBy(*PARTS).parquet(folder)
-        names = [c for c in rows.columns if c not in PARTS]
-        fields = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names]
-        return ", ".join(fields + [f"{p} string" for p in PARTS])
+    def _stage(self, rows: DataFrame, batch: int) -> T.StructType:
+        rows.write.mode("overwrite").parquet(f"{self.path}/stage/batch={batch}")
+        return rows.schema
+
+    def _staged(self, batches: Iterable[int], schema: T.StructType) -> DataFrame:
+        folders = [f"{self.path}/stage/batch={n}" for n in batches]
+        return self.spark.read.schema(schema).parquet(*folders)
 
     def _extend_ledger(self, arrived: DataFrame, batch: int) -> DataFrame:
         """Write and return the batch's ledger: arrivals added, complete partitions marked."""
@@ -99,26 +101,42 @@ class PartitionCommitter:
         """Stage one batch, then publish what its event time completes."""
         parts = list(PARTS)
         schema = self._stage(rows, batch)
-        staged = self.spark.read.schema(schema).parquet(f"{self.path}/stage/batch={batch}")
-        arrived = staged.groupBy(*parts).agg(F.max(event_time).alias("arrived_top"))
+        arrived = self._staged([batch], schema).groupBy(*parts).agg(
+            F.max(event_time).alias("arrived_top")
+        )
         ready = self._extend_ledger(arrived, batch).where(F.col("published_in") == batch)
-
-        # Batch numbers and, below, folder names: metadata of what this batch completes.
         sources = ready.select(F.explode("batches").alias("n")).distinct().collect()
         if sources:
-            folders = [f"{self.path}/stage/batch={row['n']}" for row in sources]
-            base = f"{self.path}/stage"
-            pieces = self.spark.read.schema(schema).option("basePath", base).parquet(*folders)
-            complete = pieces.join(ready.select(*parts), parts, "left_semi")
-            target = self.spark.table(self.table).columns
-            tables.together(complete.select(*target), *parts).write.option(
-                "partitionOverwriteMode", "dynamic"
-            ).insertInto(self.table, overwrite=True)
-            for row in ready.select(*parts).toLocalIterator():
-                folder = "/".join(f"{p}={row[p]}" for p in parts)
-                storage.touch(self.spark, f"{self.location}/{folder}/_SUCCESS")
+            pieces = self._staged([row["n"] for row in sources], schema)
+            self._publish(pieces.join(ready.select(*parts), parts, "left_semi"))
+            # Names of the partitions this batch completed: catalog metadata, not rows.
+            self._announce([tuple(row) for row in ready.select(*parts).toLocalIterator()])
         storage.touch(self.spark, f"{self.path}/done/{batch}")
 
+    def _publish(self, rows: DataFrame) -> None:
+        """Replace the partitions ``rows`` belong to, and no others."""
+        columns = self.spark.table(self.table).columns
+        writer = tables.together(rows.select(*columns), *PARTS).write.mode("overwrite")
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS)
+        writer.parquet(self.location)
+
+    def _announce(self, partitions: Sequence[tuple[str, ...]], at_once: int = 200) -> None:
+        """Write success files and add the partitions to the catalog."""
+
+        def mark(values: tuple[str, ...]) -> None:
+            folder = "/".join(f"{p}={v}" for p, v in zip(PARTS, values))
+            storage.touch(self.spark, f"{self.location}/{folder}/_SUCCESS")
+
+        with ThreadPoolExecutor(8) as pool:
+            list(pool.map(mark, partitions))
+        for start in range(0, len(partitions), at_once):
+            specs = " ".join(
+                "PARTITION (" + ", ".join(f"{p}='{v}'" for p, v in zip(PARTS, values)) + ")"
+                for values in partitions[start : start + at_once]
+            )
+            self.spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS {specs}")
+        self.spark.catalog.refreshTable(self.table)
+
     def published(self) -> DataFrame:
         """The partitions readers may rely on."""
         known = self.ledger().where(F.col("published_in").isNotNull())
