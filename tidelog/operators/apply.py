@@ -94,25 +94,27 @@ def reduce_changes(
     steps = _steps(changes, keys, apply_reads, on_missing_before, on_truncate, on_unknown_op)
     delete_q = F.when(F.col("is_delete"), F.col("q"))
 
+    last, q = F.col("last_delete"), F.col("q")
+
     def collapse(df: DataFrame) -> DataFrame:
-        last, q = F.col("last_delete"), F.col("q")
         live = ~F.col("is_delete") & (last.isNull() | (q > last))
         return df.groupBy(*keys).agg(
             F.max(last.isNotNull()).alias("had_delete"),
             F.min_by("row", F.when(live, q)).alias("row"),
         )
 
-    def within_key(df: DataFrame) -> DataFrame:
-        return df.withColumn("last_delete", F.max(delete_q).over(Window.partitionBy(*keys)))
-
+    within_key = F.max(delete_q).over(Window.partitionBy(*keys))
     if hot_rows is None:
-        return collapse(within_key(steps))
+        return collapse(steps.withColumn("last_delete", within_key))
     hot = skew.hot_keys(steps, keys, F.max(delete_q).alias("last_delete"), min_rows=hot_rows)
-    hot = F.broadcast(hot.select(*keys, "last_delete"))
-    cold_part = within_key(steps.join(hot.select(*keys), keys, "left_anti"))
-    last, q = F.col("last_delete"), F.col("q")
-    hot_part = steps.join(hot, keys).where(
-        last.isNull() | (q == last) | (~F.col("is_delete") & (q > last))
+    # One join shape for both parts, so Spark finds the hot keys once. When there are
+    # none, adaptive execution drops the join and the hot part.
+    marked = steps.join(F.broadcast(hot), keys, "left")
+    cold_part = marked.where(F.col("hot_rows").isNull())
+    cold_part = cold_part.withColumn("last_delete", F.coalesce(within_key, last))
+    hot_part = marked.where(
+        F.col("hot_rows").isNotNull()
+        & (last.isNull() | (q == last) | (~F.col("is_delete") & (q > last)))
     )
     return collapse(cold_part).unionByName(collapse(hot_part))
 

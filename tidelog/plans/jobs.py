@@ -21,7 +21,7 @@ from tidelog.operators import apply, changelog
 from tidelog.sinks import files, tables
 from tidelog.sinks.store import KeyedStore
 from tidelog.sources import feeds, jdbc
-from tidelog.streaming.apply import start_upserts
+from tidelog.streaming.apply import start_apply_changes, start_upserts
 from tidelog.streaming.commit import PARTS, PartitionCommitter
 
 
@@ -112,6 +112,14 @@ def cdc_upsert_job(
     return start_upserts(topic_rows(topic), store, checkpoint, trigger, deletes=True)
 
 
+def cdc_apply_job(
+    records: DataFrame, store: KeyedStore, checkpoint: str, trigger: str | None = None, **options
+) -> StreamingQuery:
+    """Change feed straight to a table: decode envelopes, then apply them by key."""
+    changes = feeds.decoded_changes(records)
+    return start_apply_changes(changes, store, checkpoint, trigger, **options)
+
+
 def partitioned_table_job(
     topic: DataFrame,
     image: T.StructType,

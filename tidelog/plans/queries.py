@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from tidelog.sinks import files, script, tables
 from tidelog.sinks.store import KeyedStore
 from tidelog.sources import feeds, jdbc
 from tidelog.sources import files as file_sources
-from tidelog.streaming.apply import start_apply_changes, start_upserts
+from tidelog.streaming.apply import start_upserts
 from tidelog.streaming.commit import PARTS, PartitionCommitter, start_partition_commit
 from tidelog.streaming.resequence import resequence_stream
 
@@ -397,6 +398,19 @@ def sql_script(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streaming
 
 
+@contextmanager
+def _local_state_partitions(spark: SparkSession):
+    """On one machine, as many state partitions as cores; a cluster keeps its setting."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if is_local(spark):
+        spark.conf.set(name, min(int(before), spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _write_feed(feed: DataFrame, order: str, path: str) -> None:
     """Add a feed's records to a folder, in as many files as the session runs tasks."""
     tasks = feed.sparkSession.sparkContext.defaultParallelism
@@ -426,8 +440,8 @@ def _applied_in_rounds(spark: SparkSession, sf_dir: str, label: str, rounds: int
     feed = fx.envelope_records(spark, sf_dir)
 
     def run() -> None:
-        stream = feeds.decoded_changes(feeds.file_feed(spark, f"{folder}/feed"))
-        start_apply_changes(stream, store, f"{folder}/cp", None).awaitTermination()
+        records = feeds.file_feed(spark, f"{folder}/feed")
+        jobs.cdc_apply_job(records, store, f"{folder}/cp").awaitTermination()
 
     _in_rounds(feed, "offset", rounds, f"{folder}/feed", run)
     return store.read()
@@ -476,7 +490,9 @@ def resequenced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run() -> None:
         stream = feeds.file_feed(spark, f"{folder}/feed", records.schema)
         ordered = resequence_stream(stream)
-        files.start_parquet(ordered, f"{folder}/out", f"{folder}/cp", None).awaitTermination()
+        with _local_state_partitions(spark):
+            query = files.start_parquet(ordered, f"{folder}/out", f"{folder}/cp", None)
+            query.awaitTermination()
 
     for turn in range(3):
         part = records.where(F.col("offset") % 3 == turn)

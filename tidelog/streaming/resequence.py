@@ -90,8 +90,18 @@ def resequence_stream(
             table.insert(1, "partition", partition)
             yield table
 
+    def drop_copies(batches):
+        # Before the shuffle, so copies of one record do not pile up in one task.
+        import pyarrow as pa
+
+        for batch in batches:
+            copies = batch.select(["topic", "partition", "offset"]).to_pandas().duplicated()
+            yield batch.filter(pa.array(~copies))
+
+    slim = records.select("topic", "partition", "offset", "value", arrival)
     keyed = (
-        records.withWatermark(arrival, max_wait)
+        slim.mapInArrow(drop_copies, slim.schema)
+        .withWatermark(arrival, max_wait)
         .withColumn("segment", F.expr(f"offset div {segment}"))
         .withColumn("arrival_ms", F.unix_millis(arrival))
         .select("topic", "partition", "segment", "offset", "value", "arrival_ms", arrival)
