@@ -43,7 +43,10 @@ def delimited(line: Column, schema: T.StructType = schemas.LINE, sep: str = ",")
     columns = []
     for at, field in enumerate(schema.fields):
         raw = parts.getItem(at)
-        value = raw if isinstance(field.dataType, T.StringType) else raw.cast(field.dataType)
+        value = raw
+        if not isinstance(field.dataType, T.StringType):
+            padded = F.raise_error(F.concat(F.lit("blanks around a value in line: "), line))
+            value = F.when(raw.rlike(r"^\s|\s$"), padded).otherwise(raw.cast(field.dataType))
         short = F.size(parts) <= at
         columns.append(
             F.when(line.isNull(), F.lit(None))
