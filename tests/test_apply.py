@@ -128,15 +128,33 @@ def random_upserts(seed, n=300, tombstones=True):
 @pytest.mark.parametrize("few", [False, True])
 def test_upsert_with_deletes_equals_fold(spark, few):
     rows = random_upserts(1)
-    latest = apply.latest_upserts(frame(spark, rows, UPSERTS), KEYS, "row", "seq")
-    got = apply.merge_upserts(base(spark), latest, KEYS, deletes=True, few=few)
-    assert as_table(got) == fold_upserts(BASE, [r[1:] for r in rows])
+    want = fold_upserts(BASE, [r[1:] for r in rows])
+    df = frame(spark, rows, UPSERTS)
+    assert as_table(apply.upsert(base(spark), df, KEYS, deletes=True)) == want
+    reduced = apply.reduce_upserts(df, KEYS, deletes=True)
+    assert as_table(apply.merge_changes(base(spark), reduced, KEYS, few=few)) == want
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_combined_reductions_equal_one(spark, seed):
+    changes = random_changes(seed, n=200, ids=40)
+    want = fold_changes(BASE, [c[1:] for c in changes])
+    parts = None
+    for version, low in enumerate(range(0, 200, 20)):
+        part = apply.reduce_changes(
+            frame(spark, changes[low : low + 20], CHANGES), KEYS, hot_rows=None
+        ).withColumn("v", F.lit(version))
+        parts = part if parts is None else parts.unionByName(part)
+    combined = apply.combine_reduced(parts, KEYS, "v")
+    assert as_table(apply.merge_changes(base(spark), combined, KEYS)) == want
 
 
 def test_plain_upsert_refuses_tombstones(spark):
     rows = frame(spark, [(1, 3, None)], UPSERTS)
     with pytest.raises(PySparkException):
         apply.upsert(base(spark), rows, KEYS).collect()
+    with pytest.raises(PySparkException):
+        apply.reduce_upserts(rows, KEYS).collect()
 
 
 def test_upsert_widens_to_target(spark):

@@ -20,24 +20,21 @@ from tidelog.streaming.resequence import resequence_stream
 KEYS = ["id"]
 
 
-def new_store(spark, folder, buckets=4):
-    store = KeyedStore(spark, f"{folder}/store", schemas.DEMO, KEYS, buckets)
+def new_store(spark, folder, buckets=4, **options):
+    store = KeyedStore(spark, f"{folder}/store", schemas.DEMO, KEYS, buckets, **options)
     store.create(base(spark))
     return store
 
 
-def merge(target, reduced, keys, few):
-    return apply.merge_changes(target, reduced, keys, few=few)
-
-
 def run_stream(spark, folder, store, schema):
     stream = feeds.file_feed(spark, f"{folder}/feed", schema)
     start_apply_changes(stream, store, f"{folder}/cp", None).awaitTermination()
 
 
-def test_stream_equals_fold_and_replay_is_harmless(spark, folder):
+@pytest.mark.parametrize("merge_share", [0.1, 1000])
+def test_stream_equals_fold_and_replay_is_harmless(spark, folder, merge_share):
     changes = random_changes(11, n=300)
-    store = new_store(spark, folder)
+    store = new_store(spark, folder, merge_share=merge_share)
     rng = random.Random(1)
     cuts = [0, *sorted(rng.sample(range(1, 300), 2)), 300]
     schema = T.StructType.fromDDL(CHANGES)
@@ -58,47 +55,64 @@ def test_stream_equals_fold_and_replay_is_harmless(spark, folder):
 def test_half_written_commit_is_ignored(spark, folder):
     store = new_store(spark, folder)
     reduced = apply.reduce_changes(frame(spark, random_changes(2), CHANGES), KEYS)
-    base(spark, {}).write.parquet(f"{folder}/store/data/v=2/bucket=0")
+    base(spark, {}).write.parquet(f"{folder}/store/delta/v=2")
+    base(spark, {}).write.parquet(f"{folder}/store/base/v=3/bucket=0")
     assert as_table(store.read()) == BASE
-    store.commit(reduced, merge, "feed", 0)
+    store.commit(reduced, "feed", 0)
     want = fold_changes(BASE, [c[1:] for c in random_changes(2)])
     assert as_table(store.read()) == want
-    store.commit(reduced, merge, "feed", 0)
-    assert store.manifest().version == 2
+    store.commit(reduced, "feed", 0)
+    assert store.manifest().version == 3 and not store.manifest().deltas
     assert as_table(store.read_before("feed", 0)) == BASE
     assert as_table(store.read_before("feed", 1)) == want
 
 
-def test_large_commit_path(spark, folder, monkeypatch):
+def test_large_merge_writes_one_file_per_bucket(spark, folder, monkeypatch):
     monkeypatch.setattr("tidelog.sinks.store.FEW_KEYS", 0)
     store = new_store(spark, folder)
     changes = random_changes(8)
-    store.commit(apply.reduce_changes(frame(spark, changes, CHANGES), KEYS), merge)
+    store.commit(apply.reduce_changes(frame(spark, changes, CHANGES), KEYS))
     assert as_table(store.read()) == fold_changes(BASE, [c[1:] for c in changes])
-    names = storage.list_names(spark, f"{folder}/store/data/v=2")
-    for name in [n for n in names if n.startswith("bucket=")]:
-        parts = storage.list_names(spark, f"{folder}/store/data/v=2/{name}")
+    for bucket, version in store.manifest().buckets.items():
+        parts = storage.list_names(spark, f"{folder}/store/base/v={version}/bucket={bucket}")
         assert len([p for p in parts if p.endswith(".parquet")]) == 1
 
 
-def test_untouched_buckets_stay_and_vacuum_keeps_them(spark, folder):
-    store = new_store(spark, folder, buckets=16)
-    for batch in range(4):
-        change = [(batch, "c", None, {"id": 1 + 2 * batch, "actor": "n", "alias": None})]
-        reduced = apply.reduce_changes(frame(spark, change, CHANGES), KEYS)
-        store.commit(reduced, merge, "feed", batch)
-    before = as_table(store.read())
-    assert 1 in store.manifest().buckets.values()
+@pytest.mark.parametrize("few_keys", [0, 100])
+def test_deltas_combine_and_merge(spark, folder, monkeypatch, few_keys):
+    monkeypatch.setattr("tidelog.sinks.store.FEW_KEYS", few_keys)
+    store = new_store(spark, folder, buckets=16, merge_share=1000, max_deltas=3)
+    changes = random_changes(13, n=100, ids=30)
+    for batch, low in enumerate(range(0, 100, 20)):
+        reduced = apply.reduce_changes(frame(spark, changes[low : low + 20], CHANGES), KEYS)
+        store.commit(reduced, "feed", batch)
+        want = fold_changes(BASE, [c[1:] for c in changes[: low + 20]])
+        assert as_table(store.read()) == want
+    assert len(store.manifest().deltas) == 2
     store.vacuum(keep=1)
-    assert as_table(store.read()) == before
-    assert len(before) == len(BASE) + 4
+    assert as_table(store.read()) == want
+    store.merge_deltas()
+    assert as_table(store.read()) == want
+    assert store.manifest().base_rows == len(want) and not store.manifest().deltas
+    store.vacuum(keep=1)
+    assert as_table(store.read()) == want
+    assert storage.list_names(spark, f"{folder}/store/delta") == []
+
+
+def test_untouched_buckets_stay(spark, folder):
+    store = new_store(spark, folder, buckets=16)
+    change = [(1, "c", None, {"id": 1, "actor": "n", "alias": None})]
+    store.commit(apply.reduce_changes(frame(spark, change, CHANGES), KEYS))
+    assert set(store.manifest().buckets.values()) == {1, 3}
+    assert len(as_table(store.read())) == len(BASE) + 1
 
 
 def test_store_can_become_empty(spark, folder):
     store = new_store(spark, folder)
     drops = [(i, "d", {"id": k, "actor": None, "alias": None}, None) for i, k in enumerate(BASE)]
-    store.commit(apply.reduce_changes(frame(spark, drops, CHANGES), KEYS), merge)
+    store.commit(apply.reduce_changes(frame(spark, drops, CHANGES), KEYS))
     assert store.read().count() == 0 and store.manifest().buckets == {}
+    assert store.manifest().base_rows == 0
 
 
 def arrive(spark, folder, rows):

@@ -164,23 +164,40 @@ def latest_upserts(upserts: DataFrame, keys: Sequence[str], row: str, seq: str)
     return upserts.groupBy(*keys).agg(F.max_by(row, seq).alias("row"))
 
 
-def merge_upserts(
-    target: DataFrame,
-    latest: DataFrame,
+def _no_tombstones(latest: DataFrame) -> DataFrame:
+    return latest.withColumn(
+        "row", F.coalesce("row", _fail("a NULL row, which deletes, without deletes=True"))
+    )
+
+
+def reduce_upserts(
+    upserts: DataFrame,
     keys: Sequence[str],
+    row: str = "row",
+    seq: str = "seq",
     deletes: bool = False,
-    few: bool = False,
 ) -> DataFrame:
-    """The target after the last row of each key; NULL rows delete when ``deletes`` is on."""
-    keys = list(keys)
-    touched = latest.select(*keys)
-    kept = target.join(F.broadcast(touched) if few else touched, keys, "left_anti")
-    row = F.col("row")
-    if deletes:
-        rows = latest.where(row.isNotNull())
-    else:
-        rows = latest.withColumn("row", F.coalesce(row, _fail("a NULL row without deletes=True")))
-    return kept.unionByName(rows.select(_as_target(F.col("row"), target).alias("row")).select("row.*"))
+    """Upserts in the form of ``reduce_changes``: each replaces whatever its key held."""
+    latest = latest_upserts(upserts, keys, row, seq)
+    latest = latest if deletes else _no_tombstones(latest)
+    return latest.select(*keys, F.lit(True).alias("had_delete"), "row")
+
+
+def combine_reduced(reduced: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
+    """Several reductions, applied in order of ``version``, as one.
+
+    A key has at most one row per version, so the window over a key is small.
+    """
+    last = F.max(F.when(F.col("had_delete"), F.col(version))).over(Window.partitionBy(*keys))
+    live = F.col("row").isNotNull() & (F.col("last").isNull() | (F.col(version) >= F.col("last")))
+    return (
+        reduced.withColumn("last", last)
+        .groupBy(*keys)
+        .agg(
+            F.max("had_delete").alias("had_delete"),
+            F.min_by("row", F.when(live, F.col(version))).alias("row"),
+        )
+    )
 
 
 def upsert(
@@ -191,8 +208,17 @@ def upsert(
     seq: str = "seq",
     deletes: bool = False,
 ) -> DataFrame:
-    """Update rows whose key exists, insert the others; the last write wins."""
-    return merge_upserts(target, latest_upserts(upserts, keys, row, seq), keys, deletes)
+    """Update rows whose key exists, insert the others; the last write wins.
+
+    With ``deletes`` a NULL row deletes; without, it fails.
+    """
+    keys = list(keys)
+    latest = latest_upserts(upserts, keys, row, seq)
+    kept = target.join(latest.select(*keys), keys, "left_anti")
+    rows = latest.where(F.col("row").isNotNull()) if deletes else _no_tombstones(latest)
+    return kept.unionByName(
+        rows.select(_as_target(F.col("row"), target).alias("row")).select("row.*")
+    )
 
 
 def insert_if_absent(

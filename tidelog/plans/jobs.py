@@ -138,9 +138,14 @@ def partitioned_table_job(
     def land(batch: DataFrame, number: int) -> None:
         feed = json.loads(storage.read_text(state.spark, f"{checkpoint}/metadata"))["id"]
         upserts = topic_rows(batch, image)
-        log = changelog.upsert_changelog(
-            upserts, schemas.KEYS, "row", "seq", table=state.read_before(feed, number)
+        # Only the keys seen so far matter, so only they are read.
+        seen = state.read_before(feed, number).select(
+            *[
+                F.col(f.name) if f.name in state.keys else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in image.fields
+            ]
         )
+        log = changelog.upsert_changelog(upserts, state.keys, "row", "seq", table=seen)
         rows = changelog.append_only(log).withColumn(
             "event_time", F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss")
         )
@@ -150,13 +155,7 @@ def partitioned_table_job(
         )
         parts = codecs.partition_columns(F.col("create_time"))
         committer.process(codecs.widen(rows.select("*", *parts), target), "event_time", number)
-        latest = apply.latest_upserts(upserts, state.keys, "row", "seq")
-        state.commit(
-            latest,
-            lambda table, changed, keys, few: apply.merge_upserts(table, changed, keys, few=few),
-            feed,
-            number,
-        )
+        state.commit(apply.reduce_upserts(upserts, state.keys), feed, number)
 
     writer = topic.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     timed = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)

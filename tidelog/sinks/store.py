@@ -1,48 +1,65 @@
-"""A keyed table kept as plain Parquet files that streaming jobs can change in place.
+"""A keyed table kept as plain Parquet files that streaming jobs can change.
 
-Rows lie in hash buckets of their key. A commit rewrites only the buckets its changes
-touch, into a new version folder, and then publishes a manifest saying which version
-of every bucket is current; until then readers see the previous table, and a commit
-that dies half-way leaves nothing behind but a folder the next attempt overwrites.
-The manifest also records the last batch of every feed, so a replayed batch is a no-op.
+The table is a *base*, in hash buckets of the key, and a few *deltas*: changes reduced
+to one row per key. A commit writes a delta, so its cost follows the batch and not the
+table; readers merge the deltas in. When the deltas grow past a share of the base they
+are merged into it, rewriting only the buckets they touch; when there are merely many
+of them they are combined into one.
 
-One writer at a time. Where a table format with ``MERGE INTO`` is available, ``commit``
-is the one function to replace.
+Every step writes a new version folder and then publishes a manifest naming what is
+current. Until then readers see the previous table, and a step that dies half-way
+leaves only a folder the next attempt overwrites. The manifest also records the last
+batch of every feed, so a replayed batch is a no-op.
+
+One writer at a time. Where a table format with ``MERGE INTO`` is available, this class
+is the one thing to replace.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Sequence
+from dataclasses import asdict, dataclass, field, replace
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog import storage
+from tidelog.operators import apply
 
 FEW_KEYS = 100_000
 
 
-@dataclass
+@dataclass(frozen=True)
 class Manifest:
     version: int = 0
     buckets: dict[int, int] = field(default_factory=dict)
+    base_rows: int = 0
+    deltas: dict[int, int] = field(default_factory=dict)
     feeds: dict[str, int] = field(default_factory=dict)
 
+    @property
+    def delta_rows(self) -> int:
+        return sum(self.deltas.values())
+
     def to_json(self) -> str:
-        return json.dumps({"buckets": self.buckets, "feeds": self.feeds})
+        return json.dumps(asdict(self))
 
     @classmethod
-    def from_json(cls, version: int, text: str) -> Manifest:
+    def from_json(cls, text: str) -> Manifest:
         spec = json.loads(text)
-        return cls(version, {int(b): v for b, v in spec["buckets"].items()}, spec["feeds"])
+        for name in ("buckets", "deltas"):
+            spec[name] = {int(k): v for k, v in spec[name].items()}
+        return cls(**spec)
 
 
 class KeyedStore:
-    """``path/data/v=<version>/bucket=<b>`` and ``path/manifest/<version>.json``."""
+    """``base/v=<version>/bucket=<b>``, ``delta/v=<version>`` and ``manifest/<version>.json``.
+
+    ``merge_share`` is the size of the deltas, relative to the base, at which they are
+    merged; ``max_deltas`` their number at which they are combined.
+    """
 
     def __init__(
         self,
@@ -51,46 +68,89 @@ class KeyedStore:
         schema: T.StructType,
         keys: Sequence[str],
         buckets: int = 64,
+        merge_share: float = 0.1,
+        max_deltas: int = 64,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.keys = list(keys)
         self.buckets = buckets
+        self.merge_share = merge_share
+        self.max_deltas = max_deltas
+        self.delta_schema = T.StructType(
+            [schema[k] for k in self.keys]
+            + [T.StructField("had_delete", T.BooleanType()), T.StructField("row", schema)]
+        )
 
-    def _bucket(self):
-        typed = [F.col(k).cast(self.schema[k].dataType) for k in self.keys]
-        return F.pmod(F.hash(*typed), F.lit(self.buckets))
+    # Manifests
 
     def _versions(self) -> list[int]:
         names = storage.list_names(self.spark, f"{self.path}/manifest")
         return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
 
+    def _manifest_file(self, version: int) -> str:
+        return f"{self.path}/manifest/{version:012d}.json"
+
     def manifest(self, version: int | None = None) -> Manifest:
         if version is None:
             versions = self._versions()
             if not versions:
                 return Manifest()
             version = versions[-1]
-        text = storage.read_text(self.spark, f"{self.path}/manifest/{version:012d}.json")
-        return Manifest.from_json(version, text)
+        return Manifest.from_json(storage.read_text(self.spark, self._manifest_file(version)))
 
-    def _publish(self, manifest: Manifest) -> None:
-        target = f"{self.path}/manifest/{manifest.version:012d}.json"
-        storage.write_text(self.spark, target, manifest.to_json())
+    def _publish(self, manifest: Manifest) -> Manifest:
+        storage.write_text(self.spark, self._manifest_file(manifest.version), manifest.to_json())
+        return manifest
 
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/data/v={version}"
+    # Files
 
-    def _load(self, buckets: dict[int, int]) -> DataFrame:
+    def _bucket(self):
+        typed = [F.col(k).cast(self.schema[k].dataType) for k in self.keys]
+        return F.pmod(F.hash(*typed), F.lit(self.buckets))
+
+    def _base_paths(self, buckets: dict[int, int]) -> list[str]:
+        return [f"{self.path}/base/v={v}/bucket={b}" for b, v in sorted(buckets.items())]
+
+    def _base(self, buckets: dict[int, int]) -> DataFrame:
         if not buckets:
             return self.spark.createDataFrame([], self.schema)
-        paths = [f"{self._folder(v)}/bucket={b}" for b, v in sorted(buckets.items())]
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        return self.spark.read.schema(self.schema).parquet(*self._base_paths(buckets))
+
+    def _write_base(self, rows: DataFrame, version: int) -> set[int]:
+        """Write rows as a version's bucket folders; returns the buckets that hold any."""
+        folder = f"{self.path}/base/v={version}"
+        bucketed = rows.withColumn("bucket", self._bucket())
+        bucketed.write.mode("overwrite").partitionBy("bucket").parquet(folder)
+        names = storage.list_names(self.spark, folder)
+        return {int(n.split("=")[1]) for n in names if n.startswith("bucket=")}
+
+    def _deltas(self, versions: Iterable[int]) -> DataFrame:
+        folders = [f"{self.path}/delta/v={v}" for v in versions]
+        schema = T.StructType([*self.delta_schema.fields, T.StructField("v", T.LongType())])
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/delta")
+        return reader.parquet(*folders)
+
+    def _combined(self, manifest: Manifest) -> DataFrame:
+        """All deltas as one; a key has at most one row in each."""
+        rows = self._deltas(manifest.deltas)
+        if len(manifest.deltas) == 1:
+            return rows.drop("v")
+        return apply.combine_reduced(rows, self.keys, "v")
+
+    # Reading
+
+    def _read(self, manifest: Manifest) -> DataFrame:
+        base = self._base(manifest.buckets)
+        if not manifest.deltas:
+            return base
+        few = manifest.delta_rows <= FEW_KEYS
+        return apply.merge_changes(base, self._combined(manifest), self.keys, few=few)
 
     def read(self) -> DataFrame:
         """The table as of the latest commit."""
-        return self._load(self.manifest().buckets)
+        return self._read(self.manifest())
 
     def read_before(self, feed: str, batch: int) -> DataFrame:
         """The table as it was before a feed's batch, whether or not that is committed."""
@@ -98,82 +158,92 @@ class KeyedStore:
         while manifest.version > 0 and manifest.feeds.get(feed, -1) >= batch:
             earlier = [v for v in self._versions() if v < manifest.version]
             manifest = self.manifest(earlier[-1]) if earlier else Manifest()
-        return self._load(manifest.buckets)
+        return self._read(manifest)
 
-    def _write(self, rows: DataFrame, version: int) -> set[int]:
-        """Write rows as a version's bucket folders; returns the buckets that hold any."""
-        rows.withColumn("bucket", self._bucket()).write.mode("overwrite").partitionBy(
-            "bucket"
-        ).parquet(self._folder(version))
-        names = storage.list_names(self.spark, self._folder(version))
-        return {int(n.split("=")[1]) for n in names if n.startswith("bucket=")}
+    # Writing
 
     def create(self, rows: DataFrame) -> None:
         """Start the table from ``rows``; does nothing if it exists."""
         if self._versions():
             return
         typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
-        held = self._write(typed.repartition(self.buckets, *self.keys), 1)
-        self._publish(Manifest(1, dict.fromkeys(held, 1), {}))
+        held = self._write_base(typed.repartition(self.buckets, *self.keys), 1)
+        buckets = dict.fromkeys(held, 1)
+        self._publish(Manifest(1, buckets, self._base(buckets).count()))
 
-    def commit(
-        self,
-        reduced: DataFrame,
-        merge: Callable[[DataFrame, DataFrame, list[str], bool], DataFrame],
-        feed: str | None = None,
-        batch: int | None = None,
-    ) -> None:
-        """Merge changes reduced to one row per key; ``merge(target, reduced, keys, few)``."""
+    def commit(self, reduced: DataFrame, feed: str | None = None, batch: int | None = None) -> None:
+        """Add changes reduced to one row per key (key, ``had_delete``, ``row``)."""
         current = self.manifest()
         if feed is not None and current.feeds.get(feed, -1) >= batch:
             return
-        reduced = reduced.withColumn("bucket", self._bucket()).persist(StorageLevel.DISK_ONLY)
-        try:
-            sizes = reduced.groupBy("bucket").count().collect()
-            touched = {row["bucket"] for row in sizes}
-            few = sum(row["count"] for row in sizes) <= FEW_KEYS
-            # Gathered by bucket, the few new rows add at most one file per bucket.
-            changes = (reduced.repartition("bucket") if few else reduced).drop("bucket")
-            buckets = dict(current.buckets)
-            version = current.version + 1
-            if touched:
-                target = self._load({b: v for b, v in buckets.items() if b in touched})
-                if few:
-                    merged = merge(target, changes, self.keys, True)
-                else:
-                    # Both sides hashed alike and to the bucket count: the join needs no
-                    # further shuffle, and each bucket is written by one task.
-                    merged = merge(
-                        target.repartition(self.buckets, *self.keys),
-                        changes.repartition(self.buckets, *self.keys),
-                        self.keys,
-                        False,
-                    )
-                held = self._write(merged, version)
-                for bucket in touched:
-                    buckets.pop(bucket, None)
-                buckets.update(dict.fromkeys(held, version))
-            feeds = dict(current.feeds)
-            if feed is not None:
-                feeds[feed] = batch
-            self._publish(Manifest(version, buckets, feeds))
-        finally:
-            reduced.unpersist()
-
-    def vacuum(self, keep: int = 2) -> list[int]:
-        """Delete version folders that none of the last ``keep`` manifests names."""
+        version = current.version + 1
+        typed = reduced.select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.delta_schema.fields]
+        )
+        typed.write.mode("overwrite").parquet(f"{self.path}/delta/v={version}")
+        rows = self._deltas([version]).count()
+        deltas = {**current.deltas, version: rows} if rows else current.deltas
+        feeds = current.feeds if feed is None else {**current.feeds, feed: batch}
+        after = self._publish(replace(current, version=version, deltas=deltas, feeds=feeds))
+        if after.delta_rows > self.merge_share * after.base_rows:
+            self.merge_deltas()
+        elif len(after.deltas) > self.max_deltas:
+            self.combine_deltas()
+
+    def combine_deltas(self) -> None:
+        """Replace the deltas by one."""
+        current = self.manifest()
+        if len(current.deltas) < 2:
+            return
+        version = current.version + 1
+        folder = f"{self.path}/delta/v={version}"
+        self._combined(current).write.mode("overwrite").parquet(folder)
+        rows = self._deltas([version]).count()
+        self._publish(replace(current, version=version, deltas={version: rows}))
+
+    def merge_deltas(self) -> None:
+        """Merge the deltas into the base, rewriting the buckets they touch."""
+        current = self.manifest()
+        if not current.deltas:
+            return
+        version = current.version + 1
+        touched_rows = self._deltas(current.deltas).select(self._bucket().alias("bucket"))
+        touched = {row["bucket"] for row in touched_rows.distinct().collect()}
+        old = {b: v for b, v in current.buckets.items() if b in touched}
+        target, changes = self._base(old), self._combined(current)
+        few = current.delta_rows <= FEW_KEYS
+        if few:
+            # Gathered by bucket, the new rows add at most one file to each.
+            changes = changes.repartition(self._bucket())
+        else:
+            # Both sides hashed alike and to the bucket count: the join needs no further
+            # shuffle, and each bucket is written by one task.
+            target = target.repartition(self.buckets, *self.keys)
+            changes = changes.repartition(self.buckets, *self.keys)
+        merged = apply.merge_changes(target, changes, self.keys, few=few)
+        new = dict.fromkeys(self._write_base(merged, version), version)
+        kept = {b: v for b, v in current.buckets.items() if b not in touched}
+        # Counts come from file footers.
+        base_rows = current.base_rows - self._base(old).count() + self._base(new).count()
+        self._publish(
+            replace(current, version=version, buckets={**kept, **new}, base_rows=base_rows, deltas={})
+        )
+
+    def vacuum(self, keep: int = 4) -> None:
+        """Delete folders that none of the last ``keep`` manifests names."""
         versions = self._versions()
         kept = versions[-max(keep, 1):]
-        needed = set(kept)
-        for version in kept:
-            needed.update(self.manifest(version).buckets.values())
-        names = storage.list_names(self.spark, f"{self.path}/data")
-        written = {int(n.split("=")[1]) for n in names if n.startswith("v=")}
-        # A folder newer than the last manifest may belong to a commit under way.
-        doomed = sorted(v for v in written - needed if not versions or v < versions[-1])
+        manifests = [self.manifest(v) for v in kept]
+        needed = {
+            "base": {v for m in manifests for v in m.buckets.values()},
+            "delta": {v for m in manifests for v in m.deltas},
+        }
         for version in versions:
             if version not in kept:
-                storage.delete_folder(self.spark, f"{self.path}/manifest/{version:012d}.json")
-        for version in doomed:
-            storage.delete_folder(self.spark, self._folder(version))
-        return doomed
+                storage.delete_folder(self.spark, self._manifest_file(version))
+        for kind, wanted in needed.items():
+            for name in storage.list_names(self.spark, f"{self.path}/{kind}"):
+                version = int(name.split("=")[1]) if name.startswith("v=") else None
+                # A folder past the last manifest may belong to a step under way.
+                if version is not None and version not in wanted and version <= versions[-1]:
+                    storage.delete_folder(self.spark, f"{self.path}/{kind}/{name}")

@@ -19,12 +19,11 @@ def _run(
     checkpoint: str,
     trigger: str | None,
     reduce: Callable[[DataFrame], DataFrame],
-    merge: Callable[..., DataFrame],
 ) -> StreamingQuery:
     def commit(batch: DataFrame, number: int) -> None:
         # A query's identity lives in its checkpoint; a new checkpoint is a new feed.
         feed = json.loads(storage.read_text(store.spark, f"{checkpoint}/metadata"))["id"]
-        store.commit(reduce(batch), merge, feed, number)
+        store.commit(reduce(batch), feed, number)
 
     writer = stream.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
     timed = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
@@ -48,7 +47,6 @@ def start_apply_changes(
         checkpoint,
         trigger,
         lambda batch: ops.reduce_changes(batch, store.keys, **options),
-        lambda target, reduced, keys, few: ops.merge_changes(target, reduced, keys, few=few),
     )
 
 
@@ -67,8 +65,5 @@ def start_upserts(
         store,
         checkpoint,
         trigger,
-        lambda batch: ops.latest_upserts(batch, store.keys, row, seq),
-        lambda target, latest, keys, few: ops.merge_upserts(
-            target, latest, keys, deletes=deletes, few=few
-        ),
+        lambda batch: ops.reduce_upserts(batch, store.keys, row, seq, deletes),
     )
