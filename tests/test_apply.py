@@ -2,7 +2,6 @@ import random
 
 import pytest
 from folds import fold_changes, fold_upserts
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidelog import schemas
@@ -109,7 +108,7 @@ def test_policies(spark):
         base(spark), df, KEYS, on_unknown_op="ignore", on_missing_before="ignore"
     )
     assert as_table(got) == BASE
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception, match="truncate"):
         apply.apply_changes(
             base(spark), frame(spark, changes[2:], CHANGES), KEYS, on_truncate="fail"
         ).collect()
@@ -151,9 +150,9 @@ def test_combined_reductions_equal_one(spark, seed):
 
 def test_plain_upsert_refuses_tombstones(spark):
     rows = frame(spark, [(1, 3, None)], UPSERTS)
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception, match="NULL row"):
         apply.upsert(base(spark), rows, KEYS).collect()
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception, match="NULL row"):
         apply.reduce_upserts(rows, KEYS).collect()
 
 

@@ -2,7 +2,6 @@ import random
 
 import pytest
 from folds import fold_changelog, fold_runs
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from test_apply import CHANGES, UPSERTS, base, frame, random_upserts, row
 
@@ -64,14 +63,14 @@ def test_changelog_kinds(spark):
     "bad", [(1, "q", None, None), (1, "u", None, row(1)), (1, "d", None, row(1)), (1, "c", None, None)]
 )
 def test_bad_change_fails(spark, bad):
-    with pytest.raises(PySparkException):
+    with pytest.raises(Exception, match="lacks its|unknown operation"):
         changelog.changelog(frame(spark, [bad], CHANGES)).collect()
 
 
 def test_append_only_rejects_updates(spark):
     rows = [(1, "c", None, row(1)), (2, "u", row(1), row(1, "b"))]
     log = changelog.changelog(frame(spark, rows, CHANGES))
-    with pytest.raises(PySparkException, match="append-only"):
+    with pytest.raises(Exception, match="append-only"):
         changelog.append_only(log).collect()
     assert changelog.append_only(log.where("seq = 1")).count() == 1
 

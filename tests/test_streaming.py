@@ -21,6 +21,7 @@ KEYS = ["id"]
 
 
 def new_store(spark, folder, buckets=4, **options):
+    options.setdefault("min_merge_rows", 0)
     store = KeyedStore(spark, f"{folder}/store", schemas.DEMO, KEYS, buckets, **options)
     store.create(base(spark))
     return store

@@ -18,6 +18,11 @@ def text(value: Column) -> Column:
     return value.cast("string")
 
 
+def with_value(records: DataFrame) -> DataFrame:
+    """Records whose ``value`` is neither NULL nor empty: those that decode to something."""
+    return records.where(F.col("value").isNotNull() & (F.length("value") > 0))
+
+
 def json_record(value: Column, schema: T.StructType) -> Column:
     """JSON bytes or text as a struct. Malformed JSON fails; NULL or empty input gives NULL."""
     return F.from_json(text(value), schema, {"mode": "FAILFAST"})

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,8 +66,7 @@ def image_log_job(
     happened to them; ``with_kind`` puts the row kind (or, in the retract form, the add
     flag) in front of each line.
     """
-    decoded = records.withColumn("envelope", codecs.envelope(F.col("value")))
-    decoded = changelog.without_null_records(decoded, "envelope")
+    decoded = codecs.with_value(records).withColumn("envelope", codecs.envelope(F.col("value")))
     log = changelog.changelog(decoded.select(F.col(seq).alias("seq"), "timestamp", "envelope.*"))
     mark = "row_kind"
     if form == "retract":
@@ -135,27 +135,34 @@ def partitioned_table_job(
     with ``create_time`` as the text partitions come from.
     """
 
+    parts = codecs.partition_columns(F.col("create_time"))
+    target = T.StructType(
+        [*schemas.DEMO_WIDE.fields, T.StructField("event_time", T.TimestampType())]
+        + [T.StructField(p, T.StringType()) for p in PARTS]
+    )
+
+    def seen_before(feed: str, number: int) -> DataFrame:
+        # Only the keys matter, so only they are read.
+        rows = state.read_before(feed, number)
+        nothing = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in image.fields}
+        return rows.select(*[F.col(c) if c in state.keys else nothing[c] for c in image.names])
+
     def land(batch: DataFrame, number: int) -> None:
         feed = json.loads(storage.read_text(state.spark, f"{checkpoint}/metadata"))["id"]
-        upserts = topic_rows(batch, image)
-        # Only the keys seen so far matter, so only they are read.
-        seen = state.read_before(feed, number).select(
-            *[
-                F.col(f.name) if f.name in state.keys else F.lit(None).cast(f.dataType).alias(f.name)
-                for f in image.fields
-            ]
-        )
-        log = changelog.upsert_changelog(upserts, state.keys, "row", "seq", table=seen)
-        rows = changelog.append_only(log).withColumn(
-            "event_time", F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss")
-        )
-        target = T.StructType(
-            [*schemas.DEMO_WIDE.fields, T.StructField("event_time", T.TimestampType())]
-            + [T.StructField(p, T.StringType()) for p in PARTS]
-        )
-        parts = codecs.partition_columns(F.col("create_time"))
-        committer.process(codecs.widen(rows.select("*", *parts), target), "event_time", number)
-        state.commit(apply.reduce_upserts(upserts, state.keys), feed, number)
+        # Kept on disk, so the source is not fetched and decoded for every use below.
+        upserts = topic_rows(batch, image).persist(StorageLevel.DISK_ONLY)
+        try:
+            log = changelog.upsert_changelog(
+                upserts, state.keys, "row", "seq", table=seen_before(feed, number)
+            )
+            rows = changelog.append_only(log).withColumn(
+                "event_time", F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss")
+            )
+            rows = codecs.widen(rows.select("*", *parts), target)
+            committer.process(rows, "event_time", number)
+            state.commit(apply.reduce_upserts(upserts, state.keys), feed, number)
+        finally:
+            upserts.unpersist()
 
     writer = topic.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     timed = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)

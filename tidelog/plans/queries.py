@@ -19,7 +19,7 @@ from tidelog import schemas
 from tidelog.functions import codecs, kinds
 from tidelog.operators import apply, changelog, sequence
 from tidelog.plans import jobs
-from tidelog.session import is_local, scratch_dir
+from tidelog.session import empty_frame, is_local, scratch_dir
 from tidelog.sinks import files, script, tables
 from tidelog.sinks.store import KeyedStore
 from tidelog.sources import feeds, jdbc
@@ -107,8 +107,8 @@ def start_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = changes.agg(F.expr("max(seq) div 2").alias("position"))
     base = fx.demo_base(spark, sf_dir)
     feed = feeds.snapshot_then_changes(base, changes, half)
-    empty = spark.createDataFrame([], schemas.DEMO)
-    return apply.apply_changes(empty, feed, KEYS, apply_reads=True)
+    nothing = empty_frame(spark, schemas.DEMO)
+    return apply.apply_changes(nothing, feed, KEYS, apply_reads=True)
 
 
 def kafka_json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def local_session(app: str = "tidelog", cores: str = "8", **conf: str) -> SparkSession:
@@ -35,6 +37,12 @@ def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, known to be none by the optimizer."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0).select(*columns)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach.
 

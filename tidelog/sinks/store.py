@@ -2,8 +2,8 @@
 
 The table is a *base*, in hash buckets of the key, and a few *deltas*: changes reduced
 to one row per key. A commit writes a delta, so its cost follows the batch and not the
-table; readers merge the deltas in. When the deltas grow past a share of the base they
-are merged into it, rewriting only the buckets they touch; when there are merely many
+table; readers merge the deltas in. When they grow past a share of the base they are
+merged into it, rewriting only the buckets they touch; when there are merely many
 of them they are combined into one.
 
 Every step writes a new version folder and then publishes a manifest naming what is
@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from tidelog import storage
 from tidelog.operators import apply
+from tidelog.session import empty_frame
 
 FEW_KEYS = 100_000
 
@@ -57,8 +58,8 @@ class Manifest:
 class KeyedStore:
     """``base/v=<version>/bucket=<b>``, ``delta/v=<version>`` and ``manifest/<version>.json``.
 
-    ``merge_share`` is the size of the deltas, relative to the base, at which they are
-    merged; ``max_deltas`` their number at which they are combined.
+    Deltas are merged when they hold over ``min_merge_rows`` rows and over ``merge_share``
+    of the base, and combined when there are over ``max_deltas``.
     """
 
     def __init__(
@@ -69,6 +70,7 @@ class KeyedStore:
         keys: Sequence[str],
         buckets: int = 64,
         merge_share: float = 0.1,
+        min_merge_rows: int = FEW_KEYS,
         max_deltas: int = 64,
     ):
         self.spark = spark
@@ -77,6 +79,7 @@ class KeyedStore:
         self.keys = list(keys)
         self.buckets = buckets
         self.merge_share = merge_share
+        self.min_merge_rows = min_merge_rows
         self.max_deltas = max_deltas
         self.delta_schema = T.StructType(
             [schema[k] for k in self.keys]
@@ -115,7 +118,7 @@ class KeyedStore:
 
     def _base(self, buckets: dict[int, int]) -> DataFrame:
         if not buckets:
-            return self.spark.createDataFrame([], self.schema)
+            return empty_frame(self.spark, self.schema)
         return self.spark.read.schema(self.schema).parquet(*self._base_paths(buckets))
 
     def _write_base(self, rows: DataFrame, version: int) -> set[int]:
@@ -185,7 +188,7 @@ class KeyedStore:
         deltas = {**current.deltas, version: rows} if rows else current.deltas
         feeds = current.feeds if feed is None else {**current.feeds, feed: batch}
         after = self._publish(replace(current, version=version, deltas=deltas, feeds=feeds))
-        if after.delta_rows > self.merge_share * after.base_rows:
+        if after.delta_rows > max(self.min_merge_rows, self.merge_share * after.base_rows):
             self.merge_deltas()
         elif len(after.deltas) > self.max_deltas:
             self.combine_deltas()

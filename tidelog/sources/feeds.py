@@ -58,10 +58,13 @@ def decoded_changes(
 ) -> DataFrame:
     """Transport records as changes (``seq``, ``op``, ``before``, ``after``).
 
+    Records without a value, such as the tombstones a topic keeps after deletes, are not
+    changes and are dropped.
+
     ``seq`` names the column carrying the source's total order. An offset is only such
     an order for a topic of one partition, or when no change moves between keys.
     """
-    return records.select(
+    return codecs.with_value(records).select(
         F.col(seq).alias("seq"), codecs.envelope(F.col("value"), image).alias("envelope")
     ).select("seq", "envelope.*")
 

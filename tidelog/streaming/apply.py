@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,11 +20,19 @@ def _run(
     checkpoint: str,
     trigger: str | None,
     reduce: Callable[[DataFrame], DataFrame],
+    passes: int = 1,
 ) -> StreamingQuery:
     def commit(batch: DataFrame, number: int) -> None:
         # A query's identity lives in its checkpoint; a new checkpoint is a new feed.
         feed = json.loads(storage.read_text(store.spark, f"{checkpoint}/metadata"))["id"]
-        store.commit(reduce(batch), feed, number)
+        if passes > 1:
+            # Kept on disk, so the source is not fetched and decoded again.
+            batch = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            store.commit(reduce(batch), feed, number)
+        finally:
+            if passes > 1:
+                batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
     timed = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
@@ -47,6 +56,7 @@ def start_apply_changes(
         checkpoint,
         trigger,
         lambda batch: ops.reduce_changes(batch, store.keys, **options),
+        passes=1 if options.get("hot_rows", True) is None else 2,
     )
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog import storage
+from tidelog.session import empty_frame
 from tidelog.sinks import tables
 
 PARTS = ("ts_date", "ts_hour", "ts_minute")
@@ -55,7 +56,7 @@ class PartitionCommitter:
         done = [int(n) for n in storage.list_names(self.spark, f"{self.path}/done")]
         done = [n for n in done if before is None or n < before]
         if not done:
-            return self.spark.createDataFrame([], LEDGER)
+            return empty_frame(self.spark, T.StructType.fromDDL(LEDGER))
         return self.spark.read.schema(LEDGER).parquet(f"{self.path}/ledger/batch={max(done)}")
 
     def _stage(self, rows: DataFrame, batch: int) -> T.StructType:
