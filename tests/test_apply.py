@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from tidelog import schemas
 from tidelog.operators import apply
 
-CHANGES = "seq bigint, op string, before struct<id:int,actor:string,alias:string>, after struct<id:int,actor:string,alias:string>"
-UPSERTS = "seq bigint, id int, row struct<id:int,actor:string,alias:string>"
+IMAGE = "struct<id:int,actor:string,alias:string>"
+CHANGES = f"seq bigint, op string, before {IMAGE}, after {IMAGE}"
+UPSERTS = f"seq bigint, id int, row {IMAGE}"
 KEYS = ["id"]
 
 

@@ -60,7 +60,13 @@ def test_changelog_kinds(spark):
 
 
 @pytest.mark.parametrize(
-    "bad", [(1, "q", None, None), (1, "u", None, row(1)), (1, "d", None, row(1)), (1, "c", None, None)]
+    "bad",
+    [
+        (1, "q", None, None),
+        (1, "u", None, row(1)),
+        (1, "d", None, row(1)),
+        (1, "c", None, None),
+    ],
 )
 def test_bad_change_fails(spark, bad):
     with pytest.raises(Exception, match="lacks its|unknown operation"):

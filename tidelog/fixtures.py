@@ -51,9 +51,7 @@ def demo_timed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").cast("int").alias("id"),
         F.col("event_type").alias("actor"),
         F.col("props").alias("alias"),
-        F.date_format(F.date_trunc("hour", F.col("ts").cast("timestamp")), "yyyy-MM-dd HH:mm:ss").alias(
-            "create_time"
-        ),
+        F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd HH:mm:ss").alias("create_time"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("event_id").alias("seq"),
     )
@@ -117,7 +115,7 @@ def _as_records(feed: DataFrame) -> DataFrame:
 
 def gapped_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed as a broker may serve it: no record at every 50th offset, some delivered twice."""
-    copies = F.when(F.col("offset") % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    copies = F.sequence(F.lit(1), F.when(F.col("offset") % 10 == 0, 2).otherwise(1))
     records = dense_records(spark, sf_dir).withColumn("offset", F.expr("offset + offset div 49"))
     return records.withColumn("copy", F.explode(copies)).drop("copy")
 

@@ -152,15 +152,16 @@ def merge_changes(
 def apply_changes(
     target: DataFrame, changes: DataFrame, keys: Sequence[str], **options
 ) -> DataFrame:
-    """Apply change envelopes: create inserts if absent, update deletes then inserts, delete deletes.
+    """Apply change envelopes to a table.
 
-    Reads are ignored unless ``apply_reads``; see ``reduce_changes`` for the options.
+    Creates insert if absent, updates delete and then insert, deletes delete. Reads are
+    ignored unless ``apply_reads``; see ``reduce_changes`` for the options.
     """
     return merge_changes(target, reduce_changes(changes, keys, **options), keys)
 
 
 def latest_upserts(upserts: DataFrame, keys: Sequence[str], row: str, seq: str) -> DataFrame:
-    """The last row per key, NULL for a delete; combined before the shuffle, so hot keys are cheap."""
+    """The last row per key, NULL for a delete; combined before the shuffle."""
     return upserts.groupBy(*keys).agg(F.max_by(row, seq).alias("row"))
 
 

@@ -18,6 +18,10 @@ from tidelog.operators import skew
 CHANGE_FIELDS = ("op", "before", "after")
 
 
+def _entry(sub: int, kind: str, image: Column) -> Column:
+    return F.struct(F.lit(sub).alias("sub"), F.lit(kind).alias("row_kind"), image.alias("image"))
+
+
 def changelog(changes: DataFrame) -> DataFrame:
     """One row per image of each change, with its row kind.
 
@@ -27,20 +31,17 @@ def changelog(changes: DataFrame) -> DataFrame:
     """
     op, before, after = (F.col(c) for c in CHANGE_FIELDS)
 
-    def entry(sub: int, kind: str, image: Column) -> Column:
-        return F.struct(F.lit(sub).alias("sub"), F.lit(kind).alias("row_kind"), image.alias("image"))
-
     needs_after = op.isin("c", "r", "u") & after.isNull()
     needs_before = op.isin("u", "d") & before.isNull()
     entries = (
         F.when(needs_after, F.raise_error(F.lit("a change lacks its after image")))
         .when(needs_before, F.raise_error(F.lit("a change lacks its before image")))
-        .when(op.isin("c", "r"), F.array(entry(0, kinds.INSERT, after)))
+        .when(op.isin("c", "r"), F.array(_entry(0, kinds.INSERT, after)))
         .when(
             op == "u",
-            F.array(entry(0, kinds.UPDATE_BEFORE, before), entry(1, kinds.UPDATE_AFTER, after)),
+            F.array(_entry(0, kinds.UPDATE_BEFORE, before), _entry(1, kinds.UPDATE_AFTER, after)),
         )
-        .when(op == "d", F.array(entry(0, kinds.DELETE, before)))
+        .when(op == "d", F.array(_entry(0, kinds.DELETE, before)))
         .when(op.isin("t", "m"), F.lit(None))
         .otherwise(F.raise_error(F.lit("unknown operation code")))
     )
@@ -111,7 +112,9 @@ def upsert_changelog(
     if table is not None:
         touched = slim.select(*keys).distinct()
         earlier = table.join(touched, list(keys), "left_semi").select(
-            *keys, F.lit(-1).cast("bigint").alias("seq"), F.struct(F.struct(*table.columns).alias(row)).alias("box")
+            *keys,
+            F.lit(-1).cast("bigint").alias("seq"),
+            F.struct(F.struct(*table.columns).alias(row)).alias("box"),
         )
         slim = slim.unionByName(earlier)
     hot = F.broadcast(skew.hot_keys(slim, keys, min_rows=hot_rows))
@@ -138,17 +141,14 @@ def upsert_changelog(
     )
     old, new = F.col("old"), F.col("new")
 
-    def entry(sub: int, kind: str, image: Column) -> Column:
-        return F.struct(F.lit(sub).alias("sub"), F.lit(kind).alias("row_kind"), image.alias("image"))
-
     changed = F.lit(True) if emit_unchanged else ~old.eqNullSafe(new)
     entries = (
-        F.when(old.isNull() & new.isNotNull(), F.array(entry(0, kinds.INSERT, new)))
+        F.when(old.isNull() & new.isNotNull(), F.array(_entry(0, kinds.INSERT, new)))
         .when(
             old.isNotNull() & new.isNotNull() & changed,
-            F.array(entry(0, kinds.UPDATE_BEFORE, old), entry(1, kinds.UPDATE_AFTER, new)),
+            F.array(_entry(0, kinds.UPDATE_BEFORE, old), _entry(1, kinds.UPDATE_AFTER, new)),
         )
-        .when(old.isNotNull() & new.isNull(), F.array(entry(0, kinds.DELETE, old)))
+        .when(old.isNotNull() & new.isNull(), F.array(_entry(0, kinds.DELETE, old)))
     )
     rows = paired.where(F.col("seq") >= 0).select("seq", F.explode(entries).alias("entry"))
     return rows.select("seq", "entry.sub", "entry.row_kind", "entry.image.*")

@@ -190,7 +190,8 @@ def jdbc_insert_if_absent_job(
     **read_options,
 ) -> DataFrame:
     """Database rows, carried as JSON, added to a table where their key is missing."""
-    records = jdbc.read_json(spark, url, query, target.schema, options=options or {}, **read_options)
+    options = options or {}
+    records = jdbc.read_json(spark, url, query, target.schema, options=options, **read_options)
     rows = records.select(codecs.json_record(F.col("record"), target.schema).alias("row"))
     # Database rows are unique by key, so there is no first one to pick.
     added = rows.select("row.*").withColumn("seq", F.lit(0))

@@ -149,7 +149,8 @@ def file_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    code = F.when(F.col("seq") % 13 == 0, "x").when(F.col("seq") % 17 == 0, "t").otherwise(F.col("op"))
+    code = F.when(F.col("seq") % 13 == 0, "x").when(F.col("seq") % 17 == 0, "t")
+    code = code.otherwise(F.col("op"))
     return fx.demo_cdc(spark, sf_dir).select("seq", code.alias("op")).withColumn(
         "op_name", kinds.op_name(F.col("op"))
     )
@@ -530,7 +531,8 @@ def job_image_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed, f"{folder}/out", f"{folder}/cp", F.col("timestamp")
     ).awaitTermination()
     lines = spark.read.text(f"{folder}/out")
-    return lines.select(F.col("value").alias("line"), F.col("bucket").cast("string").alias("bucket"))
+    bucket = F.col("bucket").cast("string").alias("bucket")
+    return lines.select(F.col("value").alias("line"), bucket)
 
 
 def job_cdc_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -575,9 +577,8 @@ def job_lines_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.create_table(spark, table, schemas.LINE, f"{folder}/table")
     lines = fx.demo_base(spark, sf_dir).select(F.concat_ws(",", *COLUMNS).alias("value"))
     lines.write.text(f"{folder}/lines")
-    jobs.lines_to_table_job(
-        feeds.line_feed(spark, f"{folder}/lines"), table, f"{folder}/parsed", f"{folder}/cp", _name("v")
-    )
+    feed = feeds.line_feed(spark, f"{folder}/lines")
+    jobs.lines_to_table_job(feed, table, f"{folder}/parsed", f"{folder}/cp", _name("v"))
     return spark.table(table)
 
 

@@ -228,8 +228,9 @@ class KeyedStore:
         kept = {b: v for b, v in current.buckets.items() if b not in touched}
         # Counts come from file footers.
         base_rows = current.base_rows - self._base(old).count() + self._base(new).count()
+        buckets = {**kept, **new}
         self._publish(
-            replace(current, version=version, buckets={**kept, **new}, base_rows=base_rows, deltas={})
+            replace(current, version=version, buckets=buckets, base_rows=base_rows, deltas={})
         )
 
     def vacuum(self, keep: int = 4) -> None:

@@ -41,54 +41,62 @@ def resequence_stream(
 
     def step(key, frames, state):
         # Nested, so workers need no import of this package.
+        import numpy as np
         import pandas as pd
 
         topic, partition, number = key
-        low, high = number * segment, (number + 1) * segment
         if partition < 0:
             return
+        first, offsets, values, arrivals, missing = number * segment, [], [], [], []
         if state.exists:
             first, offsets, values, arrivals, missing = state.get
-            held = {o: (v, a) for o, v, a in zip(offsets, values, arrivals)}
-            gone = set(missing)
-        else:
-            first, held, gone = low, {}, set()
-        out = []
+        held = pd.DataFrame(
+            {
+                "offset": np.array(offsets, dtype="int64"),
+                "value": np.array(values, dtype="object"),
+                "arrival_ms": np.array(arrivals, dtype="int64"),
+            }
+        )
+        gone = np.array(missing, dtype="int64")
+        pieces = []
         for frame in frames:
-            frame = frame.drop_duplicates("offset")
-            times = frame["arrival_ms"].tolist()
-            for offset, value, ms in zip(frame["offset"].tolist(), frame["value"], times):
-                if offset >= first:
-                    held.setdefault(offset, (value, ms))
-                elif offset in gone:
-                    gone.discard(offset)
-                    out.append((offset, value, 0, True))
+            if frame.empty:  # a timeout brings no rows, and columns without their types
+                continue
+            frame = frame[list(held.columns)].drop_duplicates("offset")
+            behind = frame["offset"] < first
+            if behind.any():
+                late = frame[behind & frame["offset"].isin(gone)]
+                gone = np.setdiff1d(gone, late["offset"])
+                pieces.append(late.assign(skipped=0, late=True))
+                frame = frame[~behind]
+            held = pd.concat([held, frame]) if len(held) else frame
+            held = held.drop_duplicates("offset")
+        held = held.sort_values("offset")
+        order = held["offset"].to_numpy()
         watermark = state.getCurrentWatermarkMs()
-        waited = [o for o, (_, ms) in held.items() if ms <= watermark]
-        overdue = max(waited, default=-1)
-        for offset in sorted(held):
-            if offset != first and offset > overdue:
-                break
-            out.append((offset, held.pop(offset)[0], offset - first, False))
-            gone.update(range(first, offset))
-            first = offset + 1
-        rest = sorted(held)
-        state.update(
-            (
-                first,
-                rest,
-                [held[o][0] for o in rest],
-                [held[o][1] for o in rest],
-                sorted(gone),
-            )
-        )
-        if rest:
-            state.setTimeoutTimestamp(max(min(held[o][1] for o in rest), watermark + 1))
-        if out:
-            table = pd.DataFrame(out, columns=["offset", "value", "skipped", "late"])
-            table.insert(0, "topic", topic)
-            table.insert(1, "partition", partition)
-            yield table
+
+        # Everything up to the last record that has waited long enough goes, and so does
+        # whatever follows that, or the records released before, without a gap.
+        waited = np.flatnonzero(held["arrival_ms"] <= watermark)
+        ready = int(waited[-1]) + 1 if len(waited) else 0
+        start = order[ready - 1] + 1 if ready else first
+        broken = np.flatnonzero(order[ready:] != start + np.arange(len(order) - ready))
+        ready = ready + int(broken[0]) if len(broken) else len(order)
+
+        if ready:
+            skipped = np.diff(order[:ready], prepend=first - 1) - 1
+            pieces.append(held[:ready].assign(skipped=skipped, late=False))
+            if skipped.any():
+                given_up = np.setdiff1d(np.arange(first, order[ready - 1]), order[:ready])
+                gone = np.union1d(gone, given_up)
+            first = int(order[ready - 1]) + 1
+        rest = held[ready:]
+        state.update((first, *[rest[c].tolist() for c in held.columns], gone.tolist()))
+        if len(rest):
+            state.setTimeoutTimestamp(max(int(rest["arrival_ms"].min()), watermark + 1))
+        if pieces:
+            out = pd.concat(pieces).assign(topic=topic, partition=partition)
+            yield out[["topic", "partition", "offset", "value", "skipped", "late"]]
 
     def drop_copies(batches):
         # Before the shuffle, so copies of one record do not pile up in one task.
