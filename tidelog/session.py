@@ -40,7 +40,7 @@ def is_local(spark: SparkSession) -> bool:
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows, known to be none by the optimizer."""
     columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
-    return spark.range(0).select(*columns)
+    return spark.range(1).where(F.lit(False)).select(*columns)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

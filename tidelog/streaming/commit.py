@@ -82,8 +82,9 @@ class PartitionCommitter:
             F.col("published_in"),
             came.alias("came"),
         )
-        clock = merged.agg(F.max("top")).first()[0]
-        complete = partition_time() + F.expr(f"interval {self.delay}") < F.lit(clock)
+        clock = merged.agg(F.max(F.unix_micros("top"))).first()[0]
+        due = F.unix_micros(partition_time() + F.expr(f"interval {self.delay}"))
+        complete = due < F.lit(clock)
         publish = complete & (F.col("published_in").isNull() | F.col("came"))
         marked = merged.select(
             *parts,
