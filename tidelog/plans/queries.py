@@ -341,7 +341,7 @@ def partition_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def insert_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table, view = _name("hive_sink"), _name("source_table")
+    table, view = _name("people"), _name("source")
     tables.create_table(spark, table, schemas.PERSON, scratch_dir(spark, "insert_select"))
     people = fx.demo_base(spark, sf_dir).select(F.col("actor").alias("name"), "id")
     people.createOrReplaceTempView(view)
@@ -350,7 +350,7 @@ def insert_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def insert_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table, view = _name("overwritten"), _name("source_table")
+    table, view = _name("overwritten"), _name("source")
     tables.create_table(spark, table, schemas.LINE, scratch_dir(spark, "insert_overwrite"))
     base = fx.demo_base(spark, sf_dir)
     tables.insert(base.select("id", F.col("actor").alias("name")), table)
