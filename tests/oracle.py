@@ -29,7 +29,7 @@ def difference(spark_df, con, sql: str) -> str | None:
     result = con.sql(sql)
     if sorted(result.columns) != names:
         return f"columns {names} against {sorted(result.columns)}"
-    kinds = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN"}
+    kinds = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE"}
     theirs = dict(zip(result.columns, map(str, result.types)))
     for field in spark_df.schema.fields:
         mine = kinds.get(field.dataType.simpleString(), field.dataType.simpleString())

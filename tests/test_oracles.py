@@ -4,7 +4,8 @@ import __spark_entry__ as entry_point
 import pytest
 from oracle import difference, duck
 
-ORACLES = entry_point.oracle_sql()
+from tidelog.plans.oracles import ORACLES
+from tidelog.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,9 +13,9 @@ def con(sf_dir):
     return duck(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, sf_dir, con, name):
-    result = entry_point.queries()[name](spark, sf_dir)
+    result = QUERIES[name](spark, sf_dir)
     if name in ORACLES:
         assert difference(result, con, ORACLES[name]) is None
     else:
@@ -22,7 +23,11 @@ def test_query(spark, sf_dir, con, name):
 
 
 def test_only_listings_lack_sql():
-    assert set(entry_point.queries()) - set(ORACLES) == {"file_lengths"}
+    assert set(QUERIES) - set(ORACLES) == {"file_lengths"}
+
+
+def test_entry_point_registers_them():
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 def test_entry(spark):
