@@ -11,9 +11,10 @@ for short texts, as the full set.
    documents share makes values too common to be among them, whatever its length.
 3. First every list is matched with its centre, the member whose values are the most
    common: the text a family of copies derives from. Classes that link are one component.
-4. Then, in every list, all pairs from different components are matched: members outside
-   the list's largest component with all members. Within a component links add nothing.
-   A hot list is split over tasks.
+4. The classes of lists with several components are then matched across components by
+   their full sets, exactly, through lists of their rarest shingles. Within a component
+   links add nothing, and members of a family that have too much of their own to link
+   with anyone meet nobody there.
 5. A pair is dropped if the sketch of the union, the ``k`` smallest of both sketches
    together, has too few values in common; the rest are verified on full sets.
 
@@ -36,7 +37,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import words as W
@@ -99,13 +100,14 @@ def sketches(docs: DataFrame, shingle: int, k: int = K) -> DataFrame:
 
 
 def _lists(classes: DataFrame, percent: int, k: int) -> DataFrame:
-    """``value, id, n, weight``: the rare ends of the sketches that others share.
+    """``value, key, id, n, weight``: the rare ends of the sketches that others share.
 
     ``weight`` grows with how common the values of the class are.
     """
-    postings = classes.select("id", "n", F.explode("sketch").alias("value"))
+    own = ["key", "id", "n"]
+    postings = classes.select(*own, F.explode("sketch").alias("value"))
     often = postings.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    shared = postings.join(often, "value").groupBy("id", "n").agg(
+    shared = postings.join(often, "value").groupBy(*own).agg(
         F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"),
         F.sum(F.log2("df")).alias("weight"),
     )
@@ -117,45 +119,90 @@ def _lists(classes: DataFrame, percent: int, k: int) -> DataFrame:
     alone = size - F.size("values")
     rare = F.greatest(size - overlap + 1 - alone, F.lit(0)).cast("int")
     ends = F.slice("values", 1, rare)
-    return shared.select("id", "n", "weight", F.explode(ends).alias("v")).select(
-        F.col("v.value").alias("value"), "id", "n", "weight"
+    return shared.select(*own, "weight", F.explode(ends).alias("v")).select(
+        F.col("v.value").alias("value"), *own, "weight"
     )
 
 
-def _near_in_size(a: str, b: str, percent: int):
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _met(lists: DataFrame) -> DataFrame:
+    """The lists with more than one member."""
+    several = lists.groupBy("value").agg(F.count("*").alias("members")).where("members > 1")
+    return lists.join(several.select("value"), "value")
 
 
 def _centre_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    centre = lists.groupBy("value").agg(
-        F.max_by(F.struct("id", "n"), F.struct("weight", -F.col("id"))).alias("c"), F.count("*").alias("size")
-    )
-    centre = centre.where("size > 1").select("value", "c.*").toDF("value", "c", "cn")
-    met = lists.join(centre, "value").where("id <> c").where(_near_in_size("n", "cn", percent))
+    centre = lists.groupBy("value").agg(F.max_by(F.struct("id", "n"), F.struct("weight", -F.col("id"))).alias("c"))
+    met = lists.join(centre.select("value", F.col("c.id").alias("c"), F.col("c.n").alias("cn")), "value")
+    met = met.where("id <> c").where(F.least("n", "cn") * 100 >= F.greatest("n", "cn") * percent)
     return met.select(F.greatest("id", "c").alias("a"), F.least("id", "c").alias("b")).distinct()
 
 
-def _crossing_pairs(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a list from different components."""
+def _band(n: Column) -> Column:
+    """Sizes in steps of about 1.5 %."""
+    return F.floor(F.log(n) * 64).cast("int")
+
+
+def _unmerged(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """``key, component``: the classes in lists that hold several components."""
     marked = lists.join(labels.withColumnRenamed("node", "id"), "id", "left")
-    marked = marked.select("value", "id", "n", F.coalesce("component", "id").alias("component"))
-    sizes = marked.groupBy("value", "component").agg(F.count("*").alias("members"))
-    largest = sizes.groupBy("value").agg(
-        F.max_by("component", F.struct("members", -F.col("component"))).alias("home"),
-        F.count("*").alias("components"),
-    )
-    several = largest.where("components > 1").select("value", "home")
-    marked = stored(marked.join(several, "value"), "crossing")
-    out = marked.where("component <> home").select("value", F.struct("id", "n", "component", "home").alias("x"))
-    every = marked.select("value", F.struct("id", "n", "component").alias("y"))
-    crossing = (
-        (F.col("x.component") != F.col("y.component"))
-        # pairs with both ends outside the home come from both sides
-        & ((F.col("y.component") == F.col("x.home")) | (F.col("x.id") > F.col("y.id")))
-        & _near_in_size("x.n", "y.n", percent)
+    marked = marked.select("value", "key", F.coalesce("component", "id").alias("component"))
+    spread = marked.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    several = spread.where("low <> high").select("value")
+    return marked.join(several, "value").select("key", "component").distinct()
+
+
+def _crossing_pairs(sets: DataFrame, unmerged: DataFrame, percent: int) -> DataFrame:
+    """All pairs of unmerged classes from different components that may link.
+
+    Sets of ``n >= m`` shingles that link have ``a = percent * (n + m) / (100 + percent)``
+    in common, so one of the ``n - a + 1`` rarest of the larger is among the ``m - a + 1``
+    rarest of the smaller. Smaller sets wait in lists by value and band of sizes, and
+    larger ones ask in every band with as many values as its sizes call for. Where the
+    rest of either set is too short for ``a``, the pair is left out.
+    """
+    own = sets.join(unmerged, "key").withColumn("n", F.size("values").cast("long"))
+    whose = ["key", "id", "n", "component"]
+    postings = own.select(*whose, F.explode("values").alias("value"))
+    often = postings.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    ordered = postings.join(often, "value").groupBy(*whose).agg(
+        F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values")
     )
-    met = out.join(every, "value").where(crossing)
-    return met.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
+    alone = F.col("n") - F.size("values")
+
+    def common(n: Column, m: Column) -> Column:
+        return F.ceil(percent * (n + m) / (100 + percent))
+
+    def rarest(count: Column) -> Column:
+        """Place and value of the ``count`` rarest values, but for those it has alone."""
+        return F.posexplode(F.slice("values", 1, F.greatest(count - alone, F.lit(0)).cast("int")))
+
+    n, m = F.col("n"), F.col("m")
+    waiting = ordered.select(*whose, alone.alias("alone"), rarest(n - common(n, n) + 1).alias("at", "v"))
+    waiting = waiting.select("v.value", _band(n).alias("band"), *_place("y"))
+    least = F.ceil(n * percent / 100)
+    asking = ordered.withColumn("band", F.explode(F.sequence(_band(least), _band(n))))
+    asking = asking.withColumn("m", F.greatest(least, F.ceil(F.exp(F.col("band") / 64))))
+    asking = asking.select(*whose, "band", alone.alias("alone"), rarest(n - common(n, m) + 1).alias("at", "v"))
+    asking = stored(asking.select("v.value", "band", *_place("x")), "asking")
+    waiting = stored(waiting, "waiting")
+
+    # in a list, members of its largest component are not matched with each other
+    sizes = waiting.groupBy("value", "ycomponent").agg(F.count("*").alias("members"))
+    home = sizes.groupBy("value").agg(F.max_by("ycomponent", F.struct("members", -F.col("ycomponent"))).alias("home"))
+    asking, waiting = asking.join(home, "value"), waiting.join(home, "value")
+    xn, yn = F.col("xn"), F.col("yn")
+    rest = F.least(xn - F.col("xat"), yn - F.col("yat"))
+    may = (F.col("xcomponent") != F.col("ycomponent")) & (yn <= xn) & (rest >= common(xn, yn))
+    strange = asking.where("xcomponent <> home").join(waiting, ["value", "band"]).where(may)
+    at_home = asking.where("xcomponent = home").join(waiting.where("ycomponent <> home"), ["value", "band"]).where(may)
+    met = strange.select("xid", "yid").union(at_home.select("xid", "yid"))
+    return met.select(F.greatest("xid", "yid").alias("a"), F.least("xid", "yid").alias("b")).distinct()
+
+
+def _place(side: str) -> list[Column]:
+    """Whose posting it is, and how many values of the set come before it."""
+    before = F.col("alone") + F.col("at")
+    return [*(F.col(c).alias(side + c) for c in ("id", "n", "component")), before.alias(f"{side}at")]
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, percent: int, k: int) -> DataFrame:
@@ -184,31 +231,39 @@ def _estimated(pairs: DataFrame, classes: DataFrame, percent: int, k: int) -> Da
     return met.select("a", "an", "as", "b", "bn", "bs").mapInArrow(estimate, "a long, b long, sure boolean")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int, k: int) -> DataFrame:
-    """The pairs that link by their full sets."""
-    hopeful = stored(_estimated(pairs, classes, percent, k), "estimated")
-    open_pairs = hopeful.where("not sure").select("a", "b")
-    ends = open_pairs.select(F.col("a").alias("doc_id")).union(open_pairs.select("b")).distinct()
-    digests = classes.select(F.col("id").alias("doc_id"), "digest")
+def _full_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """``key, id, values``: the full sets of the classes that ``wanted`` has the keys of."""
 
     def full(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.slices(batch.column("text")):
+                rows, kept = [], []
                 for r, values in _sets(part, shingle):
-                    mixed = W.mix(values ^ W.U64(0xA5A5A5A5A5A5A5A5))
-                    digest = (mixed.sum(dtype=W.U64), np.bitwise_xor.reduce(mixed))
-                    wanted = batch.column("digest")[r].as_py()
-                    found = np.array(digest, dtype=W.U64).view(np.int64).tolist()
-                    if found != [wanted["a"], wanted["b"]]:
-                        continue  # another text of the same id
-                    one = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values.view(np.int64)))
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id").slice(r, 1), one], names=["id", "values"]
-                    )
-
-    needed = docs.join(ends, "doc_id", "left_semi").distinct().join(digests, "doc_id")
-    sets = stored(needed.select("doc_id", "text", "digest").mapInArrow(full, "id long, values array<long>"), "sets")
-    both = open_pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+                    mixed = W.mix(values ^ W.U64(0xA5A5A5A5A5A5A5A5)).sum(dtype=W.U64)
+                    if mixed.view(np.int64) == batch.column("key")[r].as_py():  # else another text of the id
+                        rows.append(r)
+                        kept.append(values)
+                take = pa.array(rows, pa.int64())
+                bounds = np.append(0, np.cumsum([len(x) for x in kept])).astype(np.int32)
+                flat = np.concatenate([np.zeros(0, W.U64), *kept]).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c).take(take) for c in ("key", "doc_id")),
+                        pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
+                    ],
+                    names=["key", "id", "values"],
+                )
+
+    named = classes.join(wanted, "key", "left_semi").select(F.col("id").alias("doc_id"), "key")
+    found = docs.join(named, "doc_id").select("doc_id", "key", "text")
+    return found.mapInArrow(full, "key long, id long, values array<long>").dropDuplicates(["key"])
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, k: int) -> DataFrame:
+    """The pairs that link by their full sets."""
+    hopeful = stored(_estimated(pairs, classes, percent, k), "estimated")
+    own = sets.select("id", "values")
+    both = hopeful.where("not sure").join(own.toDF("a", "x"), "a").join(own.toDF("b", "y"), "b")
 
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,17 +291,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, k: int
         F.min_by("sketch", "doc_id").alias("sketch"), F.min("doc_id").alias("id")
     )
     # rows that share an id may bring several sets; a link of one is a link of the id
-    classes = stored(by_set.select("id", F.col("n_shingles").alias("n"), "digest", "sketch"), "classes")
-    members = named.select("doc_id", "n_shingles", "digest").join(
-        by_set.select("n_shingles", "digest", "id"), ["n_shingles", "digest"]
-    )
-    members = stored(members.select(F.col("doc_id").alias("a"), F.col("id").alias("b")).where("a <> b").distinct(), "members")
-
-    lists = stored(_lists(classes, percent, k), "lists")
-    links = stored(_verified(_centre_pairs(lists, percent), classes, docs, shingle, percent, k), "links")
+    classes = by_set.select(F.col("digest.a").alias("key"), "id", F.col("n_shingles").alias("n"), "sketch")
+    classes = stored(classes, "classes")
+    members = named.select("doc_id", F.col("digest.a").alias("key")).join(classes.select("key", "id"), "key")
+    members = members.select(F.col("doc_id").alias("a"), F.col("id").alias("b")).where("a <> b").distinct()
+
+    lists = stored(_met(_lists(classes, percent, k)), "lists")
+    sets = stored(_full_sets(docs, classes, lists.select("key").distinct(), shingle), "sets")
+    links = stored(_verified(_centre_pairs(lists, percent), classes, sets, percent, k), "links")
     labels = stored(components(links), "labels")
-    rest = _verified(_crossing_pairs(lists, labels, percent), classes, docs, shingle, percent, k)
-    rest = stored(rest, "links")
+    unmerged = stored(_unmerged(lists, labels), "unmerged")
+    rest = _verified(_crossing_pairs(sets, unmerged, percent), classes, sets, percent, k)
 
     edges = members.union(labels.select("node", "component")).union(rest)
     found = components(stored(edges.distinct(), "edges"))
