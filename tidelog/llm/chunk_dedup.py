@@ -26,7 +26,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,8 +43,8 @@ def boundaries(data: np.ndarray, offsets: np.ndarray, mean: int = MEAN) -> np.nd
     """Where chunks end in ``data``: at gear hashes in the lowest ``1 / mean``, and at row ends.
 
     ``h[i] = (h[i - 1] << 1) + gear[byte i]`` over 16 bits is the sum of 16 shifted gears;
-    four doublings add them up. Rows are told apart by where they begin: a chunk may end
-    in the first 15 bytes of a row by what precedes, so those positions never end one.
+    four doublings add them up. In the first 15 bytes of a row it would see the row
+    before, so no chunk ends there.
     """
     h = _GEAR[data]
     for shift in (1, 2, 4, 8):
@@ -52,67 +52,86 @@ def boundaries(data: np.ndarray, offsets: np.ndarray, mean: int = MEAN) -> np.nd
     cut = h < np.uint16((1 << 16) // mean)
     for begin in offsets[:-1]:
         cut[begin : begin + 15] = False
-    ends = np.flatnonzero(cut) + 1
-    return np.unique(np.concatenate([ends, offsets[1:]]))
+    ends = np.unique(np.concatenate([np.flatnonzero(cut) + 1, offsets[1:]]))
+    return ends[ends > 0]
+
+
+def _spans(part: W.Slice, min_words: int, mean: int):
+    """Row, start, end and digest of every span of a slice."""
+    ends = boundaries(part.data, part.offsets, mean)
+    starts = np.append(0, ends[:-1])
+    digests = W.span_hashes(part.data, starts, ends, W.EXACT)
+    row = np.searchsorted(part.offsets, starts, "right") - 1
+    words = np.searchsorted(W.find_words(part).start, np.append(0, ends))
+    # the first chunk with which each span is long enough
+    last = np.searchsorted(words[1:], words[:-1] + min_words)
+    whole = last < len(ends)
+    whole[whole] = row[last[whole]] == row[whole]
+    first, last = np.flatnonzero(whole), last[whole]
+    # a digest of the chunks from first to last: a polynomial over their digests
+    power, back = (W.powers(base, len(ends) + 1) for base in (W.BASE, W.INVERSE))
+    sums = np.append(W.U64(0), np.cumsum(digests * power[:-1]))
+    body = (sums[last + 1] - sums[first]) * back[first]
+    base = part.offsets[row[first]]
+    return row[first], starts[first] - base, ends[last] - base, W.mix(body + (last - first).astype(W.U64))
 
 
 def spans(docs: DataFrame, min_words: int = MIN_WORDS, mean: int = MEAN) -> DataFrame:
-    """``doc_id, version, digest, start, end``: every span, in bytes of its text.
+    """``doc_id, place, digest``: every span.
 
-    ``version`` tells texts apart that share an id.
+    ``place`` is where it starts in the text, in bytes, below 24 bits of a hash of the
+    text, which tell texts apart that share an id. Where it ends follows from the text.
     """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            version = batch.column("version").to_numpy()
             for part in W.slices(batch.column("text")):
-                if not len(part.data):
-                    continue
-                ends = boundaries(part.data, part.offsets, mean)
-                ends = ends[ends > 0]
-                starts = np.append(0, ends[:-1])
-                digests = W.span_hashes(part.data, starts, ends, W.EXACT)
-                row = np.searchsorted(part.offsets, starts, "right") - 1
-                words = np.searchsorted(W.find_words(part).start, np.append(0, ends))
-                # the first chunk with which each span is long enough
-                last = np.searchsorted(words[1:], words[:-1] + min_words)
-                whole = last < len(ends)
-                whole[whole] = row[last[whole]] == row[whole]
-                first, last = np.flatnonzero(whole), last[whole]
-                # a digest of the chunks from first to last: a polynomial over their digests
-                power = W.powers(W.BASE, len(ends) + 1)
-                back = W.powers(W.INVERSE, len(ends) + 1)
-                sums = np.append(W.U64(0), np.cumsum(digests * power[:-1]))
-                body = (sums[last + 1] - sums[first]) * back[first]
-                digest = W.mix(body + (last - first).astype(W.U64))
-                rows = row[first]
-                take = pa.array(rows + part.low)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(batch.column(c).take(take) for c in ("doc_id", "version")),
-                        pa.array(digest.view(np.int64)),
-                        *(pa.array((x - part.offsets[rows]).astype(np.int32)) for x in (starts[first], ends[last])),
-                    ],
-                    names=["doc_id", "version", "digest", "start", "end"],
-                )
-
-    schema = "doc_id long, version int, digest long, start int, end int"
-    return docs.select("doc_id", "version", "text").mapInArrow(cut, schema)
+                if len(part.data):
+                    row, start, _, digest = _spans(part, min_words, mean)
+                    place = (version[row + part.low] << 40) | start
+                    columns = [batch.column("doc_id").take(pa.array(row + part.low)), pa.array(place)]
+                    yield pa.RecordBatch.from_arrays(
+                        [*columns, pa.array(digest.view(np.int64))], names=["doc_id", "place", "digest"]
+                    )
+
+    versioned = docs.select("doc_id", "text", _version(F.col("text")).alias("version"))
+    return versioned.mapInArrow(cut, "doc_id long, place long, digest long")
+
+
+def _version(text: Column) -> Column:
+    return F.coalesce(F.pmod(F.xxhash64(text), F.lit(1 << 23)), F.lit(0))
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, mean: int = MEAN) -> DataFrame:
     """``doc_id, version, found``: by document, the spans that occurred before.
 
-    ``found`` holds ``start``, ``end`` in bytes and ``first_id``, the document of the
-    first occurrence. Documents without such spans are left out.
+    ``found`` holds ``start`` in bytes and ``first_id``, the document of the first
+    occurrence. Documents without such spans are left out.
     """
     every = spans(docs, min_words, mean)
     often = every.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    met = every.join(often, "digest")
-    met = met.select("digest", F.struct("doc_id", "version", "start").alias("place"), "end")
-    first = met.groupBy("digest").agg(F.min("place").alias("kept"))
-    later = met.join(first, "digest").where("place > kept")
-    span = F.struct("place.start", "end", F.col("kept.doc_id").alias("first_id"))
-    return later.groupBy("place.doc_id", "place.version").agg(F.sort_array(F.collect_set(span)).alias("found"))
+    met = stored(every.join(often, "digest"), "spans")
+    met = met.select("digest", F.struct("doc_id", "place").alias("at"))
+    first = met.groupBy("digest").agg(F.min("at").alias("kept"), F.max("at").alias("other"))
+    later = met.join(first.where("kept <> other").drop("other"), "digest").where("at > kept")
+    start = F.expr("at.place & ((1L << 40) - 1)").alias("start")
+    version = F.shiftright("at.place", 40).alias("version")
+    span = F.struct(start, F.col("kept.doc_id").alias("first_id"))
+    found = later.select("at.doc_id", version, span.alias("span")).groupBy("doc_id", "version")
+    return found.agg(F.sort_array(F.collect_set("span")).alias("found"))
+
+
+def _repeated(batch: pa.RecordBatch, at: int, min_words: int) -> Iterator[tuple[int, bytes, list[list]]]:
+    """Row, text and merged repeated spans of the marked rows of a batch."""
+    found = batch.column("__found")
+    for i in np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False)).tolist():
+        text = batch.column(at).slice(i, 1)
+        (part,) = W.slices(text)
+        _, start, end, _ = _spans(part, min_words, MEAN)
+        ends = dict(zip(start.tolist(), end.tolist()))
+        own = [{**x, "end": ends[x["start"]]} for x in found[i].as_py()]
+        yield i, part.data.tobytes(), merged(own)
 
 
 def merged(found: list[dict]) -> list[list]:
@@ -127,37 +146,41 @@ def merged(found: list[dict]) -> list[list]:
     return out
 
 
+def _marked(docs: DataFrame, min_words: int, how: str) -> DataFrame:
+    """``docs`` with ``__found``, last, where spans repeat earlier ones."""
+    found = repeated_spans(texts(docs), min_words)
+    found = found.select(*(F.col(c).alias(f"__{c}") for c in ("doc_id", "version", "found")))
+    version = _version(F.col("text").cast("string"))
+    same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (version == F.col("__version"))
+    return docs.join(found, same, how).drop("__doc_id", "__version")
+
+
 def passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, start, end, n_words, first_ids``: the repeated passages, a row for each.
 
     ``start`` and ``end`` are bytes of the UTF-8 text; ``first_ids`` the sorted ids of
     the documents that hold (parts of) it first.
     """
-    own = texts(docs).withColumn("version", F.hash("text"))
-    found = stored(repeated_spans(own, min_words), "spans").withColumnRenamed("doc_id", "__of").withColumnRenamed("version", "__v")
-    same = F.col("doc_id").eqNullSafe(F.col("__of")) & (F.col("version") == F.col("__v"))
-    met = own.join(found, same).select("doc_id", "text", "found")
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, out = [], []
-            for i in range(batch.num_rows):
-                body = batch.column("text")[i].as_py().encode()
-                for start, end, ids in merged(batch.column("found")[i].as_py()):
-                    rows.append(i)
+            out = []
+            for i, body, spans in _repeated(batch, 1, min_words):
+                for start, end, ids in spans:
                     known = sorted(ids, key=lambda x: (x is not None, x))
-                    out.append((start, end, len(body[start:end].split()), known))
-            start, end, n, ids = ([x[k] for x in out] for k in range(4))
+                    out.append((i, start, end, len(body[start:end].split()), known))
+            rows, *numbers = ([x[k] for x in out] for k in range(4))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(rows, pa.int64())),
-                    *(pa.array(x, pa.int64()) for x in (start, end, n)),
-                    pa.array(ids, pa.list_(pa.int64())),
+                    *(pa.array(x, pa.int64()) for x in numbers),
+                    pa.array([x[4] for x in out], pa.list_(pa.int64())),
                 ],
                 names=["doc_id", "start", "end", "n_words", "first_ids"],
             )
 
-    return met.mapInArrow(measure, "doc_id long, start long, end long, n_words long, first_ids array<long>")
+    schema = "doc_id long, start long, end long, n_words long, first_ids array<long>"
+    return _marked(texts(docs), min_words, "inner").mapInArrow(measure, schema)
 
 
 def delete_repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -165,28 +188,23 @@ def delete_repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> Dat
 
     A boundary inside a character moves to that character's end.
     """
-    version = F.hash(F.col("text").cast("string"))
-    own = texts(docs).withColumn("version", version)
-    found = stored(repeated_spans(own, min_words), "spans").withColumnRenamed("doc_id", "__of").withColumnRenamed("version", "__v")
-    same = F.col("doc_id").eqNullSafe(F.col("__of")) & (version == F.col("__v"))
-    joined = docs.join(found.withColumnRenamed("found", "__found"), same, "left").drop("__of", "__v")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, at = batch.column("__found"), batch.schema.get_field_index("text")
-            marked = found.is_valid().to_numpy(zero_copy_only=False)
+            at = batch.schema.get_field_index("text")
             columns, changed = list(batch.columns[:-1]), []
-            for i in np.flatnonzero(marked).tolist():
-                body, last, kept = columns[at][i].as_py().encode(), 0, []
-                for start, end, _ in merged(found[i].as_py()):
+            for _, body, spans in _repeated(batch, at, min_words):
+                last, kept = 0, []
+                for start, end, _ in spans:
                     kept.append(body[last : _whole(body, start)])
                     last = _whole(body, end)
                 changed.append(b"".join([*kept, body[last:]]).decode())
             if changed:
-                columns[at] = pc.replace_with_mask(columns[at], pa.array(marked), pa.array(changed, columns[at].type))
+                marked = batch.column("__found").is_valid()
+                columns[at] = pc.replace_with_mask(columns[at], marked, pa.array(changed, columns[at].type))
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    return joined.mapInArrow(cut, T.StructType(docs.schema.fields))
+    return _marked(docs, min_words, "left").mapInArrow(cut, T.StructType(docs.schema.fields))
 
 
 def _whole(body: bytes, at: int) -> int:
