@@ -173,3 +173,20 @@ def test_insert_delete_update(spark):
     start = {2: row(2, "x", "y"), 4: row(4, "x", "y")}
     updated = as_table(apply.update_by_key(base(spark, start), df, KEYS))
     assert updated == {2: row(2, "a4", None), 4: row(4, "x", "y")}
+
+
+@pytest.mark.parametrize("how", ["upsert", "insert_if_absent", "delete_by_key", "update_by_key"])
+def test_null_keys_fail(spark, how):
+    target = spark.createDataFrame([(1, "a", "b")], "id int, actor string, alias string")
+    rows = [(None, "x", "y", 5)]
+    flat = spark.createDataFrame(rows, "id int, actor string, alias string, seq bigint")
+    calls = {
+        "upsert": lambda: apply.upsert(
+            target, flat.select("id", "seq", F.struct("id", "actor", "alias").alias("row")), KEYS
+        ),
+        "insert_if_absent": lambda: apply.insert_if_absent(target, flat, KEYS),
+        "delete_by_key": lambda: apply.delete_by_key(target, flat, KEYS),
+        "update_by_key": lambda: apply.update_by_key(target, flat, KEYS),
+    }
+    with pytest.raises(Exception, match="NULL key id"):
+        calls[how]().collect()

@@ -41,6 +41,15 @@ def test_upsert_changelog_against_a_table(spark, hot_rows):
     assert entries(got) == fold_changelog(rows, table)
 
 
+def test_upsert_changelog_starts_below_zero(spark):
+    rows = [(seq - 150, *rest) for seq, *rest in random_upserts(9)]
+    got = changelog.upsert_changelog(frame(spark, rows, UPSERTS), KEYS, "row", "seq", hot_rows=1, width=8)
+    assert entries(got) == fold_changelog(rows)
+    unplaced = frame(spark, [(None, 1, row(1, "a"))], UPSERTS)
+    with pytest.raises(Exception, match="without its place"):
+        changelog.upsert_changelog(unplaced, KEYS, "row", "seq").collect()
+
+
 def test_changelog_kinds(spark):
     rows = [
         (1, "r", None, row(1, "a")),

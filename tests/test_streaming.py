@@ -175,6 +175,33 @@ def test_partition_commit(spark, folder):
         assert ids() == [1, 2, 3, 4, 5]
     ledger = {r.ts_hour: (r.published_in, r.late) for r in committer.published().collect()}
     assert ledger["01"] == (2, True) and ledger["02"][0] == 1 and not ledger["02"][1]
+    # The ledger remembers what was late; a row without a partition fails its batch.
+    committer.process(timed(spark, [(7, 4, 0)]), "event_time", 3)
+    assert {r.ts_hour: r.late for r in committer.ledger().collect()}["01"] is True
+    nowhere = timed(spark, [(8, 4, 1)]).withColumn("ts_hour", F.lit(None).cast("string"))
+    with pytest.raises(Exception, match="a row without ts_hour"):
+        committer.process(nowhere, "event_time", 4)
+
+
+def test_store_refuses_another_layout(spark, folder):
+    rows = spark.createDataFrame([(1, "a", "b")], schemas.DEMO)
+    KeyedStore(spark, f"{folder}/s", schemas.DEMO, KEYS, 4).create(rows)
+    assert KeyedStore(spark, f"{folder}/s", schemas.DEMO, KEYS, 4).read().count() == 1
+    with pytest.raises(ValueError, match="laid out as"):
+        KeyedStore(spark, f"{folder}/s", schemas.DEMO, KEYS, 8).read()
+
+
+def test_history_that_vacuum_took_is_not_an_empty_table(spark, folder):
+    rows = spark.createDataFrame([(1, "a", "b")], schemas.DEMO)
+    store = KeyedStore(spark, f"{folder}/s", schemas.DEMO, KEYS, 4)
+    store.create(rows)
+    changed = F.struct(F.col("id"), F.lit("z").alias("actor"), F.col("alias"))
+    reduced = rows.select("id", F.lit(True).alias("had_delete"), changed.alias("row"))
+    store.commit(reduced, "feed", 0)
+    assert store.read_before("feed", 0).first().actor == "a"
+    store.vacuum(keep=1)
+    with pytest.raises(ValueError, match="no longer kept"):
+        store.read_before("feed", 0)
 
 
 def test_partitioned_table_job_refuses_updates(spark, folder):

@@ -160,9 +160,14 @@ def apply_changes(
     return merge_changes(target, reduce_changes(changes, keys, **options), keys)
 
 
+def _with_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows``, failing at a NULL key."""
+    return rows.withColumns({k: F.coalesce(F.col(k), _fail(f"NULL key {k}")) for k in keys})
+
+
 def latest_upserts(upserts: DataFrame, keys: Sequence[str], row: str, seq: str) -> DataFrame:
     """The last row per key, NULL for a delete; combined before the shuffle."""
-    return upserts.groupBy(*keys).agg(F.max_by(row, seq).alias("row"))
+    return _with_keys(upserts, keys).groupBy(*keys).agg(F.max_by(row, seq).alias("row"))
 
 
 def _no_tombstones(latest: DataFrame) -> DataFrame:
@@ -227,7 +232,7 @@ def insert_if_absent(
 ) -> DataFrame:
     """Add the first row of every key the target lacks."""
     keys = list(keys)
-    first = rows.groupBy(*keys).agg(
+    first = _with_keys(rows, keys).groupBy(*keys).agg(
         F.min_by(F.struct(*[c for c in rows.columns if c != seq]), seq).alias("row")
     )
     added = first.join(target.select(*keys), keys, "left_anti")
@@ -238,7 +243,7 @@ def insert_if_absent(
 
 def delete_by_key(target: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Remove the rows whose key is listed."""
-    return target.join(doomed.select(*keys).distinct(), list(keys), "left_anti")
+    return target.join(_with_keys(doomed, keys).select(*keys).distinct(), list(keys), "left_anti")
 
 
 def update_by_key(
@@ -246,7 +251,7 @@ def update_by_key(
 ) -> DataFrame:
     """Set the other columns of existing rows to the last values given, NULLs included."""
     keys = list(keys)
-    last = rows.groupBy(*keys).agg(
+    last = _with_keys(rows, keys).groupBy(*keys).agg(
         F.max_by(F.struct(*[c for c in rows.columns if c not in (*keys, seq)]), seq).alias("new")
     )
     columns = []

@@ -102,18 +102,23 @@ def upsert_changelog(
     The first row of a key inserts, later rows update, a NULL row deletes; a delete for
     an absent key gives nothing. With ``emit_unchanged=False`` an update that changes
     nothing gives nothing either. ``table``, if given, holds the rows from before the feed.
-    ``seq`` must be unique per key and not negative.
+    ``seq`` must be unique per key; a NULL fails.
 
     The previous row comes from ``lag``. Hot keys are cut into ranges of ``seq``, so no
     task holds more than ``width`` rows of one key, and the last row of each range is
     carried to the first row of the next.
     """
-    slim = upserts.select(*keys, F.col(seq).alias("seq"), F.struct(F.col(row)).alias("box"))
+    no_seq = F.raise_error(F.lit("a change without its place in the order"))
+    place = F.coalesce(F.col(seq), no_seq.cast(upserts.schema[seq].dataType))
+    slim = upserts.select(
+        *keys, place.alias("seq"), F.lit(False).alias("earlier"), F.struct(F.col(row)).alias("box")
+    )
     if table is not None:
         touched = slim.select(*keys).distinct()
         earlier = table.join(touched, list(keys), "left_semi").select(
             *keys,
-            F.lit(-1).cast("bigint").alias("seq"),
+            F.lit(-(1 << 63)).cast("bigint").alias("seq"),
+            F.lit(True).alias("earlier"),
             F.struct(F.struct(*table.columns).alias(row)).alias("box"),
         )
         slim = slim.unionByName(earlier)
@@ -135,6 +140,7 @@ def upsert_changelog(
         .join(carried, [*keys, "seg"], "left")
         .select(
             "seq",
+            "earlier",
             F.coalesce("inside", "carried")[row].alias("old"),
             F.col("box")[row].alias("new"),
         )
@@ -150,7 +156,7 @@ def upsert_changelog(
         )
         .when(old.isNotNull() & new.isNull(), F.array(_entry(0, kinds.DELETE, old)))
     )
-    rows = paired.where(F.col("seq") >= 0).select("seq", F.explode(entries).alias("entry"))
+    rows = paired.where(~F.col("earlier")).select("seq", F.explode(entries).alias("entry"))
     return rows.select("seq", "entry.sub", "entry.row_kind", "entry.image.*")
 
 

@@ -141,10 +141,6 @@ def inline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(f"SELECT name, id FROM {view}")
 
 
-def file_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_sources.file_lengths(spark, sf_dir)
-
-
 # Projection and changelogs
 
 
@@ -611,7 +607,6 @@ QUERIES: dict[str, Query] = {
         raw_string_decode,
         delimited_lines,
         inline_rows,
-        file_lengths,
         op_name,
         row_kind_op,
         projection,

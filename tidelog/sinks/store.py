@@ -39,6 +39,8 @@ class Manifest:
     base_rows: int = 0
     deltas: dict[int, int] = field(default_factory=dict)
     feeds: dict[str, int] = field(default_factory=dict)
+    #: How the table is laid out; a store opened with another layout is refused.
+    layout: dict[str, int | list[str]] = field(default_factory=dict)
 
     @property
     def delta_rows(self) -> int:
@@ -101,9 +103,16 @@ class KeyedStore:
             if not versions:
                 return Manifest()
             version = versions[-1]
-        return Manifest.from_json(storage.read_text(self.spark, self._manifest_file(version)))
+        found = Manifest.from_json(storage.read_text(self.spark, self._manifest_file(version)))
+        if found.layout and found.layout != self._layout():
+            raise ValueError(f"the table at {self.path} is laid out as {found.layout}")
+        return found
+
+    def _layout(self) -> dict[str, int | list[str]]:
+        return {"buckets": self.buckets, "keys": self.keys, "columns": self.schema.names}
 
     def _publish(self, manifest: Manifest) -> Manifest:
+        manifest = replace(manifest, layout=self._layout())
         storage.write_text(self.spark, self._manifest_file(manifest.version), manifest.to_json())
         return manifest
 
@@ -160,6 +169,8 @@ class KeyedStore:
         manifest = self.manifest()
         while manifest.version > 0 and manifest.feeds.get(feed, -1) >= batch:
             earlier = [v for v in self._versions() if v < manifest.version]
+            if not earlier and manifest.version > 1:
+                raise ValueError(f"the table before batch {batch} of {feed} is no longer kept")
             manifest = self.manifest(earlier[-1]) if earlier else Manifest()
         return self._read(manifest)
 

@@ -9,8 +9,11 @@ from pyspark.sql import types as T
 
 
 def file_lengths(spark: SparkSession, folder: str) -> DataFrame:
-    """Path and length of every file under ``folder``; contents are not read."""
-    return spark.read.format("binaryFile").load(folder).select("path", "length")
+    """Path and length of the files under ``folder`` and the folders in it.
+
+    Contents are not read. Files whose names begin with ``_`` or ``.`` are left out.
+    """
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length")
 
 
 def inline_rows(

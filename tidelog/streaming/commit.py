@@ -60,6 +60,9 @@ class PartitionCommitter:
         return self.spark.read.schema(LEDGER).parquet(f"{self.path}/ledger/batch={max(done)}")
 
     def _stage(self, rows: DataFrame, batch: int) -> T.StructType:
+        for part in PARTS:
+            no_part = F.raise_error(F.lit(f"a row without {part} belongs to no partition"))
+            rows = rows.withColumn(part, F.coalesce(F.col(part), no_part.cast("string")))
         rows.write.mode("overwrite").parquet(f"{self.path}/stage/batch={batch}")
         return rows.schema
 
@@ -80,6 +83,7 @@ class PartitionCommitter:
             .alias("batches"),
             F.greatest("top", "arrived_top").alias("top"),
             F.col("published_in"),
+            F.col("late").alias("was_late"),
             came.alias("came"),
         )
         clock = merged.agg(F.max(F.unix_micros("top"))).first()[0]
@@ -93,7 +97,9 @@ class PartitionCommitter:
             F.when(publish, F.lit(batch).cast("bigint"))
             .otherwise(F.col("published_in"))
             .alias("published_in"),
-            F.when(publish, F.col("published_in").isNotNull()).alias("late"),
+            F.when(publish, F.col("published_in").isNotNull())
+            .otherwise(F.col("was_late"))
+            .alias("late"),
         )
         folder = f"{self.path}/ledger/batch={batch}"
         marked.write.mode("overwrite").parquet(folder)
