@@ -100,6 +100,20 @@ def test_upsert_records_keep_nulls_and_tombstones(spark):
     ]
 
 
+def test_moved_rows_leave_a_tombstone(spark):
+    rows = [(1, "c", None, row(1)), (2, "u", row(1), row(2)), (3, "u", row(2), row(2)), (4, "u", row(2), row(1))]
+    log = changelog.changelog(frame(spark, rows, CHANGES), KEYS)
+    got = changelog.upsert_records(log, KEYS, schemas.COLUMNS).orderBy("offset").collect()
+    assert [(r.key, r.value is None, r.offset) for r in got] == [
+        ('{"id":1}', False, 2),
+        ('{"id":1}', True, 4),
+        ('{"id":2}', False, 5),
+        ('{"id":2}', False, 7),
+        ('{"id":2}', True, 8),
+        ('{"id":1}', False, 9),
+    ]
+
+
 def test_unknown_codes(spark):
     df = spark.createDataFrame([("c",), ("z",), (None,)], "code string")
     names = df.select(kinds.op_name(F.col("code")), kinds.row_kind_op(F.col("code"))).collect()

@@ -22,21 +22,29 @@ def _entry(sub: int, kind: str, image: Column) -> Column:
     return F.struct(F.lit(sub).alias("sub"), F.lit(kind).alias("row_kind"), image.alias("image"))
 
 
-def changelog(changes: DataFrame) -> DataFrame:
+def changelog(changes: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """One row per image of each change, with its row kind.
 
     Reads and creates insert, updates give a before and an after row, deletes give a
     delete row; truncate and message changes carry no row. Columns other than the
-    envelope's stay.
+    envelope's stay. With ``keys``, an update that changes one of them gives a delete
+    and an insert instead, as the row leaves one key and turns up under another.
     """
     op, before, after = (F.col(c) for c in CHANGE_FIELDS)
 
     needs_after = op.isin("c", "r", "u") & after.isNull()
     needs_before = op.isin("u", "d") & before.isNull()
+    moved = F.lit(False)
+    for key in keys:
+        moved = moved | ~before[key].eqNullSafe(after[key])
     entries = (
         F.when(needs_after, F.raise_error(F.lit("a change lacks its after image")))
         .when(needs_before, F.raise_error(F.lit("a change lacks its before image")))
         .when(op.isin("c", "r"), F.array(_entry(0, kinds.INSERT, after)))
+        .when(
+            (op == "u") & moved,
+            F.array(_entry(0, kinds.DELETE, before), _entry(1, kinds.INSERT, after)),
+        )
         .when(
             op == "u",
             F.array(_entry(0, kinds.UPDATE_BEFORE, before), _entry(1, kinds.UPDATE_AFTER, after)),
@@ -70,7 +78,9 @@ def without_null_records(df: DataFrame, record: str) -> DataFrame:
 def upsert_records(log: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """A changelog as keyed JSON upserts: the after row, or a NULL value for a delete.
 
-    ``seq`` and ``sub`` fold into one ``offset`` that keeps the order of the log.
+    ``seq`` and ``sub`` fold into one ``offset`` that keeps the order of the log. Rows
+    from before an update are left out, so the log must show an update that changes its
+    key as a delete and an insert: ``changelog`` does with the same ``keys``.
     """
     return log.where(F.col("row_kind") != kinds.UPDATE_BEFORE).select(
         codecs.to_json(F.struct(*keys)).alias("key"),

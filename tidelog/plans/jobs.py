@@ -80,8 +80,11 @@ def image_log_job(
 def keyed_topic_job(
     records: DataFrame, path: str, checkpoint: str, trigger: str | None = None
 ) -> StreamingQuery:
-    """Change feed to a keyed topic in file form (``key``, ``value``, ``offset``)."""
-    log = changelog.changelog(feeds.decoded_changes(records))
+    """Change feed to a keyed topic in file form (``key``, ``value``, ``offset``).
+
+    A row that moves to another key leaves a tombstone under its old one.
+    """
+    log = changelog.changelog(feeds.decoded_changes(records), schemas.KEYS)
     upserts = changelog.upsert_records(log, schemas.KEYS, schemas.COLUMNS)
     return files.start_parquet(upserts, path, checkpoint, trigger)
 

@@ -139,8 +139,7 @@ select 'demo' as topic, part as partition, "offset", {_ENVELOPE} as value, "offs
 from gapped""",
     "resequence_stream": f"""with {_GAPPED}
 select 'demo' as topic, part as partition, "offset", {_ENVELOPE} as value,
-  "offset" - coalesce(lag("offset") over (partition by part, "offset" // 65536 order by "offset"),
-    "offset" // 65536 * 65536 - 1) - 1 as skipped,
+  "offset" - coalesce(lag("offset") over (partition by part order by "offset"), -1) - 1 as skipped,
   false as late
 from gapped""",
     "row_to_text": f"""with {_UPS}
@@ -150,12 +149,13 @@ select seq, 'Demo(id=' || id || ', actor=' || coalesce(actor, 'null') || ', alia
   strftime(ts, '%Y%m%d') as ts_date, strftime(ts, '%H') as ts_hour, strftime(ts, '%M') as ts_minute
 from events""",
     "widen_cast": _BASE_WIDE,
-    "upsert_kafka_encode": f"""with {_LOG}
-select cast(json_object('id', id) as varchar) as key,
-  case when row_kind <> '-D'
+    "upsert_kafka_encode": f"""with {_LOG}, paired as (
+  select *, lead(id) over (partition by seq order by sub) as next_id from log
+) select cast(json_object('id', id) as varchar) as key,
+  case when row_kind not in ('-D', '-U')
     then cast(json_object('id', id, 'actor', actor, 'alias', alias) as varchar) end as value,
   seq * 2 + sub as "offset"
-from log where row_kind <> '-U'""",
+from paired where row_kind <> '-U' or id <> next_id""",
     "cdc_apply": _APPLY,
     "cdc_apply_stream": _APPLY,
     "resume_exactly_once": _APPLY,
@@ -195,10 +195,9 @@ select 'Demo(id=' || log.id || ', actor=' || coalesce(log.actor, 'null') || ', a
   || coalesce(log.alias, 'null') || ')' as line, strftime(cdc.ts, '%Y-%m-%d--%H') as bucket
 from log join cdc using (seq)""",
     "job_cdc_upsert": f"""with {_BASE}, {_LOG}, last as (
-  select * from log where row_kind <> '-U'
-  qualify row_number() over (partition by id order by seq desc, sub desc) = 1
+  select * from log qualify row_number() over (partition by id order by seq desc, sub desc) = 1
 ) select * from base where id not in (select id from last)
-union all select id, actor, alias from last where row_kind <> '-D'""",
+union all select id, actor, alias from last where row_kind not in ('-D', '-U')""",
     "job_partitioned_table": _published("date_trunc('hour', max(ts))"),
     "job_lines_to_table": f"with {_BASE} select id, actor as name from base",
     "job_jdbc_insert_if_absent": f"""with {_BASE}

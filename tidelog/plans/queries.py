@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +25,7 @@ from tidelog.sources import feeds, jdbc
 from tidelog.sources import files as file_sources
 from tidelog.streaming.apply import start_upserts
 from tidelog.streaming.commit import PARTS, PartitionCommitter, start_partition_commit
-from tidelog.streaming.resequence import resequence_stream
+from tidelog.streaming.resequence import released, start_resequence
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -152,8 +151,8 @@ def op_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changelog.changelog(fx.changes(spark, sf_dir).select("seq", "op", "before", "after"))
+def _log(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
+    return changelog.changelog(fx.changes(spark, sf_dir).select("seq", "op", "before", "after"), keys)
 
 
 def row_kind_op(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,7 +186,7 @@ def null_record_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_kafka_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changelog.upsert_records(_log(spark, sf_dir), KEYS, COLUMNS)
+    return changelog.upsert_records(_log(spark, sf_dir, *KEYS), KEYS, COLUMNS)
 
 
 def upsert_kafka_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -395,19 +394,6 @@ def sql_script(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streaming
 
 
-@contextmanager
-def _local_state_partitions(spark: SparkSession):
-    """On one machine, as many state partitions as cores; a cluster keeps its setting."""
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    if is_local(spark):
-        spark.conf.set(name, min(int(before), spark.sparkContext.defaultParallelism))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def _write_feed(feed: DataFrame, order: str, path: str) -> None:
     """Add a feed's records to a folder, in as many files as the session runs tasks."""
     tasks = feed.sparkSession.sparkContext.defaultParallelism
@@ -486,10 +472,7 @@ def resequenced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def run() -> None:
         stream = feeds.file_feed(spark, f"{folder}/feed", records.schema)
-        ordered = resequence_stream(stream)
-        with _local_state_partitions(spark):
-            query = files.start_parquet(ordered, f"{folder}/out", f"{folder}/cp", None)
-            query.awaitTermination()
+        start_resequence(stream, f"{folder}/out", f"{folder}/cp").awaitTermination()
 
     for turn in range(3):
         part = records.where(F.col("offset") % 3 == turn)
@@ -497,8 +480,7 @@ def resequenced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         run()
     last.write.mode("append").parquet(f"{folder}/feed")
     run()
-    emitted = spark.read.parquet(f"{folder}/out")
-    return emitted.select("topic", "partition", "offset", "value", "skipped", "late")
+    return released(spark, f"{folder}/out")
 
 
 # Jobs

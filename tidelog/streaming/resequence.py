@@ -1,119 +1,198 @@
-"""Putting a stream of transport records back in offset order, with keyed state."""
+"""Putting a stream of transport records back in offset order, as set operations per batch."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-SEGMENT = 1 << 16
+from tidelog import storage
+from tidelog.operators import sequence, skew
 
-OUTPUT = (
-    "topic string, partition int, offset bigint, value string, skipped bigint, late boolean"
-)
-STATE = (
-    "next bigint, offsets array<bigint>, values array<string>, "
-    "arrivals array<bigint>, missing array<bigint>"
-)
+PARTS = ("topic", "partition")
+OUTPUT = "topic string, partition int, offset bigint, value string, skipped bigint, late boolean"
+RECORDS = "topic string, partition int, offset bigint, value string, arrival bigint"
+MARKS = "topic string, partition int, next bigint, clock bigint"
+GAPS = "topic string, partition int, low bigint, high bigint"
 
 
-def resequence_stream(
-    records: DataFrame,
+def start_resequence(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
     arrival: str = "arrival",
     max_wait: str = "1 minute",
-    segment: int = SEGMENT,
-) -> DataFrame:
-    """Emit each (topic, partition, offset) once, holding records back until their turn.
-
-    A record is released when all offsets before it have been, or when it has waited
-    ``max_wait`` of arrival time; ``skipped`` counts the offsets given up just before it.
-    A record that turns up after its offset was given up is emitted at once, marked
-    ``late``. Copies of released records are dropped.
-
-    ``arrival`` is the time a record reached the log (for Kafka the log-append
-    timestamp). It never runs backwards by ``max_wait`` or more, so the watermark on it
-    rejects nothing.
-
-    State is kept per range of ``segment`` offsets of a partition. That bounds a group's
-    buffer and lets the ranges of one busy partition run in different tasks; the start of
-    a range waits for nothing outside it. Records with a negative partition only carry
-    time forward.
+    trigger: str | None = None,
+    width: int = skew.SEGMENT,
+) -> StreamingQuery:
+    """Land each (topic, partition, offset) once, holding records back until their turn.
+
+    A record is released when all offsets before it have been, from 0 on, or when it has
+    waited ``max_wait``; ``skipped`` counts the offsets given up just before it. A record
+    that turns up after its offset was given up is released at once, marked ``late``.
+    Copies of released records are dropped, and nothing else is.
+
+    ``arrival`` is the time a record reached the log. Every partition has its own clock,
+    the latest arrival it has seen, so one that lags behind others is not hurried.
+    Records with a negative partition carry no value and move all clocks forward.
+    A NULL position or arrival fails the batch.
+
+    What is held back, one mark per partition and the gaps given up lie in the checkpoint
+    folder by batch; a batch that runs again reads what its predecessor left and
+    overwrites what it wrote. ``width`` only decides how a busy partition is split over
+    tasks.
     """
+    spark = stream.sparkSession
 
-    def step(key, frames, state):
-        # Nested, so workers need no import of this package.
-        import numpy as np
-        import pandas as pd
-
-        topic, partition, number = key
-        if partition < 0:
-            return
-        first, offsets, values, arrivals, missing = number * segment, [], [], [], []
-        if state.exists:
-            first, offsets, values, arrivals, missing = state.get
-        held = pd.DataFrame(
-            {
-                "offset": np.array(offsets, dtype="int64"),
-                "value": np.array(values, dtype="object"),
-                "arrival_ms": np.array(arrivals, dtype="int64"),
-            }
+    def step(batch: DataFrame, number: int) -> None:
+        feed = json.loads(storage.read_text(spark, f"{checkpoint}/metadata"))["id"]
+        state = _State(spark, f"{checkpoint}/held", number)
+        _step(batch, state, arrival, max_wait, width).write.mode("overwrite").parquet(
+            f"{path}/feed={feed}/batch={number}"
         )
-        gone = np.array(missing, dtype="int64")
-        pieces = []
-        for frame in frames:
-            if frame.empty:  # a timeout brings no rows, and columns without their types
-                continue
-            frame = frame[list(held.columns)].drop_duplicates("offset")
-            behind = frame["offset"] < first
-            if behind.any():
-                late = frame[behind & frame["offset"].isin(gone)]
-                gone = np.setdiff1d(gone, late["offset"])
-                pieces.append(late.assign(skipped=0, late=True))
-                frame = frame[~behind]
-            held = pd.concat([held, frame]) if len(held) else frame
-            held = held.drop_duplicates("offset")
-        held = held.sort_values("offset")
-        order = held["offset"].to_numpy()
-        watermark = state.getCurrentWatermarkMs()
-
-        # Everything up to the last record that has waited long enough goes, and so does
-        # whatever follows that, or the records released before, without a gap.
-        waited = np.flatnonzero(held["arrival_ms"] <= watermark)
-        ready = int(waited[-1]) + 1 if len(waited) else 0
-        start = order[ready - 1] + 1 if ready else first
-        broken = np.flatnonzero(order[ready:] != start + np.arange(len(order) - ready))
-        ready = ready + int(broken[0]) if len(broken) else len(order)
-
-        if ready:
-            skipped = np.diff(order[:ready], prepend=first - 1) - 1
-            pieces.append(held[:ready].assign(skipped=skipped, late=False))
-            if skipped.any():
-                given_up = np.setdiff1d(np.arange(first, order[ready - 1]), order[:ready])
-                gone = np.union1d(gone, given_up)
-            first = int(order[ready - 1]) + 1
-        rest = held[ready:]
-        state.update((first, *[rest[c].tolist() for c in held.columns], gone.tolist()))
-        if len(rest):
-            state.setTimeoutTimestamp(max(int(rest["arrival_ms"].min()), watermark + 1))
-        if pieces:
-            out = pd.concat(pieces).assign(topic=topic, partition=partition)
-            yield out[["topic", "partition", "offset", "value", "skipped", "late"]]
-
-    def drop_copies(batches):
-        # Before the shuffle, so copies of one record do not pile up in one task.
-        import pyarrow as pa
-
-        for batch in batches:
-            copies = batch.select(["topic", "partition", "offset"]).to_pandas().duplicated()
-            yield batch.filter(pa.array(~copies))
-
-    slim = records.select("topic", "partition", "offset", "value", arrival)
-    keyed = (
-        slim.mapInArrow(drop_copies, slim.schema)
-        .withWatermark(arrival, max_wait)
-        .withColumn("segment", F.expr(f"offset div {segment}"))
-        .withColumn("arrival_ms", F.unix_millis(arrival))
-        .select("topic", "partition", "segment", "offset", "value", "arrival_ms", arrival)
+        state.forget()
+
+    writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    timed = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
+    return timed.start()
+
+
+def released(spark: SparkSession, path: str) -> DataFrame:
+    """The records landed under ``path``."""
+    names = [c.split()[0] for c in OUTPUT.split(", ")]
+    return spark.read.schema(OUTPUT).parquet(path).select(*names)
+
+
+class _State:
+    """Tables of one batch, and those of the batch before."""
+
+    def __init__(self, spark: SparkSession, path: str, number: int):
+        self.spark, self.path, self.number = spark, path, number
+
+    def before(self, name: str, schema: str) -> DataFrame:
+        if self.number == 0:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{self.number - 1}/{name}")
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        path = f"{self.path}/{self.number}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def forget(self) -> None:
+        """Drop what no batch reads any more; this one and the one before may run again."""
+        for name in storage.list_names(self.spark, self.path):
+            if int(name) < self.number - 1:
+                storage.delete_folder(self.spark, f"{self.path}/{name}")
+
+
+def _given(column: str) -> Column:
+    kind = {"topic": "string", "partition": "int", "offset": "bigint", "arrival": "bigint"}[column]
+    failure = F.raise_error(F.lit(f"a record without its {column}")).cast(kind)
+    return F.coalesce(F.col(column).cast(kind), failure).alias(column)
+
+
+def _step(batch: DataFrame, state: _State, arrival: str, max_wait: str, width: int) -> DataFrame:
+    timed = batch.select(
+        *PARTS, "offset", F.col("value").cast("string").alias("value"), F.unix_micros(arrival).alias("arrival")
+    )
+    named = timed.select(*(_given(c) for c in (*PARTS, "offset")), "value", _given("arrival"))
+    came = state.put("came", sequence.distinct_records(named))
+    tick = came.where("partition < 0").agg(F.max("arrival")).first()[0]
+    came = came.where("partition >= 0")
+
+    first = came.groupBy(*PARTS).agg(F.lit(0).cast("bigint").alias("next"), F.max("arrival").alias("clock"))
+    marks = state.before("marks", MARKS).unionByName(first).groupBy(*PARTS)
+    marks = marks.agg(F.max("next").alias("next"), F.max("clock").alias("clock"))
+    marks = marks.withColumn("clock", F.greatest("clock", F.lit(tick).cast("bigint")))
+    marks = state.put("now", marks)
+
+    placed = came.join(marks.select(*PARTS, "next"), list(PARTS))
+    gaps = state.before("gaps", GAPS)
+    late = state.put("late", _late(placed.where("offset < next").select(*came.columns), gaps, width))
+
+    held = state.before("rest", RECORDS).unionByName(placed.where("offset >= next").select(*came.columns))
+    held = state.put("pool", sequence.distinct_records(held))
+    deadline = F.unix_micros(F.timestamp_micros("clock") - F.expr(f"interval {max_wait}"))
+    due = held.join(marks.withColumn("deadline", deadline), list(PARTS))
+    # everything up to the last record that has waited long enough goes ...
+    start = due.groupBy(*PARTS, "next").agg(
+        F.coalesce(F.max(F.when(F.col("arrival") <= F.col("deadline"), F.col("offset"))) + 1, "next").alias("start")
+    )
+    start = state.put("start", start)
+    turn = held.join(start, list(PARTS))
+    waited = _after_gaps(turn.where("offset < start"), width)
+    # ... and so does what follows that, or the records released before, without a gap
+    ranked = skew.numbered(turn.where("offset >= start"), PARTS, "offset", "rank", width)
+    ranked = ranked.withColumn("follows", F.col("offset") - F.col("rank") == F.col("start") - 1)
+    ranked = state.put("ranked", ranked)
+    shown = [*PARTS, "offset", "value"]
+    no_gap = F.lit(0).cast("bigint").alias("skipped")
+    turned = waited.select(*shown, "skipped").unionByName(ranked.where("follows").select(*shown, no_gap))
+    turned = state.put("turned", turned)
+
+    state.put("rest", ranked.where("not follows").select(*came.columns))
+    ends = turned.groupBy(*PARTS).agg((F.max("offset") + 1).alias("end"))
+    moved = marks.join(ends, list(PARTS), "left")
+    state.put("marks", moved.select(*PARTS, F.coalesce("end", "next").alias("next"), "clock"))
+    opened = turned.where("skipped > 0").select(
+        *PARTS, (F.col("offset") - F.col("skipped")).alias("low"), (F.col("offset") - 1).alias("high")
+    )
+    state.put("gaps", _left_open(gaps, late).unionByName(opened))
+    back = late.select(*shown, no_gap, F.lit(True).alias("late"))
+    return turned.withColumn("late", F.lit(False)).unionByName(back)
+
+
+def _after_gaps(rows: DataFrame, width: int) -> DataFrame:
+    """Adds ``skipped``, the offsets between a row and the one before, or ``next``.
+
+    Only the last offset of each range of a partition crosses to the following range.
+    """
+    cut = rows.withColumn("seg", skew.segment("offset", width))
+    lasts = cut.groupBy(*PARTS, "seg").agg(F.max("offset").alias("last"))
+    in_turn = Window.partitionBy(*PARTS).orderBy("seg")
+    carried = lasts.select(*PARTS, "seg", F.lag("last").over(in_turn).alias("carried"))
+    inside = F.lag("offset").over(Window.partitionBy(*PARTS, "seg").orderBy("offset"))
+    previous = F.coalesce("inside", "carried", F.col("next") - 1)
+    return (
+        cut.withColumn("inside", inside)
+        .join(carried, [*PARTS, "seg"])
+        .withColumn("skipped", F.col("offset") - previous - 1)
+    )
+
+
+def _late(records: DataFrame, gaps: DataFrame, width: int) -> DataFrame:
+    """The records whose offset lies in a gap, with ``low`` and ``high`` of the gap.
+
+    Gaps are cut at the ends of ranges of ``width`` offsets and never overlap, so the gap
+    of a record is the last one that begins before it in its range.
+    """
+    segs = F.explode(F.sequence(F.expr(f"low div {width}"), F.expr(f"high div {width}"))).alias("seg")
+    cut = gaps.select(*PARTS, "low", "high", segs).select(
+        *PARTS,
+        "seg",
+        F.greatest("low", F.col("seg") * width).alias("offset"),
+        F.struct("low", "high").alias("gap"),
     )
-    return keyed.groupBy("topic", "partition", "segment").applyInPandasWithState(
-        step, OUTPUT, STATE, "append", "EventTimeTimeout"
+    own = records.withColumn("seg", skew.segment("offset", width))
+    both = own.unionByName(cut, allowMissingColumns=True)
+    # a gap stands before a record at its first offset
+    order = Window.partitionBy(*PARTS, "seg").orderBy("offset", F.col("arrival").isNotNull())
+    found = both.withColumn("gap", F.last("gap", ignorenulls=True).over(order))
+    found = found.where("arrival is not null and offset <= gap.high")
+    return found.select(*records.columns, "gap.low", "gap.high")
+
+
+def _left_open(gaps: DataFrame, late: DataFrame) -> DataFrame:
+    """The gaps without the offsets of the late records."""
+    gap = [*PARTS, "low", "high"]
+    hit = late.select(*gap).distinct()
+    before = F.lag("offset").over(Window.partitionBy(*gap).orderBy("offset"))
+    pieces = late.withColumn("before", before).select(
+        *PARTS, F.coalesce(F.col("before") + 1, "low").alias("low"), (F.col("offset") - 1).alias("high")
     )
+    ends = late.groupBy(*gap).agg(F.max("offset").alias("last"))
+    pieces = pieces.unionByName(ends.select(*PARTS, (F.col("last") + 1).alias("low"), "high"))
+    return gaps.join(hit, gap, "left_anti").unionByName(pieces.where("low <= high"))
