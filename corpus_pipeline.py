@@ -51,6 +51,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     again = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
     again = again.where("n > 1").select(F.col("doc_id").alias("__again"))
     left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    if again.isEmpty():  # ids are unique, so the texts need not be moved a second time
+        return left
     # an id that comes with several rows keeps one
     once = left.join(again, F.col("doc_id") == F.col("__again"), "left_anti")
     several = left.join(again, F.col("doc_id") == F.col("__again"), "left_semi").dropDuplicates(["doc_id"])
