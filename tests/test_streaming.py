@@ -14,7 +14,7 @@ from tidelog.sinks import files, tables
 from tidelog.sinks.store import KeyedStore
 from tidelog.sources import feeds
 from tidelog.streaming.apply import start_apply_changes
-from tidelog.streaming.commit import PARTS, PartitionCommitter
+from tidelog.streaming.commit import PARTS, PartitionCommitter, start_partition_commit
 from tidelog.streaming.resequence import released, start_resequence
 
 KEYS = ["id"]
@@ -196,6 +196,30 @@ def test_partition_commit(spark, folder):
         committer.process(nowhere, "event_time", 4)
 
 
+def test_partition_commit_on_a_new_checkpoint(spark, folder):
+    """A second feed reuses batch number 0 and takes nothing from the first."""
+    schema = T.StructType.fromDDL("id bigint, ts_date string, ts_hour string, ts_minute string")
+    tables.create_table(spark, "two_feeds", schema, f"{folder}/table", PARTS)
+    committer = PartitionCommitter(spark, "two_feeds", f"{folder}/table", f"{folder}/state")
+
+    def send(checkpoint, *rows):
+        timed(spark, rows).write.mode("append").parquet(f"{folder}/{checkpoint}-in")
+        kind = spark.read.parquet(f"{folder}/{checkpoint}-in").schema
+        stream = feeds.file_feed(spark, f"{folder}/{checkpoint}-in", kind)
+        path = f"{folder}/{checkpoint}"
+        start_partition_commit(stream, committer, "event_time", path, None).awaitTermination()
+        return sorted(r.id for r in spark.table("two_feeds").select("id").collect())
+
+    assert send("a", (1, 1, 0), (2, 1, 30), (3, 2, 5), (4, 3, 0)) == [1, 2, 3]
+    # one row late for hour 1, one that completes hour 3
+    assert send("b", (9, 1, 10), (10, 4, 0)) == [1, 2, 3, 4, 9]
+    assert {r.ts_hour: r.late for r in committer.published().collect()} == {
+        "01": True, "02": False, "03": False
+    }
+    # the first feed goes on where it was
+    assert send("a", (11, 5, 0)) == [1, 2, 3, 4, 9, 10]
+
+
 def test_store_refuses_another_layout(spark, folder):
     rows = spark.createDataFrame([(1, "a", "b")], schemas.DEMO)
     KeyedStore(spark, f"{folder}/s", schemas.DEMO, KEYS, 4).create(rows)

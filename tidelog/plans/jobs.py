@@ -7,7 +7,6 @@ where it stopped.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -151,7 +150,7 @@ def partitioned_table_job(
         return rows.select(*[F.col(c) if c in state.keys else nothing[c] for c in image.names])
 
     def land(batch: DataFrame, number: int) -> None:
-        feed = json.loads(storage.read_text(state.spark, f"{checkpoint}/metadata"))["id"]
+        feed = storage.feed_of(state.spark, checkpoint)
         # Kept on disk, so the source is not fetched and decoded for every use below.
         upserts = topic_rows(batch, image).persist(StorageLevel.DISK_ONLY)
         try:
@@ -162,7 +161,7 @@ def partitioned_table_job(
                 "event_time", F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss")
             )
             rows = codecs.widen(rows.select("*", *parts), target)
-            committer.process(rows, "event_time", number)
+            committer.process(rows, "event_time", number, feed)
             state.commit(apply.reduce_upserts(upserts, state.keys), feed, number)
         finally:
             upserts.unpersist()

@@ -5,6 +5,8 @@ Used for metadata only (manifests, markers, folder names), never for table data.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import SparkSession
 
 
@@ -36,6 +38,11 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def feed_of(spark: SparkSession, checkpoint: str) -> str:
+    """A streaming query's identity lives in its checkpoint; a new checkpoint is a new feed."""
+    return json.loads(read_text(spark, f"{checkpoint}/metadata"))["id"]
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write beside the target and rename, so readers never see half a file."""
     jvm, fs, p = _fs(spark, path)

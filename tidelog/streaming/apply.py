@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -23,8 +22,7 @@ def _run(
     passes: int = 1,
 ) -> StreamingQuery:
     def commit(batch: DataFrame, number: int) -> None:
-        # A query's identity lives in its checkpoint; a new checkpoint is a new feed.
-        feed = json.loads(storage.read_text(store.spark, f"{checkpoint}/metadata"))["id"]
+        feed = storage.feed_of(store.spark, checkpoint)
         if passes > 1:
             # Kept on disk, so the source is not fetched and decoded again.
             batch = batch.persist(StorageLevel.DISK_ONLY)

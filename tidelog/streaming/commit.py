@@ -4,8 +4,11 @@ Each micro-batch is staged in a folder of its own. A partition is published when
 time has passed its start by more than a delay: its rows are gathered from the batches
 that staged some into the table, the catalog learns of it, a success file is written,
 and the ledger says so. Every step overwrites its own output and the batch's marker
-comes last, so a replay changes nothing. Rows arriving after their partition was
-published publish it again, whole, and the ledger marks it late.
+comes last, so a batch that failed half-way can run again, and one that is done is left
+alone. Batches are numbered by the committer, in the order they come, whichever feed they
+are of: a job on a new checkpoint adds to what earlier ones staged and published. Rows
+arriving after their partition was published publish it again, whole, and the ledger
+marks it late.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ class PartitionCommitter:
 
     The ledger has one row per partition, not per record: the batches that staged rows
     for it, its latest event time, and the batch that published it. A batch reads the
-    ledger of the batch before it and writes its own.
+    ledger of the batch before it and writes its own. One feed at a time.
     """
 
     def __init__(
@@ -51,10 +54,15 @@ class PartitionCommitter:
         self.path = path.rstrip("/")
         self.delay = delay
 
+    def _done(self) -> dict[str, int]:
+        """The finished batches, as ``feed.batch``, with the committer's number of each."""
+        names = storage.list_names(self.spark, f"{self.path}/done")
+        split = [name.partition(".") for name in names if name[0].isdigit()]
+        return {batch: int(number) for number, _, batch in split}
+
     def ledger(self, before: int | None = None) -> DataFrame:
         """The ledger of the last finished batch, or of the last one below ``before``."""
-        done = [int(n) for n in storage.list_names(self.spark, f"{self.path}/done")]
-        done = [n for n in done if before is None or n < before]
+        done = [n for n in self._done().values() if before is None or n < before]
         if not done:
             return empty_frame(self.spark, T.StructType.fromDDL(LEDGER))
         return self.spark.read.schema(LEDGER).parquet(f"{self.path}/ledger/batch={max(done)}")
@@ -105,8 +113,12 @@ class PartitionCommitter:
         marked.write.mode("overwrite").parquet(folder)
         return self.spark.read.schema(LEDGER).parquet(folder)
 
-    def process(self, rows: DataFrame, event_time: str, batch: int) -> None:
-        """Stage one batch, then publish what its event time completes."""
+    def process(self, rows: DataFrame, event_time: str, batch: int, feed: str = "feed") -> None:
+        """Stage a feed's batch, then publish what its event time completes."""
+        done, name = self._done(), f"{feed}.{batch}"
+        if name in done:
+            return
+        batch = max(done.values(), default=-1) + 1
         parts = list(PARTS)
         schema = self._stage(rows, batch)
         arrived = self._staged([batch], schema).groupBy(*parts).agg(
@@ -119,7 +131,7 @@ class PartitionCommitter:
             self._publish(pieces.join(ready.select(*parts), parts, "left_semi"))
             # Names of the partitions this batch completed: catalog metadata, not rows.
             self._announce([tuple(row) for row in ready.select(*parts).toLocalIterator()])
-        storage.touch(self.spark, f"{self.path}/done/{batch}")
+        storage.touch(self.spark, f"{self.path}/done/{batch}.{name}")
 
     def _publish(self, rows: DataFrame) -> None:
         """Replace the partitions ``rows`` belong to, and no others."""
@@ -159,8 +171,10 @@ def start_partition_commit(
     trigger: str | None = "1 minute",
 ) -> StreamingQuery:
     """Feed a stream, which carries the partition columns, to a committer."""
-    writer = stream.writeStream.foreachBatch(
-        lambda batch, number: committer.process(batch, event_time, number)
-    ).option("checkpointLocation", checkpoint)
+
+    def land(batch: DataFrame, number: int) -> None:
+        committer.process(batch, event_time, number, storage.feed_of(committer.spark, checkpoint))
+
+    writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     timed = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
     return timed.start()
