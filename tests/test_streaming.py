@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 
 import pytest
 from folds import fold_changes
@@ -228,6 +229,18 @@ def test_store_refuses_another_layout(spark, folder):
         KeyedStore(spark, f"{folder}/s", schemas.DEMO, KEYS, 8).read()
 
 
+def test_second_writer_fails(spark, folder):
+    rows = spark.createDataFrame([(1, "a", "b")], schemas.DEMO)
+    store = KeyedStore(spark, f"{folder}/s", schemas.DEMO, KEYS, 4)
+    store.create(rows)
+    seen = store.manifest()
+    reduced = rows.select("id", F.lit(True).alias("had_delete"), F.struct("*").alias("row"))
+    store.commit(reduced, "feed", 0)
+    with pytest.raises(OSError, match="could not publish"):
+        store._publish(replace(seen, version=seen.version + 1))
+    assert store.manifest().feeds == {"feed": 0}
+
+
 def test_history_that_vacuum_took_is_not_an_empty_table(spark, folder):
     rows = spark.createDataFrame([(1, "a", "b")], schemas.DEMO)
     store = KeyedStore(spark, f"{folder}/s", schemas.DEMO, KEYS, 4)

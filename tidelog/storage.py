@@ -44,7 +44,10 @@ def feed_of(spark: SparkSession, checkpoint: str) -> str:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write beside the target and rename, so readers never see half a file."""
+    """Write beside the target and rename, so readers never see half a file.
+
+    A file that exists is an error: someone else published it.
+    """
     jvm, fs, p = _fs(spark, path)
     part = jvm.org.apache.hadoop.fs.Path(path + ".part")
     stream = fs.create(part, True)
@@ -52,9 +55,7 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(part, p):
+    if fs.exists(p) or not fs.rename(part, p):
         raise OSError(f"could not publish {path}")
 
 
