@@ -5,8 +5,8 @@ the last adds ``copies``, how often the mix repeats a row.
 
 * ``language_id``: texts without letters, and those of which less than ``CONFIDENT`` is
   known in any language, go. Languages are learned from the rows that name theirs.
-* ``line_dedup``: runs of three lines or more that occurred before are deleted; a
-  document that had words and keeps none goes. ``n_chars`` follows the text.
+* ``line_dedup``: runs of three lines or of eight words, and whole texts, that occurred
+  before are deleted; a document that had words and keeps none goes. ``n_chars`` follows the text.
 * ``near_dup``: of documents with 80 % of their five-word shingles in common the one
   with the smallest id stays, once.
 * ``decontamination``: documents that hold a benchmark item go.

@@ -70,6 +70,33 @@ def test_lines(docs, none):
     assert line_dedup.delete_repeated_lines(none).count() == 0
 
 
+def test_lines_of_short_texts_and_long_lines(spark):
+    """Runs of fewer than three lines repeat by their words, whole texts by being whole."""
+    long = "a line that holds as many as eight words"
+    rows = [
+        (0, f"top\n{long}\nend"),
+        (1, f"{long}\nmore"),
+        (2, long),
+        (3, "two short\nlines here"),
+        (4, " two short \n\nlines here\n"),
+        (5, "two short"),
+        (6, "two short"),
+        (7, f"x1\ntwo short\nx2\n{long}\ntwo short\nx3"),
+        (8, "five words are in this\nand three here\na"),
+        (9, "b\nfive words are in this\nand three here"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_deleted) for r in line_dedup.delete_repeated_lines(docs).collect()}
+    assert got == {
+        0: (rows[0][1], 0), 1: ("more", 1), 2: ("", 1), 3: (rows[3][1], 0), 4: ("", 2), 5: ("two short", 0),
+        6: ("", 1), 7: ("x1\ntwo short\nx2\ntwo short\nx3", 1), 8: (rows[8][1], 0), 9: ("b", 2),
+    }
+    left = corpus_pipeline.lines(spark, docs, "")
+    assert sorted(r.doc_id for r in left.collect()) == [0, 1, 3, 5, 7, 8, 9]
+    three = {r.doc_id: r.n_deleted for r in line_dedup.delete_repeated_lines(docs, words=None).collect()}
+    assert not any(three.values())
+
+
 def test_near_duplicates(docs, none):
     rows = near_dup.near_duplicates(docs, 3, 85).collect()
     got = by_id(rows)

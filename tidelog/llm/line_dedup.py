@@ -1,9 +1,12 @@
 """Deleting runs of lines that the corpus already holds, by winnowing over line hashes.
 
 The lines of a document that hold a word, without surrounding blanks, form a sequence of
-hashes. Of every ``window`` consecutive lines the smallest hash (the last one on ties) is
-a fingerprint. Two equal runs of ``window`` lines or more select the same fingerprints,
-so a repeated run is always found through one.
+hashes. Windows are the runs of ``window`` lines, the shorter ones that hold ``words``
+words or more, and a whole text of fewer lines. Of every window the smallest hash (the
+last one on ties) is a fingerprint. Equal windows select the same fingerprint, so a
+repeated run of ``window`` lines or of ``words`` words is always found through one, and
+so is a later copy of a whole text. Shorter runs stay. ``words=None`` has windows of
+``window`` lines only.
 
 1. Fingerprints that occur once in the corpus are set aside.
 2. The positions of the others are joined. Each carries the digests of the windows that
@@ -36,44 +39,65 @@ from tidelog.llm import words as W
 from tidelog.llm.common import stored, texts
 
 WINDOW = 3
-_PRINTS = "doc_id long, version long, print long, windows array<struct<line: int, digest: long>>"
+WORDS = 8
+_PRINTS = "doc_id long, version long, print long, windows array<struct<run: int, digest: long>>"
 
 
-def fingerprints(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def _windows(part: W.Slice, window: int, words: int | None) -> tuple[np.ndarray, ...]:
+    """Row, run, digest, and the line and hash that were chosen, of every window.
+
+    Windows are in the order of the chosen lines. ``run`` is ``window`` times the line in
+    its text, plus the number of lines less one.
+    """
+    found = W.find_words(part)
+    lines = W.find_lines(part, found)
+    hashes = W.span_hashes(part.data, lines.start, lines.end, W.EXACT)
+    before = np.append(np.searchsorted(found.start, lines.start), len(found.start))
+    every = []
+    for size in range(window if words is None else 1, window + 1):
+        digests = W.gram_hashes(hashes, size)
+        rows = lines.rows()[: len(digests)]
+        at = np.arange(len(digests))
+        first, last = lines.first[rows], lines.first[rows + 1]
+        inside = at + size <= last
+        if size < window:
+            inside &= (before[at + size] - before[at] >= words) | ((at == first) & (at + size == last))
+        best, chosen = hashes[size - 1 :].copy(), at + size - 1
+        for back in range(size - 2, -1, -1):
+            smaller = hashes[back : back + len(at)] < best
+            best = np.where(smaller, hashes[back : back + len(at)], best)
+            chosen = np.where(smaller, at + back, chosen)
+        run = (at - first) * window + size - 1
+        every.append([x[inside] for x in (rows, run, digests, chosen, best)])
+    joined = [np.concatenate(x) for x in zip(*every)]
+    order = np.argsort(joined[3], kind="stable")
+    return tuple(x[order] for x in joined)
+
+
+def fingerprints(docs: DataFrame, window: int = WINDOW, words: int | None = WORDS) -> DataFrame:
     """One row per fingerprint position, with the windows that chose it."""
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.slices(batch.column("text")):
-                lines = W.find_lines(part, W.find_words(part))
-                hashes = W.span_hashes(part.data, lines.start, lines.end, W.EXACT)
-                digests = W.gram_hashes(hashes, window)
-                rows = lines.rows()[: len(digests)]
-                at = np.arange(len(digests))
-                inside = at + window <= lines.first[rows + 1]
-                best, chosen = hashes[window - 1 :].copy(), at + window - 1
-                for back in range(window - 2, -1, -1):
-                    smaller = hashes[back : back + len(at)] < best
-                    best = np.where(smaller, hashes[back : back + len(at)], best)
-                    chosen = np.where(smaller, at + back, chosen)
-                at, rows, chosen = at[inside], rows[inside], chosen[inside]
-                new = np.ones(len(at), dtype=bool)
-                new[1:] = (chosen[1:] != chosen[:-1]) | (rows[1:] != rows[:-1])
+                rows, runs, digests, chosen, prints = _windows(part, window, words)
+                new = np.ones(len(rows), dtype=bool)
+                new[1:] = chosen[1:] != chosen[:-1]
                 begins = np.flatnonzero(new)
                 take = pa.array(rows[begins] + part.low)
                 windows = pa.StructArray.from_arrays(
                     [
-                        pa.array((at - lines.first[rows]).astype(np.int32)),
-                        pa.array(digests[at].view(np.int64)),
+                        pa.array(runs.astype(np.int32)),
+                        pa.array(digests.view(np.int64)),
                     ],
-                    names=["line", "digest"],
+                    names=["run", "digest"],
                 )
-                bounds = pa.array(np.append(begins, len(at)).astype(np.int32))
+                bounds = pa.array(np.append(begins, len(rows)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(take),
                         batch.column("version").take(take),
-                        pa.array(hashes[chosen[begins]].view(np.int64)),
+                        pa.array(prints[begins].view(np.int64)),
                         pa.ListArray.from_arrays(bounds, windows),
                     ],
                     names=["doc_id", "version", "print", "windows"],
@@ -83,20 +107,20 @@ def fingerprints(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def repeated_lines(prints: DataFrame) -> DataFrame:
-    """``doc_id, version, lines``: where windows begin that repeat an earlier one."""
+    """``doc_id, version, lines``: the runs of windows that repeat an earlier one."""
     often = prints.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
     met = prints.join(often, "print").select("doc_id", "version", F.explode("windows").alias("w"))
-    met = met.select(F.struct("doc_id", "version", "w.line").alias("place"), F.col("w.digest").alias("digest"))
+    met = met.select(F.struct("doc_id", "version", "w.run").alias("place"), F.col("w.digest").alias("digest"))
     # rows that repeat a whole document are one place
     first = met.groupBy("digest").agg(F.min("place").alias("kept"), F.max("place").alias("other"))
     first = first.where("kept <> other").select("digest", "kept")
     later = met.join(first, "digest").where("place > kept").select("place.*")
-    return later.groupBy("doc_id", "version").agg(F.collect_set("line").alias("lines"))
+    return later.groupBy("doc_id", "version").agg(F.collect_set("run").alias("lines"))
 
 
-def _cut(text: str, windows: list[int], window: int) -> tuple[str, int]:
+def _cut(text: str, runs: list[int], window: int) -> tuple[str, int]:
     """The text without the lines of its repeated windows; how many went."""
-    gone = {line + i for line in windows for i in range(window)}
+    gone = {run // window + i for run in runs for i in range(run % window + 1)}
     kept, at, deleting = [], -1, False
     for line in text.split("\n"):
         if line.strip(" \t\n\v\f\r"):
@@ -107,7 +131,7 @@ def _cut(text: str, windows: list[int], window: int) -> tuple[str, int]:
     return "\n".join(kept), len(gone)
 
 
-def delete_repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def delete_repeated_lines(docs: DataFrame, window: int = WINDOW, words: int | None = WORDS) -> DataFrame:
     """Every row with all its columns, ``text`` without repeated runs, and ``n_deleted``.
 
     ``n_deleted`` counts lines and replaces a column of that name.
@@ -115,7 +139,7 @@ def delete_repeated_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     docs = docs.drop("n_deleted")
     version = F.xxhash64(F.col("text").cast("string"))
     own = texts(docs).withColumn("version", version)
-    prints = stored(fingerprints(own, window), "line_prints")
+    prints = stored(fingerprints(own, window, words), "line_prints")
     spans = repeated_lines(prints).select(
         F.col("doc_id").alias("__of"), F.col("version").alias("__v"), F.col("lines").alias("__lines")
     )
