@@ -139,6 +139,21 @@ def test_decontamination(docs, none, items):
     assert decontaminate.find_items(none, items).count() == 0
 
 
+@pytest.mark.parametrize("block", [5_000, 1])
+def test_decontamination_by_items_that_share_an_id(spark, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", block)
+    one, two, three = (" ".join(f"{c}{i}" for i in range(16)) for c in "abc")
+    rows = [(1, one), (2, "x " + two), (2, "x " + two), (3, three), (4, f"{two.replace('b7', 'z')} {one}"), (5, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for id_ in (7, None):
+        items = spark.createDataFrame([(id_, x) for x in (one, two, three, one)], "item_id long, text string")
+        found = sorted(map(tuple, decontaminate.find_items(docs, items).collect()))
+        ends = {1: (0, 0, len(one)), 2: (0, 2, 2 + len(two)), 3: (0, 0, len(three))}
+        ends[4] = (0, len(rows[4][1]) - len(one), len(rows[4][1]))
+        assert found == [(d, id_, *ends[d]) for d in (1, 2, 2, 3, 4)]
+        assert [r.doc_id for r in decontaminate.decontaminate(docs, items).collect()] == [5]
+
+
 def test_language_model(docs, none):
     rows = class_lm.score_texts(docs, ~(remainder(7) == 2)).collect()
     got = by_id(rows)

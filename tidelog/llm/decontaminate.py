@@ -12,7 +12,9 @@ the distance there, one bit per word of the item.
 Items go out to the tasks in blocks of about ``BLOCK_ITEMS`` items or ``BLOCK_BYTES``
 bytes; a larger benchmark takes more passes, none a larger broadcast. Documents are not
 shuffled. Items without words are found nowhere; items of fewer than 8 words must occur
-unchanged. NULL or empty documents hold nothing. Items that repeat an id count as one.
+unchanged. NULL or empty documents hold nothing. Every distinct text of the benchmark is
+searched, whatever its id; texts that share an id, NULL included, report their closest
+place in a document as one item.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ WORDS_PER_EDIT = 8
 BLOCK_ITEMS = 5_000
 BLOCK_BYTES = 4 << 20
 _BITMAP = 20
+_FOUND = ["doc_id", "item_id", "distance", "start", "end"]
 
 
 def closest(pattern: list[int], text: list[int]) -> tuple[int, int]:
@@ -73,7 +76,7 @@ def budget(n: int) -> int:
 class Items:
     """A block of items: their words, and the pieces to look up by length in words."""
 
-    ids: list[int] = field(default_factory=list)
+    ids: list[int | None] = field(default_factory=list)
     words: list[list[int]] = field(default_factory=list)
     #: length -> (sorted hashes, item index, offset in the item, bitmap of low hash bits)
     pieces: dict[int, tuple[np.ndarray, ...]] = field(default_factory=dict)
@@ -84,7 +87,7 @@ def _hashes(part: W.Slice) -> tuple[W.Words, np.ndarray]:
     return words, W.span_hashes(part.data, words.start, words.end)
 
 
-def pieces(rows: list[tuple[int, str]]) -> Items:
+def pieces(rows: list[tuple[int | None, str]]) -> Items:
     """Items as patterns; those without words are left out."""
     out, by_length = Items(), defaultdict(list)
     for part in W.slices(pa.array([text for _, text in rows], pa.string())):
@@ -139,8 +142,8 @@ def _stretches(words: W.Words, hashes: np.ndarray, items: Items) -> dict[tuple[i
     return found
 
 
-def _matches(column: pa.Array, items: Items) -> Iterator[tuple[int, int, int, int, int]]:
-    """``row, item, distance, start, end`` (characters) of every item that a row holds."""
+def _matches(column: pa.Array, items: Items) -> Iterator[tuple[int, int | None, int, int, int]]:
+    """``row, item, distance, start, end`` (characters) of every item text that a row holds."""
     for part in W.slices(column):
         words, hashes = _hashes(part)
         for (row, item), spans in _stretches(words, hashes, items).items():
@@ -160,15 +163,23 @@ def _matches(column: pa.Array, items: Items) -> Iterator[tuple[int, int, int, in
             yield part.low + row, items.ids[item], distance, *chars
 
 
+def _closest_places(found: Iterable[tuple]) -> list[tuple]:
+    """Of the matches of a row and an id the closest, and of those the first."""
+    best: dict[tuple, tuple] = {}
+    for row, item, *place in found:
+        best[row, item] = min(best.get((row, item), (place,)), (place,))
+    return [(*key, *place) for key, (place,) in best.items()]
+
+
 def _blocks(benchmark: DataFrame) -> Iterator[Items]:
     """The items in blocks of bounded size, one at a time on the driver."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    rows = rows.where("text is not null").groupBy("id").agg(F.min("text").alias("text"))
+    rows = rows.where("text is not null").distinct()
     n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     blocks = max(1, -(-n // BLOCK_ITEMS), -(-size // BLOCK_BYTES))
     for i in range(blocks):
         block = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == i)
-        yield pieces([(r["id"], r["text"]) for r in block.orderBy("id").collect()])
+        yield pieces([(r["id"], r["text"]) for r in block.orderBy("id", "text").collect()])
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -177,6 +188,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     One row per row of ``docs`` and item; ``start`` and ``end`` count characters.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("version", F.xxhash64("text"))
     context = docs.sparkSession.sparkContext
 
     def search(items: Items) -> DataFrame:
@@ -184,17 +196,29 @@ def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = list(_matches(batch.column("text"), shared.value))
+                found = _closest_places(_matches(batch.column("text"), shared.value))
                 if found:
                     rows, *rest = zip(*found)
+                    own = [batch.column(c).take(pa.array(rows)) for c in ("doc_id", "version")]
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id").take(pa.array(rows)), *(pa.array(x, pa.int64()) for x in rest)],
-                        names=["doc_id", "item_id", "distance", "start", "end"],
+                        [*own, *(pa.array(x, pa.int64()) for x in rest)],
+                        names=["doc_id", "version", *_FOUND[1:]],
                     )
 
-        return docs.mapInArrow(find, "doc_id long, item_id long, distance long, start long, end long")
-
-    return reduce(DataFrame.union, [search(items) for items in _blocks(benchmark)])
+        return docs.mapInArrow(find, "doc_id long, version long, item_id long, distance long, start long, end long")
+
+    found = [search(items) for items in _blocks(benchmark)]
+    if len(found) == 1:
+        return found[0].select(*_FOUND)
+    # texts of one id may lie in several blocks; rows that repeat a document stay apart
+    place = F.struct("distance", "start", "end").alias("place")
+    numbered = [x.select("doc_id", "version", "item_id", place, F.lit(i).alias("block")) for i, x in enumerate(found)]
+    item = ["doc_id", "version", "item_id"]
+    by_block = reduce(DataFrame.union, numbered).groupBy(*item, "block")
+    by_block = by_block.agg(F.min("place").alias("place"), F.count("*").cast("int").alias("n"))
+    best = by_block.groupBy(*item).agg(F.min("place").alias("place"), F.max("n").alias("n"))
+    each = best.select(*item, F.explode(F.expr("array_repeat(place, n)")).alias("place"))
+    return each.select("doc_id", "item_id", "place.*")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
