@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import random
+
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,6 +22,7 @@ from tidelog.llm import (
     toxicity,
     url_filter,
 )
+from tidelog.llm import words as W
 from tidelog.llm.common import remainder
 
 LINES = "one line of text here\nanother line of some text\na third line of the text"
@@ -176,6 +180,29 @@ def test_passages(docs, none):
     assert chunk_dedup.passages(none).count() == 0
 
 
+def test_passages_of_repetitive_text(spark):
+    """Copies are found where the gear hash takes few values, or where blanks are rare."""
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    around = lambda: " ".join(word(5) for _ in range(30))
+    kinds = [" ".join([word(rng.randint(1, 9))] * 100) for _ in range(30)]
+    kinds += [" ".join(([word(6), word(3), word(4)] * 34)[:100]) for _ in range(30)]
+    kinds += [word(1000) for _ in range(10)] + [word(1) * 1000 for _ in range(3)]
+    rows = [(2 * i + k, f"{around()} {x} {around()}") for i, x in enumerate(kinds) for k in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    both = chunk_dedup.spans(docs).groupBy((F.col("doc_id") / 2).cast("long").alias("pair"), "digest")
+    both = both.agg(F.countDistinct("doc_id").alias("n")).where("n = 2")
+    assert sorted(r.pair for r in both.select("pair").distinct().collect()) == list(range(len(kinds)))
+    # rows do not see each other
+    (part,) = W.slices(pa.array([t for _, t in rows] + ["", "x"]))
+    ends = set(chunk_dedup.boundaries(part.data, part.offsets).tolist())
+    alone = set()
+    for base, (_, text) in zip(part.offsets.tolist(), [*rows, (None, "x")]):
+        (own,) = W.slices(pa.array([text]))
+        alone |= {base + x for x in chunk_dedup.boundaries(own.data, own.offsets).tolist()}
+    assert ends == alone | {int(part.offsets[-1])}
+
+
 def test_toxicity(spark, docs, none):
     labels = spark.createDataFrame(
         [(0, 1, 1), (0, 1, 0), (4, 0, 0), (5, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int"
