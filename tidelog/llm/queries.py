@@ -13,7 +13,10 @@ from tidelog.llm import (
     line_dedup,
     mixing,
     near_dup,
+    ranking,
     search,
+    sharding,
+    spelling,
     toxicity,
     url_filter,
 )
@@ -86,6 +89,19 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = sharding.shard(table(spark, sf_dir, "documents"), shards=40)
+    return dealt.withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     name: query for name, query in list(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
@@ -199,9 +215,81 @@ ranked as (select *, row_number() over (partition by query_id order by score des
 select query_id, rank, vec_id, score from ranked where rank <= 10
 """
 
+RANK_SQL = rf"""
+with words as (
+  select doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents where text is not null),
+counted as (select doc_id, w, len(w)::bigint as n from words where len(w) > 0),
+totals as (select count(*)::bigint as docs, sum(n)::bigint as terms from counted),
+tfs as (
+  select doc_id, term, any_value(n) as n, count(*)::bigint as tf
+  from (select doc_id, n, unnest(w) as term from counted) group by all),
+asked as (
+  select item_id, unnest(regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark where text is not null),
+weights as (
+  select term, floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1)))::bigint as w
+  from tfs, totals group by term),
+scored as (
+  select item_id, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))))::bigint as score
+  from asked join tfs using (term) join weights using (term), totals group by item_id, doc_id),
+ranked as (
+  select item_id, doc_id, score,
+    row_number() over (partition by item_id order by score desc, doc_id)::int as rank
+  from scored where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
+
+#: crc32 by its usual table, which a rule builds, over the bytes of ``s``.
+_CRC_STEP = "case when {0} & 1 = 1 then xor({0} >> 1, 3988292384) else {0} >> 1 end"
+SPELLING_SQL = rf"""
+with recursive steps(i, v, k) as (
+  select range, range::bigint, 0 from range(256)
+  union all select i, {_CRC_STEP.format('v')}, k + 1 from steps where k < 8),
+crcs as (select list(v order by i) as t from steps where k = 8),
+runs as (
+  select doc_id, unnest(regexp_extract_all({LOWER}, '[A-Za-zÀ-ÿ]+')) as run
+  from documents where text is not null),
+distinct_runs as (
+  select run, coalesce(doc_id::varchar, '') || ':' || run as s, count(*) as n from runs group by all),
+coded as (
+  select run, n, len(run) as l, xor(4294967295, list_reduce(
+    list_prepend(4294967295::bigint, list_transform(range(octet_length(encode(s))),
+      lambda i: ('0x' || substr(hex(encode(s)), 2 * i + 1, 2))::bigint)),
+    lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]))) as h
+  from distinct_runs, crcs),
+cut as (
+  select n, case when h % 97 = 0 then substr(run, 1, h % l) || substr(run, h % l + 2) else run end as word
+  from coded),
+vocab as (
+  select word, sum(n)::bigint as n from cut where len(word) >= 5 group by word having sum(n) >= 3),
+shorter as (
+  select word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) as rest
+  from (select word, n, unnest(range(1, len(word) + 1)) as p from vocab)),
+pairs as (
+  select a.word, b.word as near, b.n as near_n from shorter a join shorter b on a.p = b.p and a.rest = b.rest and a.word <> b.word
+  union select a.word, b.word, b.n from shorter a join vocab b on a.rest = b.word
+  union select b.word, a.word, a.n from shorter a join vocab b on a.rest = b.word),
+best as (
+  select word, count(*)::bigint as n_near, (array_agg(near order by near_n desc, encode(near)))[1] as near, max(near_n) as near_n
+  from pairs group by word),
+formed as (
+  select v.word, v.n, coalesce(b.n_near, 0)::bigint as n_near,
+    case when b.near_n >= 2 * v.n then b.near end as form, case when b.near_n >= 2 * v.n then b.near_n end as form_n
+  from vocab v left join best b using (word)),
+walk(word, root) as (
+  select word, word from formed
+  union all select w.word, f.form from walk w join formed f on f.word = w.root where f.form is not null),
+ends as (select w.word, w.root from walk w join formed f on f.word = w.root where f.form is null)
+select f.word, f.form, e.root, f.n, f.n_near, f.form_n from formed f join ends e using (word)
+"""
+
 ORACLES = {
     "op1_line_dedup": LINES_SQL,
     "op2_near_dup": NEAR_SQL,
     "op4_mixing": MIX_SQL,
     "op9_top_k": SEARCH_SQL,
+    "op12_ranked_search": RANK_SQL,
+    "op13_spelling": SPELLING_SQL,
 }
