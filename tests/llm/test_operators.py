@@ -220,7 +220,36 @@ def test_toxicity(spark, sf_dir):
     assert not toxic or not clean or np.mean(toxic) > np.mean(clean)
 
 
-def test_machine_learns_a_pair_that_weights_miss(spark):
+def test_machine_learns_an_exclusive_pair(spark):
+    """The label is exactly one of two words: neither follows it alone, only the pair does."""
+    from tidelog.llm import toxicity
+
+    rng = random.Random(4)
+    rows = []
+    for _ in range(4000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        text = [f"f{rng.randrange(200)}" for _ in range(10)] + ["dolt"] * a + ["tribe"] * b
+        rows.append((" ".join(text), int(a != b)))
+    machine = toxicity.learn(spark.createDataFrame(rows, "text string, label int"))
+    cases = [(0, "dolt f1 f2 f3"), (1, "tribe f9 f4"), (2, "dolt tribe f7"), (3, "f5 f6 f7")]
+    got = {r.doc_id: r.toxicity for r in toxicity.score(spark.createDataFrame(cases, "doc_id long, text string"), machine).collect()}
+    assert got[0] > 0.9 and got[1] > 0.9 and got[2] < 0.1 and got[3] < 0.4
+
+
+def test_labels_are_sampled_apart(spark):
+    from tidelog.llm import toxicity
+
+    rows = [(f"w{i} " + ("insult" if i % 50 == 0 else "kind"), int(i % 50 == 0)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "text string, label int")
+    kept = toxicity._share_of_label(df, "text", 200).groupBy("label").count().collect()
+    kept = {r.label: r["count"] for r in kept}
+    assert kept[1] == 60 and 90 <= kept[0] <= 190
+    machine = toxicity.learn(df, sample=200, pairs=500)
+    got = toxicity.score(spark.createDataFrame([(0, "insult"), (1, "kind")], "doc_id long, text string"), machine).collect()
+    assert got[0].toxicity > 0.5 > got[1].toxicity
+
+
+def test_machine_learns_that_both_words_are_needed(spark):
     from tidelog.llm import toxicity
 
     rng = random.Random(4)

@@ -4,15 +4,21 @@ A text's terms are its distinct words, A-Z lower-cased and without ASCII marks,
 ``2 ** BITS`` buckets. A factorization machine scores ``b + sum w_i + sum <v_i, v_j>``
 over the pairs of its terms, so that terms which are harmless alone can weigh together.
 
-Training reads about ``SAMPLE`` labelled texts, chosen by a hash. Buckets that follow the
-label, by chi-square over the sample, become the ``TERMS`` features; the machine is fitted
-by adaptive gradient steps on the logistic loss, in which both labels weigh alike, with
-L2 on weights and factors. Only the
-sample's features reach the driver, so what it holds does not grow with the input.
+Training reads up to ``SAMPLE`` labelled texts, half of them of each label where there are as
+many, chosen by a hash, and ``PAIRS`` terms of them. Every bucket of the sample has a weight
+and factors. Most buckets are words seen a few times, and fitting them would learn the sample by
+heart; so a bucket stays at rest until the slope of the loss in its weight, or in its
+factors given those of the other terms of its texts, exceeds what chance
+explains (``SURE``, ``SURE_PAIR``). It is asked twice: of the machine at rest, and of the machine fitted half-way, for
+pairs it has missed. Neither word of a pair need follow the label alone. Moving buckets are fitted by
+adaptive gradient steps on the logistic loss, in which both labels weigh alike, with L2; a
+machine fitted to four fifths of the sample says, by the last, how far its output is to rise.
+The driver holds the sample's buckets, bounded by ``PAIRS``, whatever the input.
 Everything is seeded; equal samples give equal models.
 
 Without labels of both kinds every text scores the share of label 1 (0.5 for none).
-NULL and empty texts have no terms and score the bias.
+NULL and empty texts have no terms and score the bias. Texts of any length are read whole,
+repeated rows are learned and scored as often as they come.
 """
 
 from __future__ import annotations
@@ -31,10 +37,12 @@ from tidelog.llm.common import stored
 
 BITS = 20
 SAMPLE = 20_000
-TERMS = 4_096
+PAIRS = 1 << 23
+SURE, SURE_PAIR = 5.0, 3.5  # of a weight; of factors, whose slope has FACTORS parts
 FACTORS = 8
 EPOCHS = 30
-BATCH = 128
+BATCH = 32
+RATE = 0.2
 SEED = 7
 
 
@@ -78,26 +86,84 @@ def _raw(bias, weight, factor, rows, at, n) -> tuple[np.ndarray, np.ndarray]:
     return bias + linear + 0.5 * (sums**2 - squares).sum(1), sums
 
 
-def _fit(rows: np.ndarray, at: np.ndarray, label: np.ndarray, terms: int) -> tuple[float, np.ndarray, np.ndarray]:
+@dataclass
+class _Sample:
+    """Buckets of texts, text by text, and the labels; both labels weigh alike."""
+
+    rows: np.ndarray
+    at: np.ndarray
+    label: np.ndarray
+
+    def __post_init__(self):
+        share = min(max(self.label.mean(), 1e-9), 1 - 1e-9)
+        self.heavier = np.where(self.label == 1, 0.5 / share, 0.5 / (1 - share))
+        self.bounds = np.searchsorted(self.rows, np.arange(len(self.label) + 1))
+
+    def of(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Position in ``chosen`` and bucket of every term of some texts."""
+        n = np.diff(self.bounds)[chosen]
+        own = np.repeat(np.arange(len(chosen)), n)
+        place = np.repeat(self.bounds[chosen] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return own, self.at[place]
+
+    def only(self, kept: np.ndarray) -> _Sample:
+        mine = kept[self.at]
+        return _Sample(self.rows[mine], self.at[mine], self.label)
+
+    def part(self, chosen: np.ndarray) -> _Sample:
+        """Some of the texts, as a sample."""
+        place = np.cumsum(chosen) - 1
+        mine = chosen[self.rows]
+        return _Sample(place[self.rows[mine]], self.at[mine], self.label[chosen])
+
+    def errors(self, machine: tuple, chosen: np.ndarray) -> tuple:
+        own, term = self.of(chosen)
+        raw, sums = _raw(*machine, own, term, len(chosen))
+        return own, term, (_sigmoid(raw) - self.label[chosen]) * self.heavier[chosen], sums
+
+
+def _moving(sample: _Sample, machine: tuple, weights: bool) -> np.ndarray:
+    """Buckets whose slopes chance does not explain: of their factors, and of their ``weights``."""
+    terms = len(machine[1])
+    slope, met = np.zeros(terms), np.zeros(terms)
+    slopes, noise = np.zeros((terms, FACTORS)), np.zeros(terms)
+    low = 0
+    while low < len(sample.label):
+        high = int(np.searchsorted(sample.bounds, sample.bounds[low] + (1 << 18), "right")) - 1
+        high = min(max(high, low + 1), len(sample.label))
+        own, term, error, sums = sample.errors(machine, np.arange(low, high))
+        slope += np.bincount(term, error[own], terms)
+        met += np.bincount(term, minlength=terms)
+        for k in range(FACTORS):
+            each = error[own] * (sums[own, k] - machine[2][term, k])
+            slopes[:, k] += np.bincount(term, each, terms)
+            noise += np.bincount(term, each * each, terms)
+        low = high
+    out = (slopes**2).sum(1) > SURE_PAIR**2 * np.maximum(noise, 1e-12)
+    if weights:  # of a machine at rest the errors depend on the label alone
+        share = sample.label.mean()
+        spread = 1 / (16 * share) + 1 / (16 * (1 - share))
+        out |= np.abs(slope) > SURE * np.sqrt(np.maximum(met * spread, 1e-12))
+    return out
+
+
+def _fit(sample: _Sample, terms: int) -> tuple[float, np.ndarray, np.ndarray]:
     rng = np.random.default_rng(SEED)
-    share = label.mean()
-    heavier = np.where(label == 1, (1 - share) / share, 1.0)  # both labels weigh alike
     bias, weight = 0.0, np.zeros(terms)
     factor = rng.normal(0, 0.02, (terms, FACTORS))
     seen_w, seen_v = np.full(terms, 1e-6), np.full((terms, FACTORS), 1e-6)
-    bounds = np.searchsorted(rows, np.arange(len(label) + 1))
-    size = np.diff(bounds)
+    open_ = _moving(sample, (bias, weight, factor), True)
+    own_sample = sample.only(open_)
     for epoch in range(EPOCHS):
-        order = rng.permutation(len(label))
-        rate = 0.1 / (1 + 0.1 * epoch)
+        if epoch == EPOCHS // 2:
+            open_ |= _moving(sample, (bias, weight, factor), False)
+            own_sample = sample.only(open_)
+        order = rng.permutation(len(sample.label))
+        rate = RATE / (1 + 0.1 * (epoch % (EPOCHS // 2)))
         for low in range(0, len(order), BATCH):
             chosen = order[low : low + BATCH]
-            n = size[chosen]
-            own = np.repeat(np.arange(len(chosen)), n)
-            place = np.repeat(bounds[chosen] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            term = at[place]
-            raw, sums = _raw(bias, weight, factor, own, term, len(chosen))
-            error = (_sigmoid(raw) - label[chosen]) * heavier[chosen] / len(chosen)
+            own, term, error, sums = own_sample.errors((bias, weight, factor), chosen)
+            error = error / len(chosen)
             bias -= rate * error.sum()
             touched, index = np.unique(term, return_inverse=True)
             step = np.bincount(index, error[own], len(touched)) + 1e-4 * weight[touched]
@@ -106,36 +172,66 @@ def _fit(rows: np.ndarray, at: np.ndarray, label: np.ndarray, terms: int) -> tup
             for k in range(FACTORS):
                 slope = error[own] * (sums[own, k] - factor[term, k])
                 steps[:, k] = np.bincount(index, slope, len(touched))
-            steps += 1e-3 * factor[touched]
+            steps += 2e-3 * factor[touched]
             seen_v[touched] += steps**2
             weight[touched] -= rate * step / np.sqrt(seen_w[touched])
-            factor[touched] -= 0.5 * rate * steps / np.sqrt(seen_v[touched])
-    return bias, weight, factor
+            factor[touched] -= rate * steps / np.sqrt(seen_v[touched])
+    return bias, weight, np.where(open_[:, None], factor, 0.0)
+
+
+def _shift(sample: _Sample, terms: int) -> float:
+    """How far outputs are to rise for most texts to be told right at 0.
+
+    A machine whose labels weigh alike leans away from texts of which it knows few terms. One
+    fitted to four fifths of the sample is tried on the last: 0, and whatever is lower, down
+    to -3, and tells more texts right by being so.
+    """
+    apart = np.arange(len(sample.label)) % 5 == 0
+    seen, tried = sample.part(~apart), sample.part(apart)
+    if not 0 < seen.label.sum() < len(seen.label):
+        return 0.0
+    raw = _raw(*_fit(seen, terms), tried.rows, tried.at, len(tried.label))[0]
+    order = np.argsort(-raw, kind="stable")
+    raw, label = raw[order], tried.label[order]
+    # told right if the first n are called toxic, against as many as lie above 0
+    right = np.concatenate([[0], np.cumsum(2 * label - 1)])
+    above = int((raw >= 0).sum())
+    below = np.arange(above, int((raw >= -3).sum()) + 1)
+    best = below[np.argmax(right[below])]
+    if best == above:
+        return 0.0
+    following = raw[best] if best < len(raw) else -3.0
+    return float(-(raw[best - 1] + max(following, -3.0)) / 2)
+
+
+def _share_of_label(rows: DataFrame, by: str, sample: int) -> DataFrame:
+    """Up to about ``sample / 2`` rows of each label, by a hash of ``by``; more of one if the other is rare."""
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    kept = {x: min(counts.get(x, 0), max(sample // 2, sample - counts.get(1 - x, 0))) for x in (0, 1)}
+    limit = {x: int(1_000_000 * kept[x] / max(1, counts.get(x, 0))) for x in (0, 1)}
+    place = F.pmod(F.xxhash64(by), F.lit(1_000_000))
+    return rows.where(place < F.when(F.col("label") == 1, limit[1]).otherwise(limit[0]))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> DataFrame:
-    """``text, label`` of about ``sample`` labelled documents, chosen by a hash of the id.
+    """``text, label`` of up to about ``sample`` labelled documents, chosen by a hash of the id.
 
     An id that is labelled 0 and 1 counts as 1. The sample's ids are broadcast; their
     number is bounded by the threshold of the hash.
     """
     own = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     own = own.where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
-    n = own.count()
-    limit = 1_000_000 if n <= sample else int(1_000_000 * sample / n)
-    chosen = own.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < limit)
+    chosen = _share_of_label(own, "doc_id", sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.join(F.broadcast(chosen), "doc_id").select("text", "label")
 
 
-def learn(labelled: DataFrame, sample: int = SAMPLE, terms: int = TERMS) -> Machine:
+def learn(labelled: DataFrame, sample: int = SAMPLE, pairs: int = PAIRS) -> Machine:
     """A machine from ``text`` and ``label`` (0 or 1; others are left out)."""
     rows = labelled.select(
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("label").cast("int").alias("label")
     ).where("label in (0, 1)")
-    n = rows.count()
-    limit = 1_000_000 if n <= sample else int(1_000_000 * sample / n)
-    rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < limit)
+    rows = _share_of_label(rows, "text", sample)
 
     def extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,29 +245,26 @@ def learn(labelled: DataFrame, sample: int = SAMPLE, terms: int = TERMS) -> Mach
                 )
 
     found = stored(rows.mapInArrow(extract, "label int, terms array<int>"), "terms")
+    held = found.agg(F.sum(F.size("terms"))).first()[0] or 0
+    if held > pairs:
+        found = found.where(F.pmod(F.xxhash64("terms", "label"), F.lit(1_000_000)) < int(1_000_000 * pairs / held))
     total, ones = found.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     feature = np.full(1 << BITS, -1, dtype=np.int32)
     if not 0 < ones < total:
         share = min(max(ones / total, 1e-6), 1 - 1e-6) if total else 0.5
         return Machine(feature, float(np.log(share / (1 - share))), np.zeros(1), np.zeros((1, FACTORS)))
-    with_term = found.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.count("*").alias("df"), F.sum("label").alias("hits")
-    )
-    expected = F.col("df") * (ones / total)
-    spread = expected * (1 - ones / total)
-    chi = (F.col("hits") - expected) ** 2 / spread
-    # the strongest first, of those that chance hardly explains
-    best = with_term.where("df >= 5").select("term", chi.alias("chi")).where("chi > 12")
-    chosen = [r["term"] for r in best.orderBy(F.desc("chi"), "term").limit(terms).collect()]
-    feature[chosen] = np.arange(len(chosen))
     table = found.toArrow()
     label = table["label"].to_numpy().astype(float)
     lists = table["terms"].combine_chunks()
     buckets, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
-    at = feature[buckets]
-    rows_of = np.repeat(np.arange(len(label)), sizes)[at >= 0]
-    at = at[at >= 0]
-    return Machine(feature, *_fit(*_ordered(rows_of, at, label), max(len(chosen), 1)))
+    known, at = np.unique(buckets, return_inverse=True)
+    rows_of = np.repeat(np.arange(len(label)), sizes)
+    drawn = _Sample(*_ordered(rows_of, at, label))
+    bias, weight, factor = _fit(drawn, len(known))
+    bias += _shift(drawn, len(known))
+    moved = (weight != 0) | (factor != 0).any(1)
+    feature[known[moved]] = np.arange(moved.sum())
+    return Machine(feature, bias, weight[moved], factor[moved])
 
 
 def _ordered(rows: np.ndarray, at: np.ndarray, label: np.ndarray):
