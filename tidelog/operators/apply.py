@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.operators import skew
 
@@ -82,9 +83,13 @@ def reduce_changes(
     on_truncate: str = "ignore",
     on_unknown_op: str = "fail",
     hot_rows: int | None = skew.HOT_ROWS,
+    within: Column | None = None,
 ) -> DataFrame:
     """One row per touched key: ``had_delete``, and ``row``, the first insert after the last delete.
 
+    With ``within``, a condition on the key columns, other keys are left out, even of an
+    update that moves a row between two keys.
+
     Cold keys take one shuffle. Hot keys are never shuffled row by row: their last delete
     is broadcast (at most ``skew.MAX_HOT_KEYS`` rows), the inserts after it are found
     where they lie, and each task passes on one row per hot key. ``hot_rows=None`` skips
@@ -92,6 +97,7 @@ def reduce_changes(
     """
     keys = list(keys)
     steps = _steps(changes, keys, apply_reads, on_missing_before, on_truncate, on_unknown_op)
+    steps = steps if within is None else steps.where(within)
     delete_q = F.when(F.col("is_delete"), F.col("q"))
 
     last, q = F.col("last_delete"), F.col("q")
@@ -206,6 +212,64 @@ def combine_reduced(reduced: DataFrame, keys: Sequence[str], version: str) -> Da
     )
 
 
+#: Columns of a versioned table beside its own: the position of a row's write, and
+#: whether that write deleted it (a tombstone, which holds only the key).
+VERSION = (T.StructField("_seq", T.LongType()), T.StructField("_deleted", T.BooleanType()))
+
+
+def latest_versions(
+    upserts: DataFrame,
+    keys: Sequence[str],
+    row: str = "row",
+    seq: str = "seq",
+    deletes: bool = False,
+) -> DataFrame:
+    """The last write per key and its position: key, ``seq``, ``row`` (NULL for a delete).
+
+    Unlike ``reduce_upserts`` the result can meet other writes in any order.
+    """
+    placed = _with_keys(upserts, keys).withColumn(seq, F.coalesce(F.col(seq), _fail("a write without seq")))
+    latest = placed.groupBy(*keys).agg(F.max(seq).alias("seq"), F.max_by(row, seq).alias("row"))
+    return latest if deletes else _no_tombstones(latest)
+
+
+def combine_versions(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Several sets of latest writes as one; their order does not matter."""
+    return versions.groupBy(*keys).agg(F.max("seq").alias("seq"), F.max_by("row", "seq").alias("row"))
+
+
+def merge_versions(
+    target: DataFrame, versions: DataFrame, keys: Sequence[str], few: bool = False
+) -> DataFrame:
+    """A versioned table after latest writes: per key the write of the highest ``seq`` stays.
+
+    Tombstones stay in the table, so merging commutes: any order and grouping of the
+    writes gives the same rows. A write at the position the table has is that write again.
+    ``few`` is as in ``merge_changes``.
+    """
+    keys, row = list(keys), F.col("row")
+    names = [f.name for f in VERSION]
+    fields = [
+        (F.when(row.isNotNull(), row[f.name]).otherwise(F.col(f.name)) if f.name in keys else row[f.name])
+        .cast(f.dataType)
+        .alias(f.name)
+        for f in target.schema.fields
+        if f.name not in names
+    ]
+    new = F.struct(*fields, F.col("seq").alias("_seq"), row.isNull().alias("_deleted"))
+    if few:
+        places = F.broadcast(versions.select(*keys, F.col("seq").alias("_new")))
+        kept = target.join(places, keys, "left")
+        kept = kept.where(F.col("_new").isNull() | (F.col("_seq") >= F.col("_new"))).drop("_new")
+        newer = target.select(*keys, "_seq").join(places, keys).where(F.col("_seq") >= F.col("_new"))
+        added = versions.join(newer.select(*keys), keys, "left_anti")
+        return kept.select(*target.columns).unionByName(added.select(new.alias("new")).select("new.*"))
+    old = target.select(*keys, F.struct(*target.columns).alias("old"))
+    joined = old.join(versions, keys, "full_outer")
+    stays = F.col("seq").isNull() | F.coalesce(F.col("old._seq") >= F.col("seq"), F.lit(False))
+    return joined.select(F.when(stays, F.col("old")).otherwise(new).alias("result")).select("result.*")
+
+
 def upsert(
     target: DataFrame,
     upserts: DataFrame,

@@ -19,10 +19,11 @@ from tidelog import schemas, storage
 from tidelog.functions import codecs
 from tidelog.operators import apply, changelog
 from tidelog.sinks import files, tables
-from tidelog.sinks.store import KeyedStore
+from tidelog.sinks.store import KeyedStore, VersionedStore
 from tidelog.sources import feeds, jdbc
 from tidelog.streaming.apply import start_apply_changes, start_upserts
 from tidelog.streaming.commit import PARTS, PartitionCommitter
+from tidelog.streaming.snapshot import Snapshot, SnapshotSource, plan_of
 
 
 def changelog_job(
@@ -88,6 +89,9 @@ def keyed_topic_job(
     return files.start_parquet(upserts, path, checkpoint, trigger)
 
 
+#: What orders the records of a topic.
+LANES = ("topic", "partition")
+
 TOPIC_SCHEMA = T.StructType(
     [
         T.StructField("key", T.StringType()),
@@ -108,18 +112,41 @@ def topic_rows(topic: DataFrame, image: T.StructType = schemas.DEMO) -> DataFram
 
 
 def cdc_upsert_job(
-    topic: DataFrame, store: KeyedStore, checkpoint: str, trigger: str | None = None
+    topic: DataFrame, store: VersionedStore, checkpoint: str, trigger: str | None = None
 ) -> StreamingQuery:
-    """Keyed topic to a table: decode, then upsert or delete by key."""
+    """Keyed topic to a table: decode, then upsert or delete by key, in the order of offsets."""
     return start_upserts(topic_rows(topic), store, checkpoint, trigger, deletes=True)
 
 
 def cdc_apply_job(
     records: DataFrame, store: KeyedStore, checkpoint: str, trigger: str | None = None, **options
 ) -> StreamingQuery:
-    """Change feed straight to a table: decode envelopes, then apply them by key."""
-    changes = feeds.decoded_changes(records)
-    return start_apply_changes(changes, store, checkpoint, trigger, **options)
+    """Change feed straight to a table: decode envelopes, then apply them by key.
+
+    Partitions of the topic may run ahead of each other. ``start_apply_changes`` has the
+    options; ``finish_changes`` is called when the feed has ended.
+    """
+    changes = feeds.decoded_changes(records, keep=LANES)
+    return start_apply_changes(changes, store, checkpoint, trigger, LANES, **options)
+
+
+def initial_stream_job(
+    records: DataFrame,
+    source: SnapshotSource,
+    store: KeyedStore,
+    checkpoint: str,
+    chunk_rows: int = 10_000_000,
+    trigger: str | None = None,
+    **options,
+) -> tuple[StreamingQuery, Snapshot]:
+    """A table that changes, and its feed, to a copy: snapshot first, then the changes.
+
+    The feed runs from the start; chunks of the table are read between its micro-batches.
+    The copy is exact when the returned snapshot ``is_consistent``. Where the feed is idle, or
+    ``trigger`` is None, ``Snapshot.finish`` reads the chunks that are left.
+    """
+    snapshot = Snapshot(store, source, plan_of(store, source, chunk_rows))
+    return cdc_apply_job(records, store, checkpoint, trigger, snapshot=snapshot, **options), snapshot
 
 
 def partitioned_table_job(

@@ -159,6 +159,7 @@ from paired where row_kind <> '-U' or id <> next_id""",
     "cdc_apply": _APPLY,
     "cdc_apply_stream": _APPLY,
     "resume_exactly_once": _APPLY,
+    "job_initial_stream": _APPLY,
     "insert_if_absent": f"""with {_BASE}, {_UPS}, first as (
   select id, actor, alias from ups qualify row_number() over (partition by id order by seq) = 1
 ) select * from base union all select * from first where id not in (select id from base)""",

@@ -7,7 +7,7 @@ a fresh scratch folder and return what reads back from it.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,12 +20,13 @@ from tidelog.operators import apply, changelog, sequence
 from tidelog.plans import jobs
 from tidelog.session import empty_frame, is_local, scratch_dir
 from tidelog.sinks import files, script, tables
-from tidelog.sinks.store import KeyedStore
+from tidelog.sinks.store import KeyedStore, VersionedStore
 from tidelog.sources import feeds, jdbc
 from tidelog.sources import files as file_sources
-from tidelog.streaming.apply import start_upserts
+from tidelog.streaming.apply import finish_changes, start_upserts
 from tidelog.streaming.commit import PARTS, PartitionCommitter, start_partition_commit
 from tidelog.streaming.resequence import released, start_resequence
+from tidelog.streaming.snapshot import Snapshot, SnapshotSource, plan_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -401,18 +402,29 @@ def _write_feed(feed: DataFrame, order: str, path: str) -> None:
 
 
 def _in_rounds(
-    feed: DataFrame, order: str, rounds: int, path: str, run: Callable[[], None]
+    feed: DataFrame,
+    order: str,
+    rounds: int,
+    path: str,
+    run: Callable[[], None],
+    turns: Sequence[int] | None = None,
 ) -> None:
-    """Grow a file feed by ranges of ``order``, running a stream to its end after each."""
+    """Grow a file feed by ranges of ``order``, running a stream to its end after each.
+
+    The ranges come in order, or as ``turns`` says.
+    """
     cuts = fx.cut_points(feed, order, rounds)
-    for low, high in zip(cuts, cuts[1:]):
+    for turn in range(rounds) if turns is None else turns:
+        low, high = cuts[turn], cuts[turn + 1]
         part = feed.where((F.col(order) >= low) & (F.col(order) < high))
         _write_feed(part, order, path)
         run()
 
 
-def _base_store(spark: SparkSession, sf_dir: str, folder: str) -> KeyedStore:
-    store = KeyedStore(spark, f"{folder}/store", schemas.DEMO, KEYS, buckets=8)
+def _base_store(
+    spark: SparkSession, sf_dir: str, folder: str, kind: type[KeyedStore] = KeyedStore
+) -> KeyedStore:
+    store = kind(spark, f"{folder}/store", schemas.DEMO, KEYS, buckets=8)
     store.create(fx.demo_base(spark, sf_dir))
     return store
 
@@ -427,6 +439,7 @@ def _applied_in_rounds(spark: SparkSession, sf_dir: str, label: str, rounds: int
         jobs.cdc_apply_job(records, store, f"{folder}/cp").awaitTermination()
 
     _in_rounds(feed, "offset", rounds, f"{folder}/feed", run)
+    finish_changes(store)
     return store.read()
 
 
@@ -440,15 +453,16 @@ def resume_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_apply_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three rounds of writes, of which the last comes first."""
     folder = scratch_dir(spark, "upsert_apply_stream")
-    store = _base_store(spark, sf_dir, folder)
+    store = _base_store(spark, sf_dir, folder, VersionedStore)
     feed = fx.upserts(spark, sf_dir)
 
     def run() -> None:
         stream = feeds.file_feed(spark, f"{folder}/feed", feed.schema)
         start_upserts(stream, store, f"{folder}/cp", None).awaitTermination()
 
-    _in_rounds(feed, "seq", 3, f"{folder}/feed", run)
+    _in_rounds(feed, "seq", 3, f"{folder}/feed", run, turns=(2, 0, 1))
     return store.read()
 
 
@@ -515,7 +529,7 @@ def job_image_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_cdc_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "job_cdc_upsert")
-    store = _base_store(spark, sf_dir, folder)
+    store = _base_store(spark, sf_dir, folder, VersionedStore)
     feed = fx.envelope_records(spark, sf_dir)
 
     def run() -> None:
@@ -528,6 +542,50 @@ def job_cdc_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read()
 
 
+class _LiveTable:
+    """The base table as its feed changes it: ``now`` is how far it has come."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.base, self.changes = fx.demo_base(spark, sf_dir), fx.changes(spark, sf_dir)
+        self.now, self.end = self.changes.agg(F.min("seq") - 1, F.max("seq")).first()
+
+    def rows(self, condition) -> DataFrame:
+        state = apply.apply_changes(self.base, self.changes.where(F.col("seq") <= self.now), KEYS)
+        return state if condition is None else state.where(condition)
+
+    def position(self) -> int:
+        # time goes on: the table is ahead of what the feed has delivered
+        position, self.now = self.now, min(self.end, self.now + (self.end - self.now) // 3)
+        return position
+
+
+def job_initial_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy of a table that changes while its chunks are read, over three stops."""
+    folder = scratch_dir(spark, "job_initial_stream")
+    live = _LiveTable(spark, sf_dir)
+    source = SnapshotSource("id", live.rows, live.position)
+    chunk_rows = live.base.count() // 4 + 1
+    store = KeyedStore(spark, f"{folder}/store", schemas.DEMO, KEYS, buckets=8)
+    feed = fx.envelope_records(spark, sf_dir)
+
+    tops = iter(fx.cut_points(feed, "offset", 3)[1:])
+
+    def run() -> None:
+        # the table has taken whatever its feed delivers
+        live.now = max(live.now, min(live.end, next(tops)))
+        records = feeds.file_feed(spark, f"{folder}/feed")
+        query, _ = jobs.initial_stream_job(records, source, store, f"{folder}/cp", chunk_rows)
+        query.awaitTermination()
+
+    _in_rounds(feed, "offset", 3, f"{folder}/feed", run)
+    snapshot = Snapshot(store, source, plan_of(store, source, chunk_rows))
+    snapshot.finish()
+    finish_changes(store)
+    if not snapshot.is_consistent():
+        raise RuntimeError("the feed has ended before it passed the snapshot")
+    return store.read()
+
+
 def job_partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "job_partitioned")
     image = T.StructType([*schemas.DEMO.fields, T.StructField("create_time", T.StringType())])
@@ -625,6 +683,7 @@ QUERIES: dict[str, Query] = {
         job_jdbc_to_parquet,
         job_image_log,
         job_cdc_upsert,
+        job_initial_stream,
         job_partitioned_table,
         job_lines_to_table,
         job_jdbc_insert_if_absent,

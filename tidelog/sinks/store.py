@@ -11,6 +11,9 @@ current. Until then readers see the previous table, and a step that dies half-wa
 leaves only a folder the next attempt overwrites. The manifest also records the last
 batch of every feed, so a replayed batch is a no-op.
 
+A ``VersionedStore`` also keeps the position of every row's last write, and the deletes,
+so that writes may arrive in any order.
+
 One writer at a time. Where a table format with ``MERGE INTO`` is available, this class
 is the one thing to replace.
 """
@@ -18,7 +21,7 @@ is the one thing to replace.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +44,16 @@ class Manifest:
     feeds: dict[str, int] = field(default_factory=dict)
     #: How the table is laid out; a store opened with another layout is refused.
     layout: dict[str, int | list[str]] = field(default_factory=dict)
+    #: Order of a feed (``streaming.frontier``): the highest ``seq`` seen of every lane, up to
+    #: where changes are applied, and the version that holds those which wait.
+    lanes: dict[str, int] = field(default_factory=dict)
+    applied: int | None = None
+    held: int | None = None
+    #: A snapshot under way (``streaming.snapshot``).
+    snapshot: dict = field(default_factory=dict)
+    #: The highest position written, and that up to which deletes may have been forgotten.
+    last_seq: int | None = None
+    horizon: int | None = None
 
     @property
     def delta_rows(self) -> int:
@@ -61,7 +74,8 @@ class KeyedStore:
     """``base/v=<version>/bucket=<b>``, ``delta/v=<version>`` and ``manifest/<version>.json``.
 
     Deltas are merged when they hold over ``min_merge_rows`` rows and over ``merge_share``
-    of the base, and combined when there are over ``max_deltas``.
+    of the base, and combined when there are over ``max_deltas``. Every ``keep_versions``
+    commits, folders that no later manifest than the last so many names are deleted.
     """
 
     def __init__(
@@ -74,6 +88,7 @@ class KeyedStore:
         merge_share: float = 0.1,
         min_merge_rows: int = FEW_KEYS,
         max_deltas: int = 64,
+        keep_versions: int = 32,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -83,10 +98,26 @@ class KeyedStore:
         self.merge_share = merge_share
         self.min_merge_rows = min_merge_rows
         self.max_deltas = max_deltas
-        self.delta_schema = T.StructType(
-            [schema[k] for k in self.keys]
-            + [T.StructField("had_delete", T.BooleanType()), T.StructField("row", schema)]
-        )
+        self.keep_versions = max(keep_versions, 8)  # a batch makes three versions at most
+        self.base_schema = schema
+        self.delta_schema = self._delta_schema(T.StructField("had_delete", T.BooleanType()))
+
+    def _delta_schema(self, mark: T.StructField) -> T.StructType:
+        keys = [self.schema[k] for k in self.keys]
+        return T.StructType([*keys, mark, T.StructField("row", self.schema)])
+
+    # What a delta means
+
+    def _combine(self, deltas: DataFrame) -> DataFrame:
+        """Deltas (with their version ``v``) as one."""
+        return apply.combine_reduced(deltas, self.keys, "v")
+
+    def _merge(self, base: DataFrame, changes: DataFrame, few: bool) -> DataFrame:
+        return apply.merge_changes(base, changes, self.keys, few=few)
+
+    def _visible(self, rows: DataFrame) -> DataFrame:
+        """The rows of the table among those of the base."""
+        return rows
 
     # Manifests
 
@@ -109,7 +140,7 @@ class KeyedStore:
         return found
 
     def _layout(self) -> dict[str, int | list[str]]:
-        return {"buckets": self.buckets, "keys": self.keys, "columns": self.schema.names}
+        return {"buckets": self.buckets, "keys": self.keys, "columns": self.base_schema.names}
 
     def _publish(self, manifest: Manifest) -> Manifest:
         manifest = replace(manifest, layout=self._layout())
@@ -127,8 +158,8 @@ class KeyedStore:
 
     def _base(self, buckets: dict[int, int]) -> DataFrame:
         if not buckets:
-            return empty_frame(self.spark, self.schema)
-        return self.spark.read.schema(self.schema).parquet(*self._base_paths(buckets))
+            return empty_frame(self.spark, self.base_schema)
+        return self.spark.read.schema(self.base_schema).parquet(*self._base_paths(buckets))
 
     def _write_base(self, rows: DataFrame, version: int) -> set[int]:
         """Write rows as a version's bucket folders; returns the buckets that hold any."""
@@ -149,16 +180,16 @@ class KeyedStore:
         rows = self._deltas(manifest.deltas)
         if len(manifest.deltas) == 1:
             return rows.drop("v")
-        return apply.combine_reduced(rows, self.keys, "v")
+        return self._combine(rows)
 
     # Reading
 
     def _read(self, manifest: Manifest) -> DataFrame:
         base = self._base(manifest.buckets)
         if not manifest.deltas:
-            return base
+            return self._visible(base)
         few = manifest.delta_rows <= FEW_KEYS
-        return apply.merge_changes(base, self._combined(manifest), self.keys, few=few)
+        return self._visible(self._merge(base, self._combined(manifest), few))
 
     def read(self) -> DataFrame:
         """The table as of the latest commit."""
@@ -174,19 +205,56 @@ class KeyedStore:
             manifest = self.manifest(earlier[-1]) if earlier else Manifest()
         return self._read(manifest)
 
+    # Rows that wait
+
+    def write_held(self, rows: DataFrame, version: int) -> int:
+        """Keep rows beside the table for a later commit; how many they are."""
+        path = f"{self.path}/held/v={version}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path).count()
+
+    def read_held(self, schema: T.StructType | None = None) -> DataFrame | None:
+        """The rows that wait, or None."""
+        held = self.manifest().held
+        if held is None:
+            return None
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(f"{self.path}/held/v={held}")
+
     # Writing
 
     def create(self, rows: DataFrame) -> None:
         """Start the table from ``rows``; does nothing if it exists."""
         if self._versions():
             return
-        typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
+        typed = self._as_base(rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields]))
         held = self._write_base(typed.repartition(self.buckets, *self.keys), 1)
         buckets = dict.fromkeys(held, 1)
         self._publish(Manifest(1, buckets, self._base(buckets).count()))
 
-    def commit(self, reduced: DataFrame, feed: str | None = None, batch: int | None = None) -> None:
-        """Add changes reduced to one row per key (key, ``had_delete``, ``row``)."""
+    def _as_base(self, rows: DataFrame) -> DataFrame:
+        return rows
+
+    def has(self, feed: str, batch: int) -> bool:
+        """Whether a feed's batch is committed."""
+        return self.manifest().feeds.get(feed, -1) >= batch
+
+    def _admit(self, delta: DataFrame, current: Manifest) -> dict:
+        """Check a delta that is written but not published; fields of the manifest it sets."""
+        return {}
+
+    def commit(
+        self,
+        reduced: DataFrame,
+        feed: str | None = None,
+        batch: int | None = None,
+        state: Callable[[], dict] | None = None,
+    ) -> None:
+        """Add changes reduced to one row per key (the columns of ``delta_schema``).
+
+        ``state`` gives more fields of the manifest to publish with them; it is called once
+        the changes have been read and written.
+        """
         current = self.manifest()
         if feed is not None and current.feeds.get(feed, -1) >= batch:
             return
@@ -195,10 +263,17 @@ class KeyedStore:
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.delta_schema.fields]
         )
         typed.write.mode("overwrite").parquet(f"{self.path}/delta/v={version}")
-        rows = self._deltas([version]).count()
+        delta = self._deltas([version])
+        rows = delta.count()
         deltas = {**current.deltas, version: rows} if rows else current.deltas
         feeds = current.feeds if feed is None else {**current.feeds, feed: batch}
-        after = self._publish(replace(current, version=version, deltas=deltas, feeds=feeds))
+        more = {**(self._admit(delta, current) if rows else {}), **(state() if state else {})}
+        after = self._publish(replace(current, version=version, deltas=deltas, feeds=feeds, **more))
+        self._tidy(after)
+        if version % self.keep_versions == 0:
+            self.vacuum(self.keep_versions)
+
+    def _tidy(self, after: Manifest) -> None:
         if after.delta_rows > max(self.min_merge_rows, self.merge_share * after.base_rows):
             self.merge_deltas()
         elif len(after.deltas) > self.max_deltas:
@@ -234,16 +309,20 @@ class KeyedStore:
             # shuffle, and each bucket is written by one task.
             target = target.repartition(self.buckets, *self.keys)
             changes = changes.repartition(self.buckets, *self.keys)
-        merged = apply.merge_changes(target, changes, self.keys, few=few)
+        merged, more = self._forget(self._merge(target, changes, few), current)
         new = dict.fromkeys(self._write_base(merged, version), version)
         kept = {b: v for b, v in current.buckets.items() if b not in touched}
         # Counts come from file footers.
         base_rows = current.base_rows - self._base(old).count() + self._base(new).count()
         buckets = {**kept, **new}
         self._publish(
-            replace(current, version=version, buckets=buckets, base_rows=base_rows, deltas={})
+            replace(current, version=version, buckets=buckets, base_rows=base_rows, deltas={}, **more)
         )
 
+    def _forget(self, rows: DataFrame, current: Manifest) -> tuple[DataFrame, dict]:
+        """Rows worth keeping when buckets are rewritten; fields of the manifest that sets."""
+        return rows, {}
+
     def vacuum(self, keep: int = 4) -> None:
         """Delete folders that none of the last ``keep`` manifests names."""
         versions = self._versions()
@@ -252,6 +331,7 @@ class KeyedStore:
         needed = {
             "base": {v for m in manifests for v in m.buckets.values()},
             "delta": {v for m in manifests for v in m.deltas},
+            "held": {m.held for m in manifests},
         }
         for version in versions:
             if version not in kept:
@@ -262,3 +342,57 @@ class KeyedStore:
                 # A folder past the last manifest may belong to a step under way.
                 if version is not None and version not in wanted and version <= versions[-1]:
                     storage.delete_folder(self.spark, f"{self.path}/{kind}/{name}")
+
+
+class VersionedStore(KeyedStore):
+    """A keyed table whose rows remember the position of their last write.
+
+    Deltas hold key, ``seq`` and ``row`` (NULL deletes); per key the highest ``seq`` counts, in
+    whatever order and batches writes arrive. A deleted key stays as a tombstone, unseen by
+    readers. With ``retain``, a rewrite of a bucket forgets tombstones that lie so many
+    positions behind the last; after that a write that old to a key the table lacks fails,
+    as it might be older than a forgotten delete. The rows of ``create`` are older than any write.
+    """
+
+    BEFORE_ALL = -(1 << 63)
+
+    def __init__(self, *args, retain: int | None = None, **options):
+        super().__init__(*args, **options)
+        self.retain = retain
+        self.base_schema = T.StructType([*self.schema.fields, *apply.VERSION])
+        self.delta_schema = self._delta_schema(T.StructField("seq", T.LongType()))
+
+    def _combine(self, deltas: DataFrame) -> DataFrame:
+        return apply.combine_versions(deltas, self.keys)
+
+    def _merge(self, base: DataFrame, changes: DataFrame, few: bool) -> DataFrame:
+        return apply.merge_versions(base, changes, self.keys, few=few)
+
+    def _visible(self, rows: DataFrame) -> DataFrame:
+        return rows.where("not _deleted").select(*self.schema.names)
+
+    def _as_base(self, rows: DataFrame) -> DataFrame:
+        marks = (F.lit(self.BEFORE_ALL), F.lit(False))
+        return rows.select("*", *[m.alias(f.name) for m, f in zip(marks, apply.VERSION)])
+
+    def _admit(self, delta: DataFrame, current: Manifest) -> dict:
+        low, high = delta.agg(F.min("seq"), F.max("seq")).first()
+        if current.horizon is not None and low <= current.horizon:
+            known = self._base(current.buckets).select(*self.keys)
+            if current.deltas:
+                known = known.unionByName(self._deltas(current.deltas).select(*self.keys))
+            old = delta.where(F.col("seq") <= current.horizon).join(known, self.keys, "left_anti")
+            if not old.isEmpty():
+                raise ValueError(
+                    f"a write at or before {current.horizon}, up to where deletes were forgotten, "
+                    "to a key that the table lacks"
+                )
+        return {"last_seq": high if current.last_seq is None else max(high, current.last_seq)}
+
+    def _forget(self, rows: DataFrame, current: Manifest) -> tuple[DataFrame, dict]:
+        if self.retain is None or current.last_seq is None:
+            return rows, {}
+        bound = current.last_seq - self.retain
+        bound = bound if current.horizon is None else max(bound, current.horizon)
+        kept = rows.where(~F.col("_deleted") | (F.col("_seq") > bound))
+        return kept, {"horizon": bound}

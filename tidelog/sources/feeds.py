@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,9 +54,9 @@ def kafka_feed(
 
 
 def decoded_changes(
-    records: DataFrame, image: T.StructType = schemas.DEMO, seq: str = "offset"
+    records: DataFrame, image: T.StructType = schemas.DEMO, seq: str = "offset", keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Transport records as changes (``seq``, ``op``, ``before``, ``after``).
+    """Transport records as changes (``seq``, ``op``, ``before``, ``after``, and columns to ``keep``).
 
     Records without a value, such as the tombstones a topic keeps after deletes, are not
     changes and are dropped.
@@ -65,8 +65,8 @@ def decoded_changes(
     an order for a topic of one partition, or when no change moves between keys.
     """
     return codecs.with_value(records).select(
-        F.col(seq).alias("seq"), codecs.envelope(F.col("value"), image).alias("envelope")
-    ).select("seq", "envelope.*")
+        F.col(seq).alias("seq"), codecs.envelope(F.col("value"), image).alias("envelope"), *keep
+    ).select("seq", "envelope.*", *keep)
 
 
 def after_offsets(records: DataFrame, start: Mapping[int, int]) -> DataFrame:

@@ -6,7 +6,9 @@ Used for metadata only (manifests, markers, folder names), never for table data.
 from __future__ import annotations
 
 import json
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -46,17 +48,25 @@ def feed_of(spark: SparkSession, checkpoint: str) -> str:
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write beside the target and rename, so readers never see half a file.
 
-    A file that exists is an error: someone else published it.
+    The rename itself refuses to replace a file, so of two writers one fails.
     """
     jvm, fs, p = _fs(spark, path)
-    part = jvm.org.apache.hadoop.fs.Path(path + ".part")
-    stream = fs.create(part, True)
+    part = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.part")
+    stream = fs.create(part, False)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
-    if fs.exists(p) or not fs.rename(part, p):
-        raise OSError(f"could not publish {path}")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+    kind = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.NONE
+    try:
+        context.rename(part, p, options)
+    except Py4JJavaError as error:
+        fs.delete(part, False)
+        raise OSError(f"could not publish {path}") from error
 
 
 def touch(spark: SparkSession, path: str) -> None:
