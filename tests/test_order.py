@@ -295,3 +295,45 @@ def test_plan_is_near_equal_in_rows(spark):
     sizes = [table.where((F.col("id") > a) & (F.col("id") <= b)).count() for a, b in itertools.pairwise(bounds)]
     assert len(sizes) == 10 and max(sizes) <= 200 and sum(sizes) == 1_000
     assert plan_chunks(SnapshotSource("id", lambda c: table.where("id < 0"), lambda: 0), 10) == []
+
+
+# Key filters
+
+
+def test_only_buckets_that_may_hold_a_key_are_read(spark, folder, monkeypatch):
+    rows = {k: row(k, "base") for k in range(0, 4_000, 2)}
+    store = KeyedStore(spark, f"{folder}/store", schemas.DEMO, KEYS, 64, min_merge_rows=0, key_filters=True)
+    store.create(base(spark, rows))
+    assert len(store.manifest().buckets) == 64
+    ids = lambda keys: spark.createDataFrame([(k,) for k in keys], "id int")
+    bucket = {r.id: r.b for r in base(spark, rows).select("id", store._bucket().alias("b")).collect()}
+    # a key that is there is never missed; keys that are not there touch few of the 64
+    for key in (0, 778, 3_998):
+        assert bucket[key] in store.may_hold(ids([key]))
+    absent = store.may_hold(ids(range(1, 400, 2)))
+    assert len(absent) < 20
+    assert store.may_hold(ids(range(0, 4_000, 2))) == set(range(64))
+    assert store.may_hold(ids([])) == set()
+    # a changed bucket gets a new filter, and rows come back through it
+    change = [(1, "c", None, row(1, "new")), (2, "d", row(2), None), (3, "c", None, row(2, "again"))]
+    store.commit(apply.reduce_changes(frame(spark, change, CHANGES), KEYS), "feed", 0)
+    assert len(set(store.manifest().buckets.values())) == 2
+    read = []
+    inner = KeyedStore._base
+
+    def counted(self, buckets):
+        read.append(set(buckets))
+        return inner(self, buckets)
+
+    monkeypatch.setattr(KeyedStore, "_base", counted)
+    got = as_table(store.read_matching(ids([1, 2]), "feed", 1))
+    assert got[1] == row(1, "new") and got[2] == row(2, "again") and len(read[-1]) <= 4
+    assert 1 not in as_table(store.read_matching(ids([1, 2]), "feed", 0))
+    store.vacuum(keep=1)
+    assert as_table(store.read_matching(ids([1]), "feed", 1))[1] == row(1, "new")
+
+
+def test_without_filters_buckets_of_the_keys_are_read(spark, folder):
+    store = KeyedStore(spark, f"{folder}/store", schemas.DEMO, KEYS, 64, min_merge_rows=0)
+    store.create(base(spark, {k: row(k) for k in range(500)}))
+    assert len(store.may_hold(spark.createDataFrame([(3,), (4,)], "id int"))) <= 2

@@ -117,7 +117,7 @@ def test_store_can_become_empty(spark, folder):
     assert store.manifest().base_rows == 0
 
 
-def arrive(spark, folder, rows, width=1 << 20):
+def arrive(spark, folder, rows, width=1 << 20, **options):
     """Rows of (partition, offset, value, arrival second) as one round of the stream."""
     schema = "partition int, offset bigint, value string, second bigint"
     df = spark.createDataFrame(rows, schema).select(
@@ -129,7 +129,7 @@ def arrive(spark, folder, rows, width=1 << 20):
     )
     df.write.mode("append").parquet(f"{folder}/feed")
     stream = feeds.file_feed(spark, f"{folder}/feed", df.schema)
-    query = start_resequence(stream, f"{folder}/out", f"{folder}/cp", max_wait="60 seconds", width=width)
+    query = start_resequence(stream, f"{folder}/out", f"{folder}/cp", max_wait="60 seconds", width=width, **options)
     query.awaitTermination()
     return sorted(tuple(r)[1:] for r in released(spark, f"{folder}/out").collect())
 
@@ -156,6 +156,33 @@ def test_resequence_stream(spark, folder, width):
     assert len(storage.list_names(spark, f"{folder}/cp/held")) == 2
 
 
+def test_given_up_ranges_are_few_and_forgotten(spark, folder):
+    """A range shrinks with late records, splits in two at most, and goes when it is old."""
+
+    def ranges():
+        number = max(int(n) for n in storage.list_names(spark, f"{folder}/cp/held"))
+        path = f"{folder}/cp/held/{number}/gaps"
+        if not storage.exists(spark, path):
+            return []
+        return sorted((r.low, r.high) for r in spark.read.parquet(path).collect())
+
+    def send(rows):
+        return arrive(spark, folder, rows, forget_after="10 minutes")
+
+    send([(0, 100, "a", 0)])
+    got = send([(-1, -1, None, 100)])
+    assert got == [(0, 100, "a", 100, False)] and ranges() == [(0, 99)]
+    send([(0, 99, "b", 110), (0, 0, "c", 110), (0, 50, "d", 110)])
+    assert ranges() == [(1, 49), (51, 98)]
+    got = send([(0, 101, "e", 300), (0, 50, "copy", 300), (0, 7, "f", 300)])
+    assert len(got) == 6 and ranges() == [(1, 6), (8, 49), (51, 98)]
+    # eleven minutes after they were given up
+    send([(0, 102, "g", 800), (0, 60, "forgotten", 800)])
+    assert ranges() == []
+    got = send([(0, 61, "forgotten", 801), (0, 103, "h", 801)])
+    assert [r[2] for r in got] == ["c", "f", "d", "forgotten", "b", "a", "e", "g", "h"]
+
+
 def test_resequence_keeps_a_lagging_partition(spark, folder):
     arrive(spark, folder, [(0, 0, "a", 1000)])
     got = arrive(spark, folder, [(1, 0, "b", 100), (1, 1, "c", 101), (1, 3, "d", 102)])
@@ -221,6 +248,39 @@ def test_partition_commit_on_a_new_checkpoint(spark, folder):
     assert send("a", (11, 5, 0)) == [1, 2, 3, 4, 9, 10]
 
 
+def test_partition_commit_of_several_feeds(spark, folder):
+    """Event time is the slowest feed's; a feed that falls silent blocks no longer than it may."""
+    schema = T.StructType.fromDDL("id bigint, ts_date string, ts_hour string, ts_minute string")
+    tables.create_table(spark, "several_feeds", schema, f"{folder}/table", PARTS)
+    committer = PartitionCommitter(
+        spark, "several_feeds", f"{folder}/table", f"{folder}/state", "1 hour", feeds=("a", "b"), idle_after=2
+    )
+    sent = {"a": 0, "b": 0}
+
+    def send(feed, *rows):
+        committer.process(timed(spark, rows), "event_time", sent[feed], f"cp-{feed}", feed)
+        sent[feed] += 1
+        return sorted(r.id for r in spark.table("several_feeds").select("id").collect())
+
+    # b has sent nothing yet, and may still send hour 1
+    assert send("a", (1, 1, 0), (2, 3, 0)) == []
+    assert send("b", (3, 1, 5), (4, 2, 10)) == [1, 3]
+    # a runs ahead, b stays behind in hour 2
+    assert send("a", (5, 6, 0)) == [1, 3]
+    assert send("b", (6, 2, 30)) == [1, 3]
+    # b is silent for more than two batches of a
+    assert send("a", (7, 7, 0)) == [1, 3]
+    assert send("a", (8, 8, 0)) == [1, 3]
+    assert send("a", (9, 9, 0)) == [1, 2, 3, 4, 5, 6, 7]
+    # it speaks again: its hour is published late, and it holds a back again
+    assert send("b", (10, 2, 40)) == [1, 2, 3, 4, 5, 6, 7, 10]
+    assert send("a", (11, 10, 0)) == [1, 2, 3, 4, 5, 6, 7, 10]
+    assert send("b", (12, 9, 30)) == [1, 2, 3, 4, 5, 6, 7, 8, 10]
+    assert {r.ts_hour: r.late for r in committer.published().collect()}["02"] is True
+    with pytest.raises(ValueError, match="none of the feeds"):
+        committer.process(timed(spark, []), "event_time", 0, "cp", "c")
+
+
 def test_store_refuses_another_layout(spark, folder):
     rows = spark.createDataFrame([(1, "a", "b")], schemas.DEMO)
     KeyedStore(spark, f"{folder}/s", schemas.DEMO, KEYS, 4).create(rows)

@@ -78,14 +78,23 @@ def image_log_job(
 
 
 def keyed_topic_job(
-    records: DataFrame, path: str, checkpoint: str, trigger: str | None = None
+    records: DataFrame,
+    path: str | None,
+    checkpoint: str,
+    trigger: str | None = None,
+    servers: str | None = None,
+    topic: str | None = None,
 ) -> StreamingQuery:
-    """Change feed to a keyed topic in file form (``key``, ``value``, ``offset``).
+    """Change feed to a keyed topic: files at ``path`` (``key``, ``value``, ``offset``), or Kafka.
 
-    A row that moves to another key leaves a tombstone under its old one.
+    With ``servers`` and ``topic`` the records go to a Kafka topic, which needs the connector
+    package. Kafka numbers them itself: one partition by key keeps the order of a key only if
+    changes of it come in order. A row that moves to another key leaves a tombstone under its old one.
     """
     log = changelog.changelog(feeds.decoded_changes(records), schemas.KEYS)
     upserts = changelog.upsert_records(log, schemas.KEYS, schemas.COLUMNS)
+    if servers is not None:
+        return files.start_kafka(upserts, servers, topic, checkpoint, trigger)
     return files.start_parquet(upserts, path, checkpoint, trigger)
 
 
@@ -161,7 +170,8 @@ def partitioned_table_job(
 
     The topic is read as a changelog against the rows seen so far, so an update or a
     delete fails the batch instead of passing for an insert. ``image`` is the row shape,
-    with ``create_time`` as the text partitions come from.
+    with ``create_time`` as the text partitions come from. With key filters in ``state``, a
+    batch of new keys reads next to nothing of what was seen.
     """
 
     parts = codecs.partition_columns(F.col("create_time"))
@@ -170,9 +180,9 @@ def partitioned_table_job(
         + [T.StructField(p, T.StringType()) for p in PARTS]
     )
 
-    def seen_before(feed: str, number: int) -> DataFrame:
-        # Only the keys matter, so only they are read.
-        rows = state.read_before(feed, number)
+    def seen_before(keys: DataFrame, feed: str, number: int) -> DataFrame:
+        # Only the keys matter, so only they are read, and only where the batch may meet them.
+        rows = state.read_matching(keys, feed, number)
         nothing = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in image.fields}
         return rows.select(*[F.col(c) if c in state.keys else nothing[c] for c in image.names])
 
@@ -182,7 +192,7 @@ def partitioned_table_job(
         upserts = topic_rows(batch, image).persist(StorageLevel.DISK_ONLY)
         try:
             log = changelog.upsert_changelog(
-                upserts, state.keys, "row", "seq", table=seen_before(feed, number)
+                upserts, state.keys, "row", "seq", table=seen_before(upserts, feed, number)
             )
             rows = changelog.append_only(log).withColumn(
                 "event_time", F.to_timestamp("create_time", "yyyy-MM-dd HH:mm:ss")
@@ -198,15 +208,14 @@ def partitioned_table_job(
     return timed.start()
 
 
-def lines_to_table_job(
-    lines: DataFrame, table: str, staging: str, checkpoint: str, view: str = "lines"
-) -> None:
-    """Text lines to a table: parse what has arrived, then overwrite the table with all of it."""
-    spark = lines.sparkSession
+def lines_to_table_job(lines: DataFrame, table: str, location: str, checkpoint: str) -> None:
+    """Text lines to a table at ``location``: parse what has arrived and add it, each line once.
+
+    A run writes its new lines only; those of earlier runs stay as they are.
+    """
     parsed = lines.select(*codecs.delimited(F.col("value")))
-    files.start_parquet(parsed, staging, checkpoint, None).awaitTermination()
-    spark.read.schema(schemas.LINE).parquet(staging).createOrReplaceTempView(view)
-    tables.insert_select(spark, table, f"SELECT id, name FROM {view}", overwrite=True)
+    files.start_parquet(parsed, location, checkpoint, None).awaitTermination()
+    lines.sparkSession.catalog.refreshTable(table)
 
 
 def jdbc_insert_if_absent_job(

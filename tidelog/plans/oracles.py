@@ -78,22 +78,28 @@ select * from applied"""
 _UPSERT = f"""with {_BASE}, {_LATEST}
 select * from base where id not in (select id from latest) union all select * from latest"""
 
-_PARTED = """select cast(event_id as bigint) as id, event_type as actor, props as alias,
-  strftime(ts, '%Y%m%d') as ts_date, strftime(ts, '%H') as ts_hour, '00' as ts_minute
-from events"""
+#: Events as the timed rows have them: ``fx.FASTER`` times as fast.
+_TIMED = f"timed as (select * replace (make_timestamp(epoch_us(ts) // {fx.FASTER}) as ts) from events)"
+
+_PARTED = f"""with {_TIMED}
+select cast(event_id as bigint) as id, event_type as actor, props as alias,
+  strftime(ts, '%Y%m%d') as ts_date, strftime(ts, '%H') as ts_hour, strftime(ts, '%M') as ts_minute
+from timed"""
 
 _BASE_WIDE = f"with {_BASE} select cast(id as bigint) as id, actor, alias from base"
 
 
 def _published(clock: str) -> str:
-    return f"""{_PARTED} where date_trunc('hour', ts) + interval 1 minute < (
-  select {clock} from events)"""
+    return f"""{_PARTED} where date_trunc('minute', ts) + interval 1 minute < (
+  select {clock} from timed)"""
 
 
 ORACLES: dict[str, str] = {
     "jdbc_scan": _BASE_WIDE,
     "jdbc_scan_json": f"""with {_BASE}
 select cast(json_object('id', id, 'actor', actor, 'alias', alias) as varchar) as record from base""",
+    "jdbc_scan_skewed": f"""with {_BASE}
+select cast(case when id % 20 = 0 then id * 1000 else id end as bigint) as id, actor, alias from base""",
     "cdc_feed": _FLAT,
     "start_earliest": f'with {_DENSE} select part as partition, "offset" from dense',
     "start_after_offset": f"""with {_DENSE} select part as partition, "offset" from dense
@@ -113,6 +119,14 @@ union all select seq, 0, '-U', id, old_actor, old_alias from pairs where present
 union all select seq, 1, '+U', id, actor, alias from pairs where present and was
 union all select seq, 0, '-D', id, old_actor, old_alias from pairs where not present and was""",
     "envelope_decode": _FLAT,
+    "envelope_decode_variant": f"""with {_CDC}, mixed as (
+  select *, case seq % 3 when 1 then seq::double when 2 then seq + 0.5::double end as score,
+    case seq % 4 when 0 then 'true' when 1 then 'n' end as note from cdc)
+select seq, op, {', '.join(
+    f"case when {side}_id is not null then {value} end as {side}_{name}"
+    for side in ("before", "after")
+    for name, value in (("id", f"{side}_id::bigint"), ("actor", "actor"), ("alias", "alias"), ("score", "score"), ("note", "note"))
+)} from mixed""",
     "raw_string_decode": f"""with {_UPS}
 select seq, cast(json_object('id', id, 'actor', actor, 'alias', alias) as varchar) as value from ups""",
     "delimited_lines": f"with {_BASE} select id, actor as name from base",
@@ -160,6 +174,15 @@ from paired where row_kind <> '-U' or id <> next_id""",
     "cdc_apply_stream": _APPLY,
     "resume_exactly_once": _APPLY,
     "job_initial_stream": _APPLY,
+    "snapshot_diff": f"""with {_BASE}, {_CDC}, feed as (
+  select * from cdc where seq <= (select max(seq) // 2 from cdc)
+), {_applied('base', 'feed', "'c', 'u'")}
+select (select max(seq) // 2 from cdc) as seq,
+  case when b.id is null then 'c' when a.id is null then 'd' else 'u' end as op,
+  b.id as before_id, b.actor as before_actor, b.alias as before_alias,
+  a.id as after_id, a.actor as after_actor, a.alias as after_alias
+from base b full join applied a on a.id = b.id
+where a.id is null or b.id is null or a.actor is distinct from b.actor or a.alias is distinct from b.alias""",
     "insert_if_absent": f"""with {_BASE}, {_UPS}, first as (
   select id, actor, alias from ups qualify row_number() over (partition by id order by seq) = 1
 ) select * from base union all select * from first where id not in (select id from base)""",
@@ -177,10 +200,24 @@ select b.id, case when l.id is null then b.actor else l.actor end as actor,
 from base b left join latest l on b.id = l.id""",
     "rolling_text_sink": f"""with {_CDC}
 select strftime(ts, '%Y-%m-%d--%H') as bucket, op, before_id, after_id from cdc""",
+    "rolling_text_pack": f"""with {_LOG}, lines as (
+  select 'Demo(id=' || log.id || ', actor=' || coalesce(log.actor, 'null') || ', alias='
+    || coalesce(log.alias, 'null') || ')' as line, strftime(cdc.ts, '%Y-%m-%d--%H') as bucket
+  from log join cdc using (seq))
+select bucket, cast(ceil(sum(octet_length(encode(line)) + 1) / 1000.0) as bigint) as files,
+  cast(sum(octet_length(encode(line)) + 1) as bigint) as bytes, count(*) as lines
+from lines group by bucket""",
     "parquet_sink": _BASE_WIDE,
     "partitioned_insert": _PARTED,
     "append_only_guard": f"with {_LOG} select seq, id, actor, alias from log where row_kind = '+I'",
     "partition_commit": _published("max(ts)"),
+    "partition_commit_feeds": f"""{_PARTED}, (
+  select min(event_id) + 2 * ((max(event_id) - min(event_id)) // 3 + 1) as third from events) cut
+where (event_id % 2 = 0 or event_id < third)
+  and date_trunc('minute', ts) + interval 1 minute < least(
+    (select max(ts) from timed where event_id % 2 = 0),
+    (select max(case when event_id % 2 = 1 and event_id < third then ts end) from timed, (
+      select min(event_id) + 2 * ((max(event_id) - min(event_id)) // 3 + 1) as third from events) c))""",
     "insert_select": f"with {_BASE} select actor as name, id from base",
     "insert_overwrite": f"with {_BASE} select id, alias as name from base",
     "text_append": f"""with {_BASE}
@@ -199,7 +236,7 @@ from log join cdc using (seq)""",
   select * from log qualify row_number() over (partition by id order by seq desc, sub desc) = 1
 ) select * from base where id not in (select id from last)
 union all select id, actor, alias from last where row_kind not in ('-D', '-U')""",
-    "job_partitioned_table": _published("date_trunc('hour', max(ts))"),
+    "job_partitioned_table": _published("date_trunc('second', max(ts))"),
     "job_lines_to_table": f"with {_BASE} select id, actor as name from base",
     "job_jdbc_insert_if_absent": f"""with {_BASE}
 select * from base union all

@@ -15,11 +15,11 @@ from pyspark.sql import types as T
 
 from tidelog import fixtures as fx
 from tidelog import schemas
-from tidelog.functions import codecs, kinds
-from tidelog.operators import apply, changelog, sequence
+from tidelog.functions import codecs, kinds, variants
+from tidelog.operators import apply, changelog, diff, sequence
 from tidelog.plans import jobs
 from tidelog.session import empty_frame, is_local, scratch_dir
-from tidelog.sinks import files, script, tables
+from tidelog.sinks import files, packing, script, tables
 from tidelog.sinks.store import KeyedStore, VersionedStore
 from tidelog.sources import feeds, jdbc
 from tidelog.sources import files as file_sources
@@ -75,6 +75,15 @@ def jdbc_scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jdbc.read_json(spark, url, query, schemas.DEMO, split_by="id")
 
 
+def jdbc_scan_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of which nine tenths lie in a thousandth of their range, read in ranges of equal depth."""
+    url, table = _database(spark), _name("skewed")
+    spread = F.when(F.col("id") % 20 == 0, F.col("id") * 1_000).otherwise(F.col("id"))
+    jdbc.write_table(fx.demo_base(spark, sf_dir).withColumn("id", spread), url, table)
+    query = f'select "id", "actor", "alias" from {table}'
+    return jdbc.read_query(spark, url, query, schemas.DEMO_WIDE, split_by="id", equal_depth=True)
+
+
 def cdc_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "cdc_feed")
     _write_feed(fx.envelope_records(spark, sf_dir), "offset", f"{folder}/feed")
@@ -121,6 +130,40 @@ def envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(feeds.decoded_changes(fx.envelope_records(spark, sf_dir)))
 
 
+def _mixed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as JSON whose images lack fields, or have them in different types."""
+    seq = F.col("seq")
+    score = F.when(seq % 3 == 1, F.concat(F.lit(',"score":'), seq)).when(
+        seq % 3 == 2, F.concat(F.lit(',"score":'), seq, F.lit(".5"))
+    )
+    note = F.when(seq % 4 == 0, ',"note":true').when(seq % 4 == 1, ',"note":"n"')
+    more = F.concat(F.coalesce(score, F.lit("")), F.coalesce(note, F.lit("")), F.lit("}"))
+
+    def image(side: str):
+        known = F.to_json(F.col(side))  # without its NULLs
+        whole = F.concat(F.substring(known, F.lit(1), F.length(known) - 1), more)
+        return F.coalesce(F.when(F.col(side).isNotNull(), whole), F.lit("null"))
+
+    parts = ('{"before":', image("before"), ',"after":', image("after"), ',"op":"', F.col("op"), '"}')
+    text = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    return fx.changes(spark, sf_dir).select("seq", text.alias("value"))
+
+
+def envelope_decode_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images of unknown schema: agreed over the feed, then read as columns."""
+    decoded = _mixed_envelopes(spark, sf_dir).select(
+        "seq", variants.variant_envelope(F.col("value")).alias("envelope")
+    ).select("seq", "envelope.*")
+    schema = variants.agreed_schema(decoded)
+    typed = decoded.select(
+        "seq", "op", *[variants.typed_image(F.col(side), schema).alias(side) for side in ("before", "after")]
+    )
+    flat = [
+        F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in ("before", "after") for c in schema.names
+    ]
+    return typed.select("seq", "op", *flat)
+
+
 def raw_string_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.row_records(spark, sf_dir).select("seq", codecs.text(F.col("value")).alias("value"))
 
@@ -236,6 +279,14 @@ def cdc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply.apply_changes(fx.demo_base(spark, sf_dir), fx.changes(spark, sf_dir), KEYS)
 
 
+def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes between the base table and what half of the feed makes of it."""
+    base, changes = fx.demo_base(spark, sf_dir), fx.changes(spark, sf_dir)
+    half = changes.agg(F.expr("max(seq) div 2")).first()[0]
+    later = apply.apply_changes(base, changes.where(F.col("seq") <= half), KEYS)
+    return _flat(diff.snapshot_changes(base, later, KEYS, seq=half))
+
+
 def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.upserts(spark, sf_dir).select("seq", "row.*")
     return apply.insert_if_absent(fx.demo_base(spark, sf_dir), rows, KEYS)
@@ -289,6 +340,27 @@ def rolling_text_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PACK_CAP = 1_000
+
+
+def rolling_text_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly folders of an image log, packed twice while it is landed: their files and lines."""
+    folder = scratch_dir(spark, "rolling_text_pack")
+    landed, packed = f"{folder}/landed", f"{folder}/files"
+
+    def run() -> None:
+        feed = feeds.file_feed(spark, f"{folder}/feed")
+        jobs.image_log_job(feed, landed, f"{folder}/cp", F.col("timestamp")).awaitTermination()
+        packing.pack(spark, landed, packed, PACK_CAP)
+
+    _in_rounds(fx.envelope_records(spark, sf_dir), "offset", 2, f"{folder}/feed", run)
+    files = packing.live_files(spark, landed, packed).groupBy("bucket").agg(
+        F.count("*").alias("files"), F.sum("bytes").alias("bytes")
+    )
+    lines = packing.read_packed(spark, landed, packed).groupBy("bucket").agg(F.count("*").alias("lines"))
+    return files.join(lines, "bucket")
+
+
 def partitioned_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, location = _timed_table(spark, "partitioned_insert")
     timed = fx.demo_timed(spark, sf_dir)
@@ -336,6 +408,33 @@ def partition_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+def partition_commit_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two feeds into one table, of which the second lacks its last third."""
+    folder = scratch_dir(spark, "partition_commit_feeds")
+    table, location = _timed_table(spark, "partition_commit_feeds")
+    committer = PartitionCommitter(
+        spark, table, location, f"{folder}/state", feeds=("even", "odd")
+    )
+    timed = fx.demo_timed(spark, sf_dir)
+    rows = timed.select(
+        *[F.col(f.name).cast(f.dataType) for f in schemas.DEMO_WIDE.fields],
+        F.col("ts").alias("event_time"),
+        *codecs.partition_columns(F.col("create_time")),
+        "seq",
+    )
+    cuts = fx.cut_points(rows, "seq", 3)
+    for name, rest, rounds in (("even", 0, 3), ("odd", 1, 1), ("odd", 1, 2)):
+        # the even feed runs ahead; the odd one follows, a third at a time
+        low = cuts[0] if name == "even" else cuts[rounds - 1]
+        part = rows.where((F.col("seq") >= low) & (F.col("seq") < cuts[rounds]) & (F.col("seq") % 2 == rest))
+        _write_feed(part, "seq", f"{folder}/{name}")
+        stream = feeds.file_feed(spark, f"{folder}/{name}", rows.schema).drop("seq")
+        start_partition_commit(
+            stream, committer, "event_time", f"{folder}/cp-{name}", None, name
+        ).awaitTermination()
+    return spark.table(table)
+
+
 def insert_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, view = _name("people"), _name("source")
     tables.create_table(spark, table, schemas.PERSON, scratch_dir(spark, "insert_select"))
@@ -597,7 +696,7 @@ def job_partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     table, location = _timed_table(spark, "job_partitioned")
     committer = PartitionCommitter(spark, table, location, f"{folder}/state")
-    seen = KeyedStore(spark, f"{folder}/seen", image, KEYS, buckets=8)
+    seen = KeyedStore(spark, f"{folder}/seen", image, KEYS, buckets=8, key_filters=True)
 
     def run() -> None:
         topic = feeds.file_feed(spark, f"{folder}/topic", jobs.TOPIC_SCHEMA)
@@ -608,13 +707,16 @@ def job_partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_lines_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines in two rounds; each adds its own to the table."""
     folder = scratch_dir(spark, "job_lines")
     table = _name("lines")
     tables.create_table(spark, table, schemas.LINE, f"{folder}/table")
-    lines = fx.demo_base(spark, sf_dir).select(F.concat_ws(",", *COLUMNS).alias("value"))
-    lines.write.text(f"{folder}/lines")
-    feed = feeds.line_feed(spark, f"{folder}/lines")
-    jobs.lines_to_table_job(feed, table, f"{folder}/parsed", f"{folder}/cp", _name("v"))
+    base = fx.demo_base(spark, sf_dir)
+    for rest in range(2):
+        lines = base.where(F.col("id") % 4 == 2 * rest).select(F.concat_ws(",", *COLUMNS).alias("value"))
+        lines.write.mode("append").text(f"{folder}/lines")
+        feed = feeds.line_feed(spark, f"{folder}/lines")
+        jobs.lines_to_table_job(feed, table, f"{folder}/table", f"{folder}/cp")
     return spark.table(table)
 
 
@@ -636,6 +738,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         jdbc_scan,
         jdbc_scan_json,
+        jdbc_scan_skewed,
         cdc_feed,
         start_earliest,
         start_after_offset,
@@ -644,6 +747,7 @@ QUERIES: dict[str, Query] = {
         upsert_kafka_table,
         upsert_kafka_changelog,
         envelope_decode,
+        envelope_decode_variant,
         raw_string_decode,
         delimited_lines,
         inline_rows,
@@ -660,6 +764,7 @@ QUERIES: dict[str, Query] = {
         partition_columns,
         widen_cast,
         upsert_kafka_encode,
+        snapshot_diff,
         cdc_apply,
         cdc_apply_stream,
         insert_if_absent,
@@ -669,10 +774,12 @@ QUERIES: dict[str, Query] = {
         upsert_apply_stream,
         update_by_key,
         rolling_text_sink,
+        rolling_text_pack,
         parquet_sink,
         partitioned_insert,
         append_only_guard,
         partition_commit,
+        partition_commit_feeds,
         insert_select,
         insert_overwrite,
         text_append,

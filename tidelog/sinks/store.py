@@ -11,6 +11,9 @@ current. Until then readers see the previous table, and a step that dies half-wa
 leaves only a folder the next attempt overwrites. The manifest also records the last
 batch of every feed, so a replayed batch is a no-op.
 
+With ``key_filters`` every rewritten bucket gets a Bloom filter of its keys, so that a reader who
+looks for some keys reads only the buckets that may hold them (``read_matching``).
+
 A ``VersionedStore`` also keeps the position of every row's last write, and the deletes,
 so that writes may arrive in any order.
 
@@ -24,7 +27,7 @@ import json
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +37,18 @@ from tidelog.session import empty_frame
 
 FEW_KEYS = 100_000
 
+#: Bits of a key filter for each key, in blocks of 64; a key sets four bits of one block.
+FILTER_BITS = 16
+
+
+def _filter_bits(keys: Sequence[str], blocks: Column) -> list[Column]:
+    """The block of a key in a filter of so many blocks, and the bits it sets there."""
+    place = F.xxhash64(F.lit(7), *keys)
+    bits = [F.expr(f"shiftleft(1L, cast(shiftright(h, {6 * i}) & 63 as int))") for i in range(4)]
+    block = F.pmod(F.shiftright("h", 24), blocks)
+    mask = bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2]).bitwiseOR(bits[3])
+    return [place.alias("h"), block.alias("block"), mask.alias("mask")]
+
 
 @dataclass(frozen=True)
 class Manifest:
@@ -89,6 +104,7 @@ class KeyedStore:
         min_merge_rows: int = FEW_KEYS,
         max_deltas: int = 64,
         keep_versions: int = 32,
+        key_filters: bool = False,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -99,6 +115,7 @@ class KeyedStore:
         self.min_merge_rows = min_merge_rows
         self.max_deltas = max_deltas
         self.keep_versions = max(keep_versions, 8)  # a batch makes three versions at most
+        self.key_filters = key_filters
         self.base_schema = schema
         self.delta_schema = self._delta_schema(T.StructField("had_delete", T.BooleanType()))
 
@@ -167,7 +184,48 @@ class KeyedStore:
         bucketed = rows.withColumn("bucket", self._bucket())
         bucketed.write.mode("overwrite").partitionBy("bucket").parquet(folder)
         names = storage.list_names(self.spark, folder)
-        return {int(n.split("=")[1]) for n in names if n.startswith("bucket=")}
+        held = {int(n.split("=")[1]) for n in names if n.startswith("bucket=")}
+        if self.key_filters and held:
+            self._write_filters(held, version)
+        return held
+
+    # Key filters
+
+    _FILTER = "bucket int, blocks long, block long, mask long"
+
+    def _write_filters(self, buckets: Iterable[int], version: int) -> None:
+        """Beside a version's buckets, a filter of the keys of each."""
+        keys = self._base(dict.fromkeys(buckets, version)).select(*self.keys, self._bucket().alias("bucket"))
+        sizes = keys.groupBy("bucket").agg(F.count("*").alias("n"))
+        blocks = F.ceil(F.col("n") * FILTER_BITS / 64).cast("long")
+        sized = keys.join(F.broadcast(sizes), "bucket").withColumn("blocks", blocks)
+        place, block, mask = _filter_bits(self.keys, F.col("blocks"))
+        marked = sized.withColumn("h", place).select("bucket", "blocks", block, mask)
+        built = marked.groupBy("bucket", "blocks", "block").agg(F.bit_or("mask").alias("mask"))
+        built.write.mode("overwrite").parquet(f"{self.path}/filter/v={version}")
+
+    def may_hold(self, keys: DataFrame, manifest: Manifest | None = None) -> set[int]:
+        """The base buckets that may hold some of ``keys``; all of theirs, without filters."""
+        manifest = self.manifest() if manifest is None else manifest
+        typed = [F.col(k).cast(self.schema[k].dataType).alias(k) for k in self.keys]
+        asked = keys.select(*typed).withColumn("bucket", self._bucket())
+        hit = {r["bucket"] for r in asked.select("bucket").distinct().collect()} & set(manifest.buckets)
+        if not hit or not self.key_filters:
+            return hit
+        versions = {manifest.buckets[b] for b in hit}
+        current = F.array(*[F.lit(f"{b}/{manifest.buckets[b]}") for b in sorted(hit)])
+        filters = None
+        for v in sorted(versions):
+            own = self.spark.read.schema(self._FILTER).parquet(f"{self.path}/filter/v={v}")
+            own = own.where(F.array_contains(current, F.concat_ws("/", "bucket", F.lit(v))))
+            filters = own if filters is None else filters.unionByName(own)
+        sizes = filters.select("bucket", "blocks").distinct()
+        place, block, mask = _filter_bits(self.keys, F.col("blocks"))
+        probes = asked.join(F.broadcast(sizes), "bucket").withColumn("h", place)
+        probes = probes.select("bucket", block, mask.alias("asked")).distinct()
+        met = probes.join(filters, ["bucket", "block"])
+        found = met.where(F.col("mask").bitwiseAND(F.col("asked")) == F.col("asked"))
+        return {r["bucket"] for r in found.select("bucket").distinct().collect()}
 
     def _deltas(self, versions: Iterable[int]) -> DataFrame:
         folders = [f"{self.path}/delta/v={v}" for v in versions]
@@ -195,15 +253,29 @@ class KeyedStore:
         """The table as of the latest commit."""
         return self._read(self.manifest())
 
+    def read_matching(self, keys: DataFrame, feed: str, batch: int) -> DataFrame:
+        """Rows of the table before a feed's batch, those of ``keys`` among them.
+
+        Of the base only buckets that may hold a key are read; the deltas, which are a bounded
+        share of it, whole.
+        """
+        manifest = self._manifest_before(feed, batch)
+        wanted = self.may_hold(keys, manifest)
+        buckets = {b: v for b, v in manifest.buckets.items() if b in wanted}
+        return self._read(replace(manifest, buckets=buckets))
+
     def read_before(self, feed: str, batch: int) -> DataFrame:
         """The table as it was before a feed's batch, whether or not that is committed."""
+        return self._read(self._manifest_before(feed, batch))
+
+    def _manifest_before(self, feed: str, batch: int) -> Manifest:
         manifest = self.manifest()
         while manifest.version > 0 and manifest.feeds.get(feed, -1) >= batch:
             earlier = [v for v in self._versions() if v < manifest.version]
             if not earlier and manifest.version > 1:
                 raise ValueError(f"the table before batch {batch} of {feed} is no longer kept")
             manifest = self.manifest(earlier[-1]) if earlier else Manifest()
-        return self._read(manifest)
+        return manifest
 
     # Rows that wait
 
@@ -333,6 +405,7 @@ class KeyedStore:
             "delta": {v for m in manifests for v in m.deltas},
             "held": {m.held for m in manifests},
         }
+        needed["filter"] = needed["base"]
         for version in versions:
             if version not in kept:
                 storage.delete_folder(self.spark, self._manifest_file(version))

@@ -7,6 +7,11 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidelog import storage
+
+#: Marks tables whose files belong to them although their place was given.
+OWNED = "tidelog.owns_files"
+
 
 def create_table(
     spark: SparkSession,
@@ -15,13 +20,17 @@ def create_table(
     location: str,
     partitioned_by: Iterable[str] = (),
 ) -> None:
-    """Create a Parquet table at ``location`` unless it exists; partition columns go last."""
+    """Create a Parquet table at ``location`` unless it exists; partition columns go last.
+
+    The files below ``location`` are the table's own: dropping a partition deletes them.
+    """
     parts = list(partitioned_by)
     columns = [f for f in schema.fields if f.name not in parts] + [schema[p] for p in parts]
     body = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
     by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING parquet{by} LOCATION '{location}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING parquet{by} LOCATION '{location}' "
+        f"TBLPROPERTIES ('{OWNED}' = 'true')"
     )
 
 
@@ -46,7 +55,25 @@ def partitioned_insert(rows: DataFrame, table: str, partitions: Iterable[str]) -
     insert(together(rows.select(*data, *parts), *parts), table)
 
 
+def _location(spark: SparkSession, table: str) -> str | None:
+    """Where the files of a table made by ``create_table`` lie; None for other tables."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name in ('Location', 'Table Properties')")
+    found = {r["col_name"]: r["data_type"] for r in described.collect()}
+    return found["Location"].rstrip("/") if f"{OWNED}=true" in found.get("Table Properties", "") else None
+
+
 def drop_partition(spark: SparkSession, table: str, spec: Mapping[str, str]) -> None:
-    """Drop one partition; the catalog removes its files if the table manages them."""
+    """Drop the partitions that ``spec`` names, in full or by their first columns, and their files.
+
+    Files go where the catalog manages them, or the table was made by ``create_table``. The
+    catalog forgets a partition first, so a failure leaves files that no reader sees.
+    """
     wanted = ", ".join(f"`{k}` = '{v}'" for k, v in spec.items())
+    location = _location(spark, table)
+    folders = []
+    if location is not None:
+        folders = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table} PARTITION ({wanted})").collect()]
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({wanted})")
+    for folder in folders:
+        storage.delete_folder(spark, f"{location}/{folder}")
+    spark.catalog.refreshTable(table)

@@ -57,16 +57,25 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
+    try:
+        rename(spark, part.toString(), path)
+    except OSError:
+        fs.delete(part, False)
+        raise
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder to a name that must not exist."""
+    jvm, fs, p = _fs(spark, target)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
     kind = jvm.org.apache.hadoop.fs.Options.Rename
     options = spark.sparkContext._gateway.new_array(kind, 1)
     options[0] = kind.NONE
     try:
-        context.rename(part, p, options)
+        context.rename(jvm.org.apache.hadoop.fs.Path(source), p, options)
     except Py4JJavaError as error:
-        fs.delete(part, False)
-        raise OSError(f"could not publish {path}") from error
+        raise OSError(f"could not publish {target}") from error
 
 
 def touch(spark: SparkSession, path: str) -> None:

@@ -9,12 +9,18 @@ alone. Batches are numbered by the committer, in the order they come, whichever
 are of: a job on a new checkpoint adds to what earlier ones staged and published. Rows
 arriving after their partition was published publish it again, whole, and the ledger
 marks it late.
+
+Several feeds may fill one table. Event time is then that of the feed furthest behind, so
+nothing is published before every feed has passed it; a feed that has been silent for a
+number of batches is idle and holds nothing back until it speaks again.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,17 +48,54 @@ class PartitionCommitter:
 
     The ledger has one row per partition, not per record: the batches that staged rows
     for it, its latest event time, and the batch that published it. A batch reads the
-    ledger of the batch before it and writes its own. One feed at a time.
+    ledger of the batch before it and writes its own.
+
+    ``feeds`` names the feeds that are waited for, also before they send anything; without
+    names all that comes is one feed. A feed counts as idle after ``idle_after`` batches of
+    others (None: never). Feeds of one process take turns.
     """
 
     def __init__(
-        self, spark: SparkSession, table: str, location: str, path: str, delay: str = "1 minute"
+        self,
+        spark: SparkSession,
+        table: str,
+        location: str,
+        path: str,
+        delay: str = "1 minute",
+        feeds: Sequence[str] = (),
+        idle_after: int | None = None,
     ):
         self.spark = spark
         self.table = table
         self.location = location.rstrip("/")
         self.path = path.rstrip("/")
         self.delay = delay
+        self.feeds = tuple(feeds)
+        self.idle_after = idle_after
+        self._turn = Lock()
+
+    def _clocks(self, before: int) -> dict[str, dict[str, int]]:
+        """By feed its latest event time (microseconds) and the batch it last sent."""
+        done = [n for n in self._done().values() if n < before]
+        if not done:
+            return {}
+        return json.loads(storage.read_text(self.spark, f"{self.path}/clocks/{max(done)}.json"))
+
+    def _clock(self, top: int | None, batch: int, feed: str) -> int | None:
+        """Note what a batch of a feed brings, and tell the time of the feed furthest behind."""
+        clocks = self._clocks(batch)
+        tops = [x for x in (top, clocks.get(feed, {}).get("top")) if x is not None]
+        clocks[feed] = {"top": max(tops, default=None), "batch": batch}
+        file = f"{self.path}/clocks/{batch}.json"
+        if storage.exists(self.spark, file):  # of an attempt that failed
+            storage.delete_folder(self.spark, file)
+        storage.write_text(self.spark, file, json.dumps(clocks))
+        waited = []
+        for name in self.feeds or clocks:
+            own = clocks.get(name, {"top": None, "batch": -1})
+            if self.idle_after is None or batch - own["batch"] <= self.idle_after:
+                waited.append(own["top"])
+        return None if None in waited else min(waited, default=None)
 
     def _done(self) -> dict[str, int]:
         """The finished batches, as ``feed.batch``, with the committer's number of each."""
@@ -78,7 +121,7 @@ class PartitionCommitter:
         folders = [f"{self.path}/stage/batch={n}" for n in batches]
         return self.spark.read.schema(schema).parquet(*folders)
 
-    def _extend_ledger(self, arrived: DataFrame, batch: int) -> DataFrame:
+    def _extend_ledger(self, arrived: DataFrame, batch: int, feed: str) -> DataFrame:
         """Write and return the batch's ledger: arrivals added, complete partitions marked."""
         parts = list(PARTS)
         joined = self.ledger(before=batch).join(arrived, parts, "full_outer")
@@ -94,10 +137,11 @@ class PartitionCommitter:
             F.col("late").alias("was_late"),
             came.alias("came"),
         )
-        clock = merged.agg(F.max(F.unix_micros("top"))).first()[0]
+        clock = self._clock(arrived.agg(F.max(F.unix_micros("arrived_top"))).first()[0], batch, feed)
         due = F.unix_micros(partition_time() + F.expr(f"interval {self.delay}"))
-        complete = due < F.lit(clock)
-        publish = complete & (F.col("published_in").isNull() | F.col("came"))
+        complete = F.lit(False) if clock is None else due < F.lit(clock)
+        # rows of a published partition publish it again, though an idle feed set time back
+        publish = F.when(F.col("published_in").isNull(), complete).otherwise(F.col("came"))
         marked = merged.select(
             *parts,
             "batches",
@@ -113,9 +157,20 @@ class PartitionCommitter:
         marked.write.mode("overwrite").parquet(folder)
         return self.spark.read.schema(LEDGER).parquet(folder)
 
-    def process(self, rows: DataFrame, event_time: str, batch: int, feed: str = "feed") -> None:
-        """Stage a feed's batch, then publish what its event time completes."""
-        done, name = self._done(), f"{feed}.{batch}"
+    def process(
+        self, rows: DataFrame, event_time: str, batch: int, checkpoint: str = "feed", feed: str | None = None
+    ) -> None:
+        """Stage a feed's batch, then publish what event time completes.
+
+        ``checkpoint`` and ``batch`` tell a batch that comes again; ``feed`` is one of ``feeds``.
+        """
+        if self.feeds and feed not in self.feeds:
+            raise ValueError(f"{feed} is none of the feeds {self.feeds}")
+        with self._turn:
+            self._process(rows, event_time, f"{checkpoint}.{batch}", feed or "")
+
+    def _process(self, rows: DataFrame, event_time: str, name: str, feed: str) -> None:
+        done = self._done()
         if name in done:
             return
         batch = max(done.values(), default=-1) + 1
@@ -124,7 +179,7 @@ class PartitionCommitter:
         arrived = self._staged([batch], schema).groupBy(*parts).agg(
             F.max(event_time).alias("arrived_top")
         )
-        ready = self._extend_ledger(arrived, batch).where(F.col("published_in") == batch)
+        ready = self._extend_ledger(arrived, batch, feed).where(F.col("published_in") == batch)
         sources = ready.select(F.explode("batches").alias("n")).distinct().collect()
         if sources:
             pieces = self._staged([row["n"] for row in sources], schema)
@@ -169,11 +224,16 @@ def start_partition_commit(
     event_time: str,
     checkpoint: str,
     trigger: str | None = "1 minute",
+    feed: str | None = None,
 ) -> StreamingQuery:
-    """Feed a stream, which carries the partition columns, to a committer."""
+    """Feed a stream, which carries the partition columns, to a committer.
+
+    ``feed`` is its name where the committer waits for several.
+    """
 
     def land(batch: DataFrame, number: int) -> None:
-        committer.process(batch, event_time, number, storage.feed_of(committer.spark, checkpoint))
+        own = storage.feed_of(committer.spark, checkpoint)
+        committer.process(batch, event_time, number, own, feed)
 
     writer = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     timed = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
