@@ -15,10 +15,11 @@ Anything reported is equal byte for byte, but for digests that agree by chance (
 
 Digests that occur once are set aside first. Others are compared with their first
 occurrence, which a combining minimum finds; positions are never paired with each other,
-so a passage in a third of all documents costs a row per occurrence.
+so a passage in a third of all documents costs a row per occurrence, and those rows are dealt
+out to several tasks.
 
 Rows with one id and one text are one document. A NULL id orders first. NULL and empty
-texts have no spans and stay. Column names that begin with two underscores are reserved.
+texts have no spans and stay. Texts of up to 2 GB are read whole. An empty table gives no rows. Column names that begin with two underscores are reserved.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ from tidelog.llm.common import stored, texts
 MEAN = 24
 MIN_WORDS = 20
 MIN_BYTES = 512
+#: Rows of one digest that a task takes, and digests that are dealt out to several.
+HOT, MAX_HOT = 20_000, 10_000
 
 _GEAR = (W.EXACT >> W.U64(40)).astype(np.uint16)
 
@@ -116,30 +119,39 @@ def _spans(part: W.Slice, min_words: int, mean: int):
 
 
 def spans(docs: DataFrame, min_words: int = MIN_WORDS, mean: int = MEAN) -> DataFrame:
-    """``doc_id, place, digest``: every span.
+    """``doc_id, version, start, digest``: every span.
 
-    ``place`` is where it starts in the text, in bytes, below 24 bits of a hash of the
-    text, which tell texts apart that share an id. Where it ends follows from the text.
+    ``version`` is a hash of the text, which tells texts apart that share an id; ``start`` is
+    in bytes. Where a span ends follows from the text.
     """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            version = batch.column("version").to_numpy()
             for part in W.slices(batch.column("text")):
                 if len(part.data):
                     row, start, _, digest = _spans(part, min_words, mean)
-                    place = (version[row + part.low] << 40) | start
-                    columns = [batch.column("doc_id").take(pa.array(row + part.low)), pa.array(place)]
+                    taken = [batch.column(c).take(pa.array(row + part.low)) for c in ("doc_id", "version")]
                     yield pa.RecordBatch.from_arrays(
-                        [*columns, pa.array(digest.view(np.int64))], names=["doc_id", "place", "digest"]
+                        [*taken, pa.array(start.astype(np.int32)), pa.array(digest.view(np.int64))],
+                        names=["doc_id", "version", "start", "digest"],
                     )
 
     versioned = docs.select("doc_id", "text", _version(F.col("text")).alias("version"))
-    return versioned.mapInArrow(cut, "doc_id long, place long, digest long")
+    return versioned.mapInArrow(cut, "doc_id long, version long, start int, digest long")
 
 
 def _version(text: Column) -> Column:
-    return F.coalesce(F.pmod(F.xxhash64(text), F.lit(1 << 23)), F.lit(0))
+    return F.xxhash64(text)
+
+
+def _salted(rows: DataFrame, hot: DataFrame, *place: str) -> DataFrame:
+    """``rows`` with a ``salt`` below the number that their digest's frequency asks for."""
+    marked = rows.join(F.broadcast(hot), "digest", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    if place:
+        salt = F.pmod(F.xxhash64(*place), F.col("salts")).cast("int")
+    else:
+        salt = F.explode(F.sequence(F.lit(0), (F.col("salts") - 1).cast("int")))
+    return marked.withColumn("salt", salt).drop("salts")
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, mean: int = MEAN) -> DataFrame:
@@ -149,15 +161,20 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, mean: int = MEAN
     occurrence. Documents without such spans are left out.
     """
     every = spans(docs, min_words, mean)
-    often = every.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-    met = stored(every.join(often, "digest"), "spans")
-    met = met.select("digest", F.struct("doc_id", "place").alias("at"))
-    first = met.groupBy("digest").agg(F.min("at").alias("kept"), F.max("at").alias("other"))
-    later = met.join(first.where("kept <> other").drop("other"), "digest").where("at > kept")
-    start = F.expr("at.place & ((1L << 40) - 1)").alias("start")
-    version = F.shiftright("at.place", 40).alias("version")
-    span = F.struct(start, F.col("kept.doc_id").alias("first_id"))
-    found = later.select("at.doc_id", version, span.alias("span")).groupBy("doc_id", "version")
+    often = stored(every.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1"), "often")
+    # rows of a frequent digest go to several tasks; which digests are listed changes nothing else
+    hot = often.where(F.col("n") >= HOT).orderBy(F.desc("n"), "digest").limit(MAX_HOT)
+    hot = hot.select("digest", F.ceil(F.col("n") / HOT).alias("salts"))
+    keys = ["digest", "salt"]
+    met = _salted(every, hot, "doc_id", "version", "start").join(_salted(often.select("digest"), hot), keys)
+    met = stored(met, "spans")
+    met = met.select(*keys, F.struct("doc_id", "version", "start").alias("at"))
+    first = met.groupBy(*keys).agg(F.min("at").alias("kept"), F.max("at").alias("other"))
+    first = first.groupBy("digest").agg(F.min("kept").alias("kept"), F.max("other").alias("other"))
+    first = _salted(first.where("kept <> other").drop("other"), hot)
+    later = met.join(first, keys).where("at > kept")
+    span = F.struct(F.col("at.start").cast("long").alias("start"), F.col("kept.doc_id").alias("first_id"))
+    found = later.select("at.doc_id", "at.version", span.alias("span")).groupBy("doc_id", "version")
     return found.agg(F.sort_array(F.collect_set("span")).alias("found"))
 
 
