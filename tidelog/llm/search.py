@@ -13,7 +13,10 @@ results are written before the next begins. Candidates are not shuffled.
 Vectors that are NULL, or hold NULL or a non-finite component, take no part. Vectors of
 other lengths count as padded with zeros. Of rows that share a ``vec_id``, each is a
 candidate, and one (the least vector) the query; a query never meets its own id. Ties go
-to the smaller id. Scores must fit 64 bits; components beyond 2^31 / scale fail.
+to the smaller id. An empty table gives no rows; columns beyond id and vector are not read.
+
+Scores are exact whatever the components: vectors whose products might leave 64 bits are
+multiplied as integers of any length. A result that does not fit 64 bits fails.
 """
 
 from __future__ import annotations
@@ -33,22 +36,44 @@ BLOCK = 1_024
 _ROWS = 2_048
 
 
+_TOP = np.iinfo(np.int64).max
+
+
 def _matrix(lists: pa.Array, width: int | None = None) -> np.ndarray:
-    """Lists of integers as rows, padded with zeros or cut to ``width``."""
+    """Lists of whole numbers as rows, padded with zeros or cut to ``width``."""
     sizes = lists.value_lengths().to_numpy()
     width = int(sizes.max(initial=0)) if width is None else width
     flat = lists.flatten().to_numpy()
     row = np.repeat(np.arange(len(sizes)), sizes)
     column = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    out = np.zeros((len(sizes), width), dtype=np.int64)
+    out = np.zeros((len(sizes), width))
     inside = column < width
     out[row[inside], column[inside]] = flat[inside]
     return out
 
 
 def _accumulate(queries: np.ndarray, block: np.ndarray) -> np.ndarray:
-    """Scores of every query with every candidate, one term after the other."""
+    """Scores of every query with every candidate; what leaves 64 bits is ``_TOP`` or its negative."""
+    limit = (2.0**62 / max(1, queries.shape[1])) ** 0.5
+    small_q, small_b = (np.abs(x).max(axis=1, initial=0) < limit for x in (queries, block))
+    if small_q.all() and small_b.all():
+        return _sums(queries.astype(np.int64), block.astype(np.int64))
     scores = np.zeros((len(queries), len(block)), dtype=np.int64)
+    wide = [np.array([[int(x) for x in row] for row in m], dtype=object).reshape(m.shape) for m in (queries, block)]
+    for q, b in ((small_q, small_b), (~small_q, small_b), (np.ones(len(queries), bool), ~small_b)):
+        if not q.any() or not b.any():
+            continue
+        if b is small_b and q is small_q:
+            part = _sums(queries[q].astype(np.int64), block[b].astype(np.int64))
+        else:
+            part = np.clip(_sums(wide[0][q], wide[1][b]), -_TOP, _TOP).astype(np.int64)
+        scores[np.ix_(q, b)] = part
+    return scores
+
+
+def _sums(queries: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Inner products, one term after the other."""
+    scores = np.zeros((len(queries), len(block)), dtype=queries.dtype)
     for term in range(queries.shape[1]):
         asking, posting = np.flatnonzero(queries[:, term]), np.flatnonzero(block[:, term])
         if not len(asking) or not len(posting):
@@ -96,15 +121,18 @@ def _top_of(batches: Iterable[pa.RecordBatch], query_ids: np.ndarray, queries: n
     return kept
 
 
+def _whole(x: Column, scale: int) -> Column:
+    """``floor(scale * x)`` as a double, which beyond 2^52 is whole anyhow."""
+    scaled = x * F.lit(float(scale))
+    return F.when(F.abs(scaled) < 2.0**52, F.floor(scaled).cast("double")).otherwise(scaled)
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE, block: int = BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score`` from ``vec_id, embedding``."""
     v = F.col("embedding").cast("array<double>")
-    sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 2**31 / scale))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    checked = F.when(sound, F.transform(v, lambda x: F.floor(x * scale)))
-    checked = checked.otherwise(F.raise_error(F.lit("a component is beyond the range of scores")))
     rows = vectors.where(F.col("vec_id").isNotNull() & v.isNotNull() & F.coalesce(finite, F.lit(False)))
-    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), checked.cast("array<long>").alias("v"))
+    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(v, lambda x: _whole(x, scale)).alias("v"))
     asked = rows.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     asked = stored(asked, "queries")
     blocks = max(1, -(-asked.count() // block))
@@ -129,6 +157,8 @@ def _search(rows: DataFrame, asked: pa.Table, k: int) -> DataFrame:
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, queries = shared.value
         kept = _top_of(batches, query_ids, queries, k)
+        if any((np.abs(scores) == _TOP).any() for _, scores in kept):
+            raise OverflowError("a score does not fit 64 bits")
         sizes = [len(ids) for ids, _ in kept]
         yield pa.RecordBatch.from_arrays(
             [
