@@ -10,10 +10,16 @@ one without ``://``, has both empty, fits no rule and is judged by the trees.
 
 Features are those of the text alone: lengths, depth, shares of digits and hyphens,
 entropy, numbers of parameters and labels, and the smoothed share of blocked URLs among
-the training URLs with the same suffix: the last label of the host, the first segment of
-the path, and the file ending. Trees are Spark ML's. Training reads about ``SAMPLE``
-judged URLs, chosen by a hash of the URL. Where rules judge nothing, or all alike, the
-verdict of the rest is that one verdict (allow for none).
+the training URLs with the same suffix: the label before the host's last two, the first
+segment of the path, the second, and the file ending. A suffix that some rule tests is left
+out: it would only hand the rules back. A training URL has its shares from the other folds (by
+a hash of the URL), not from itself. Trees are Spark ML's.
+Training reads about ``SAMPLE`` judged URLs, chosen by a hash of the URL; shares count all of
+them. Where rules judge nothing, or all alike, the verdict of the rest is that one verdict
+(allow for none).
+
+URLs that repeat are judged alike, each row for itself; URLs of any length are read whole. An
+empty table gives no rows. Columns beyond id and URL are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,7 +39,8 @@ TREES = 10
 DEPTH = 4
 SEED = 7
 ALLOW, BLOCK = "allow", "block"
-SUFFIXES = ("top_label", "first_segment", "ending")
+FOLDS = 5
+SUFFIXES = ("site", "first_segment", "second_segment", "ending")
 NUMBERS = ("url_length", "host_length", "path_length", "depth", "labels", "digits", "hyphens", "entropy", "parameters")
 
 
@@ -70,6 +77,17 @@ def _judged(rules: list[Rule]) -> Column:
     return out if out is not None else F.lit(None).cast("struct<rule: string, verdict: string>")
 
 
+def untested(rules: list[Rule]) -> list[str]:
+    """The suffixes that no rule looks at."""
+    tested = {
+        "site": any(r.host.count(".") >= 2 for r in rules),
+        "first_segment": any(len(r.path) > 1 for r in rules),
+        "second_segment": any(r.path.count("/") > 1 and not r.path.endswith("/") or r.path.count("/") > 2 for r in rules),
+        "ending": any("." in r.path for r in rules),
+    }
+    return [name for name in SUFFIXES if not tested[name]]
+
+
 def _share(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern)) / F.greatest(F.length(text), F.lit(1))
 
@@ -106,17 +124,32 @@ def featured(urls: DataFrame) -> DataFrame:
             "hyphens": _share(host, "-"),
             "entropy": _entropy(url),
             "parameters": F.regexp_count(query, F.lit("[^&]+")).cast("double"),
-            "top_label": F.regexp_extract(host, r"([^.]*)$", 1),
+            "site": F.regexp_extract(host, r"([^.]+)\.[^.]*\.[^.]*$", 1),
             "first_segment": F.regexp_extract(path, "^/([^/]*)", 1),
+            "second_segment": F.regexp_extract(path, "^/[^/]*/([^/]*)", 1),
             "ending": F.regexp_extract(path, r"\.([A-Za-z0-9]{1,5})$", 1),
         }
     )
 
 
+def _shares(judged: DataFrame, name: str, mean: float) -> DataFrame:
+    """``name, fold, <name>_share``: by value, of the URLs of other folds; fold -1: of all."""
+    counted = judged.select(name, "fold", (F.col("verdict") == BLOCK).cast("long").alias("blocked"))
+    counted = counted.where(F.col(name) != "").groupBy(name, "fold").agg(F.count("*").alias("n"), F.sum("blocked").alias("b"))
+    total = counted.groupBy(name).agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
+    folds = F.explode(F.sequence(F.lit(-1), F.lit(FOLDS - 1))).alias("fold")
+    apart = total.select(name, folds, "n", "b").join(
+        counted.select(name, "fold", F.col("n").alias("own_n"), F.col("b").alias("own_b")), [name, "fold"], "left"
+    )
+    n, b = (F.col(c) - F.coalesce(f"own_{c}", F.lit(0)) for c in ("n", "b"))
+    # smoothed by twenty URLs of the mean
+    return apart.select(name, "fold", ((b + 20 * mean) / (n + 20)).alias(f"{name}_share"))
+
+
 def _with_suffix_shares(rows: DataFrame, shares: dict[str, DataFrame], mean: float) -> DataFrame:
-    for name in SUFFIXES:
-        rows = rows.join(shares[name], name, "left")
-    return rows.fillna(mean, [f"{name}_share" for name in SUFFIXES])
+    for name, share in shares.items():
+        rows = rows.join(share, [name, "fold"], "left")
+    return rows.fillna(mean, [f"{name}_share" for name in shares])
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule], sample: int = SAMPLE) -> DataFrame:
@@ -126,7 +159,8 @@ def judge_urls(pages: DataFrame, rules: list[Rule], sample: int = SAMPLE) -> Dat
     """
     urls = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
     told = featured(urls).withColumn("told", _judged(rules))
-    rows = stored(told.select("*", "told.rule", "told.verdict").drop("told"), "urls")
+    told = told.withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(FOLDS)).cast("int"))
+    rows = stored(told.select("*", "told.*").drop("told"), "urls")
     judged = rows.where("verdict is not null")
     n, blocked = judged.agg(F.count("*"), F.count_if(F.col("verdict") == BLOCK)).first()
     out = ["page_id", "host", "path", "rule", "verdict", "score"]
@@ -139,22 +173,15 @@ def judge_urls(pages: DataFrame, rules: list[Rule], sample: int = SAMPLE) -> Dat
     chosen = judged.where(F.pmod(F.xxhash64("url"), F.lit(1_000_000)) < limit)
     chosen = chosen.withColumn("label", (F.col("verdict") == BLOCK).cast("double"))
     mean = blocked / n
-    # shares over all judged URLs, smoothed by twenty of the mean
-    shares = {
-        name: judged.groupBy(name).agg(
-            ((F.count_if(F.col("verdict") == BLOCK) + 20 * mean) / (F.count("*") + 20)).alias(f"{name}_share")
-        )
-        for name in SUFFIXES
-    }
-    shares = {name: stored(df, f"{name}_shares") for name, df in shares.items()}
-    columns = [*NUMBERS, *(f"{name}_share" for name in SUFFIXES)]
+    shares = {name: stored(_shares(judged, name, mean), f"{name}_shares") for name in untested(rules)}
+    columns = [*NUMBERS, *(f"{name}_share" for name in shares)]
     assembler = VectorAssembler(inputCols=columns, outputCol="features")
     training = assembler.transform(_with_suffix_shares(chosen, shares, mean)).select("features", "label")
     training = stored(training.orderBy("label", F.hash("features")), "training")
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, maxBins=32, cacheNodeIds=False)
     model = trees.fit(training)
 
-    rest = rows.where("verdict is null")
+    rest = rows.where("verdict is null").withColumn("fold", F.lit(-1))
     scored = model.transform(assembler.transform(_with_suffix_shares(rest, shares, mean)))
     chance = F.get(F.col("p"), F.lit(1))
     scored = scored.withColumn("p", vector_to_array("probability")).withColumn("score", chance)
