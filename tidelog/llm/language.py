@@ -10,7 +10,8 @@ language that comes first by code point.
 
 N-grams run over lower-cased letters; everything else reads as one blank per character,
 and n-grams with two neighbouring blanks are left out, so they see single words and
-where words meet. Texts are read whole.
+where words meet. Texts are read whole, whatever their length. Rows that repeat a text are
+learned once; an empty table, or one without labels, gives ``und`` for all.
 """
 
 from __future__ import annotations
@@ -30,13 +31,16 @@ from tidelog.llm.common import stored
 N = 4
 SLOT_BITS = 20
 HASHES = 3
-#: Labelled texts per language that training reads, about; they are chosen by a hash.
+#: Distinct labelled texts per language that training reads, about; they are chosen by a hash.
 SAMPLE = 4_000
 #: The most n-grams a language keeps, the most frequent ones.
 GRAMS = 30_000
+#: A language with fewer n-grams that come twice also learns those that come once.
+FEW = 1_000
 #: A language takes an n-gram that is at least this often, relative to where it is most.
 SHARE = 0.25
-LANGUAGES = 64
+#: Languages that are learned: those with the most distinct labelled texts.
+LANGUAGES = 512
 UNKNOWN = "und"
 SEGMENT = 1 << 19
 
@@ -82,27 +86,36 @@ def grams(text: str) -> Iterator[np.ndarray]:
 
 @dataclass
 class Filters:
-    """The bit-sliced filter; ``fill`` is the share of slots that each language occupies."""
+    """The bit-sliced filter; ``fill`` is the share of slots that each language occupies.
+
+    A mask has a word for each 64 languages, so ``slots`` is a list of tables.
+    """
 
     languages: list[str]
-    slots: np.ndarray
+    slots: list[np.ndarray]
     fill: np.ndarray
 
     def masks(self, hashes: np.ndarray) -> np.ndarray:
-        """The languages of every n-gram, as bits."""
-        found = None
+        """The first 64 languages of every n-gram, as bits."""
+        return self.mask_words(hashes)[0]
+
+    def mask_words(self, hashes: np.ndarray) -> list[np.ndarray]:
+        """The languages of every n-gram, as bits, 64 to a word."""
+        found: list[np.ndarray] = []
         for slot in _slots(hashes):
-            found = self.slots[slot] if found is None else found & self.slots[slot]
+            own = [table[slot] for table in self.slots]
+            found = [a & b for a, b in zip(found, own)] if found else own
         return found
 
     def shares(self, text: str) -> np.ndarray | None:
         """The corrected share of n-grams by language; None for a text without letters."""
         counts, n = np.zeros(len(self.languages)), 0
         for part in grams(text):
-            masks = self.masks(part)
+            masks = self.mask_words(part)
             n += len(part)
-            for bit in range(len(self.languages)):
-                counts[bit] += np.count_nonzero(masks & self.slots.dtype.type(1 << bit))
+            for i in range(len(self.languages)):
+                word = masks[i // 64]
+                counts[i] += np.count_nonzero(word & word.dtype.type(1 << i % 64))
         if n == 0:
             return None if not any(c.isalpha() for c in text) else np.zeros(len(self.languages))
         wrong = self.fill**HASHES
@@ -116,26 +129,26 @@ def _slots(hashes: np.ndarray) -> Iterator[np.ndarray]:
         yield ((hashes + W.U64(i) * step) & W.U64((1 << SLOT_BITS) - 1)).astype(np.int64)
 
 
-def learn(docs: DataFrame, sample: int = SAMPLE, keep: int = GRAMS) -> Filters:
+def learn(docs: DataFrame, sample: int = SAMPLE, keep: int = GRAMS, most: int = LANGUAGES) -> Filters:
     """Filters from ``text`` and ``lang`` of labelled rows.
 
-    About ``sample`` rows of each language are read, chosen by a hash of the text. Their
-    n-grams are counted in the tasks and summed by Spark; a language's ``keep`` most
-    frequent ones reach the driver, so what it holds does not grow with the input. At
-    most 64 languages can be told apart; more fail.
+    About ``sample`` distinct texts of each language are read, chosen by a hash, however often
+    they are repeated. Their n-grams are counted in the tasks and summed by Spark; a
+    language's ``keep`` most frequent ones reach the driver, so what it holds does not grow
+    with the input. At most ``most`` languages are learned.
     """
     rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    rows = rows.where("text is not null and lang is not null")
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows")).orderBy("lang").limit(LANGUAGES + 1).collect()
-    if len(sizes) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    languages = [r["lang"] for r in sizes]
+    rows = rows.where("text is not null and lang is not null").withColumn("hash", F.xxhash64("text"))
+    sizes = rows.select("lang", "hash").distinct().groupBy("lang").agg(F.count("*").alias("texts"))
+    sizes = sizes.orderBy(F.desc("texts"), "lang").limit(most).collect()
+    languages = sorted(r["lang"] for r in sizes)  # by code point, as UTF-8 is
     if not languages:
-        return Filters([], np.zeros(1 << SLOT_BITS, np.uint8), np.zeros(0))
-    part = F.lit(False)
-    for r in sizes:
-        limit = 1_000_000 if r["rows"] <= sample else int(1_000_000 * sample / r["rows"])
-        part = part | ((F.col("lang") == r["lang"]) & (F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < limit))
+        return Filters([], [np.zeros(1 << SLOT_BITS, np.uint8)], np.zeros(0))
+    limits = [(r["lang"], min(1_000_000, int(1_000_000 * sample / r["texts"]))) for r in sizes]
+    limits = docs.sparkSession.createDataFrame(limits, "lang string, limit int")
+    chosen = rows.join(F.broadcast(limits), "lang").where(F.pmod("hash", F.lit(1_000_000)) < F.col("limit"))
+    # copies of a chosen text meet in its task before one of them is moved
+    rows = chosen.groupBy("lang", "hash").agg(F.min("text").alias("text")).select("lang", "text")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -154,23 +167,28 @@ def learn(docs: DataFrame, sample: int = SAMPLE, keep: int = GRAMS) -> Filters:
                 names=["lang", "gram", "n"],
             )
 
-    counted = rows.where(part).mapInArrow(count, "lang string, gram long, n long")
+    counted = rows.mapInArrow(count, "lang string, gram long, n long")
     counted = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    by_lang = counted.groupBy("lang").agg(F.sum("n").alias("total"))
+    by_lang = counted.groupBy("lang").agg(F.sum("n").alias("total"), F.count_if(F.col("n") > 1).alias("again"))
     rate = counted.join(F.broadcast(by_lang), "lang").withColumn("rate", F.col("n") / F.col("total"))
     best = rate.groupBy("gram").agg(
-        F.max("rate").alias("most"), F.collect_list(F.struct("lang", "rate", "n")).alias("in")
+        F.max("rate").alias("most"), F.collect_list(F.struct("lang", "rate", "n", "again")).alias("in")
     )
-    kept = best.select("gram", "most", F.explode("in").alias("l")).where(f"l.rate >= {SHARE} * most and l.n > 1")
+    kept = best.select("gram", "most", F.explode("in").alias("l"))
+    kept = kept.where(f"l.rate >= {SHARE} * most and (l.n > 1 or l.again < {FEW})")
     kept = stored(kept.select("gram", "l.lang", "l.n"), "grams")
-    slots = np.zeros(1 << SLOT_BITS, dtype=_width(len(languages)))
+    slots = [
+        np.zeros(1 << SLOT_BITS, dtype=_width(min(64, len(languages) - low))) for low in range(0, len(languages), 64)
+    ]
     fill = np.zeros(len(languages))
-    for bit, lang in enumerate(languages):
+    keep = min(keep, (1 << 21) // len(languages))
+    for i, lang in enumerate(languages):
         top = kept.where(F.col("lang") == lang).orderBy(F.desc("n"), "gram").limit(keep).select("gram")
         values = np.array([r[0] for r in top.collect()], dtype=np.int64).view(W.U64)
+        word, bit = slots[i // 64], slots[i // 64].dtype.type(1 << i % 64)
         for slot in _slots(values):
-            slots[slot] |= slots.dtype.type(1 << bit)
-        fill[bit] = np.count_nonzero(slots & slots.dtype.type(1 << bit)) / len(slots)
+            word[slot] |= bit
+        fill[i] = np.count_nonzero(word & bit) / len(word)
     return Filters(languages, slots, fill)
 
 
