@@ -17,8 +17,11 @@ def remainder(doc_id: int, divisor: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % divisor
 
 
-def lines(docs: list[tuple], window: int = 3) -> list[tuple]:
-    """``doc_id, text, n_deleted`` of ``(doc_id, text)``, by comparing runs of lines."""
+def lines(docs: list[tuple], window: int = 3, few: int = 8) -> list[tuple]:
+    """``doc_id, text, n_deleted`` of ``(doc_id, text)``, by comparing runs of lines.
+
+    Runs have ``window`` lines, or fewer with ``few`` words in all, or are a whole text.
+    """
     ordered = sorted(docs, key=lambda d: d[0])
     seen, out = set(), []
     for doc_id, text in ordered:
@@ -26,13 +29,16 @@ def lines(docs: list[tuple], window: int = 3) -> list[tuple]:
             out.append((doc_id, None, 0))
             continue
         parts = text.split("\n")
-        own = [i for i, x in enumerate(parts) if x.strip(" \t\n\v\f\r")]
-        runs = [tuple(parts[i].strip(" \t\n\v\f\r") for i in own[p : p + window]) for p in range(len(own) - window + 1)]
+        bodies = [x.strip(" \t\n\v\f\r") for x in parts if x.strip(" \t\n\v\f\r")]
         gone = set()
-        for p, run in enumerate(runs):
-            if run in seen:
-                gone.update(range(p, p + window))
-            seen.add(run)
+        for size in range(1, window + 1):
+            for p in range(len(bodies) - size + 1):
+                run = tuple(bodies[p : p + size])
+                if size < window and size < len(bodies) and sum(len(words(x)) for x in run) < few:
+                    continue
+                if run in seen:
+                    gone.update(range(p, p + size))
+                seen.add(run)
         kept, at, cut = [], -1, False
         for line in parts:
             if line.strip(" \t\n\v\f\r"):

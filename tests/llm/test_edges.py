@@ -245,3 +245,93 @@ def test_pipeline_stages(spark, docs, none, items, tmp_path):
             rows = corpus_pipeline.stored(out, name)
     near = corpus_pipeline.near_duplicates(spark, docs, folder).collect()
     assert sorted(r.doc_id for r in near if r.doc_id is not None) == [0, 1, 2, 3, 4, 6, 7]
+
+
+def test_language_of_copies_few_texts_and_many_languages(spark):
+    """2,000 copies of one text, one text of its own, and 70 languages at once."""
+    import random
+
+    rng = random.Random(3)
+
+    def text(alphabet, n=40):
+        return " ".join("".join(rng.choice(alphabet) for _ in range(rng.randint(3, 7))) for _ in range(n))
+
+    copies = text("abcd")
+    rows = [(copies, "aa")] * 2_000 + [(text("efgh"), "bb")]
+    rows += [(text("ijkl"), "cc") for _ in range(400)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    for sample in (100, 4_000):
+        filters = language.learn(docs, sample=sample)
+        assert filters.languages == ["aa", "bb", "cc"]
+        asked = spark.createDataFrame([(copies,), (rows[2_000][0],), (text("ijkl"),)], "text string")
+        found = {r.text: r for r in language.identify(asked, filters).collect()}
+        assert found[copies].lang_pred == "aa" and found[rows[2_000][0]].lang_pred == "bb"
+        assert sorted(r.lang_pred for r in found.values()) == ["aa", "bb", "cc"]
+        assert all(r.lang_score > 0.3 for r in found.values())
+    many = [(text([chr(0x4E00 + 20 * i + j) for j in range(8)]), f"l{i:02d}") for i in range(70) for _ in range(3)]
+    filters = language.learn(spark.createDataFrame(many, "text string, lang string"))
+    assert len(filters.languages) == 70 and len(filters.slots) == 2
+    asked = spark.createDataFrame(many, "text string, lang string")
+    assert all(r.lang_pred == r.lang for r in language.identify(asked, filters).collect())
+    assert len(language.learn(asked, most=5).languages) == 5
+
+
+def test_ties_go_to_the_first_language(spark):
+    docs = spark.createDataFrame([("same words here", "xx"), ("same words here", "ab")], "text string, lang string")
+    found = language.identify(docs, language.learn(docs)).collect()
+    assert {r.lang_pred for r in found} == {"ab"}
+
+
+def test_passages_of_rows_without_an_id(spark):
+    """12,000 different texts under no id, and under one, hold a passage that an earlier row has."""
+    passage = " ".join(f"shared{i}" for i in range(60))
+    for doc_id in (None, 7):
+        rows = [(doc_id, f"row {i} begins so {i * 7919} {passage} and ends {i}") for i in range(12_000)]
+        found = chunk_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert found.count() == 11_999 and found.where("n_words < 40").count() == 0
+        left = chunk_dedup.delete_repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert left.where(F.length("text") > 300).count() == 1
+
+
+def test_frequent_passages_are_dealt_out(spark, monkeypatch):
+    """Which digests count as frequent changes where rows go, not what is found."""
+    passage = " ".join(f"shared{i}" for i in range(60))
+    rows = [(i, f"{i * 7919} begins {passage} ends {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = sorted(map(str, chunk_dedup.passages(docs).collect()))
+    monkeypatch.setattr(chunk_dedup, "HOT", 7)
+    assert sorted(map(str, chunk_dedup.passages(docs).collect())) == plain and len(plain) == 299
+
+
+def test_pipeline_keeps_texts_that_share_an_id(spark, folder):
+    """Different texts under one id stay; equal texts without ids leave one; reruns agree."""
+    text = " ".join(f"word{i}" for i in range(50))
+    other = " ".join(f"other{i}" for i in range(50))
+    third = " ".join(f"third{i}" for i in range(50))
+    rows = [(None, text, "a"), (None, text, "b"), (None, text + " more", "c"), (7, other, "d"), (7, third, "e"), (7, third, "f")]
+    rows += [(8, other + " end", "g"), (9, None, "h"), (None, "", "i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    runs = [
+        sorted(
+            (tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs.repartition(n), folder).collect()), key=str
+        )
+        for n in (1, 3)
+    ]
+    assert runs[0] == runs[1]
+    got = runs[0]
+    assert sum(r[1] is not None and r[1].startswith("word") for r in got) == 1
+    assert {r[1] for r in got if r[0] == 7} == {other, third} and len([r for r in got if r[0] == 7]) == 2
+    assert not [r for r in got if r[0] == 8] and (9, None, "h") in got and (None, "", "i") in got
+
+
+def test_scores_of_large_components(spark):
+    """Components that leave 64 bits when multiplied, and a result that does not fit."""
+    rows = [(0, [3.0e6, 1.0]), (1, [2.0, 5.0e15]), (2, [1.0e18, 0.0]), (3, [-1.0e18, 2.0]), (4, [0.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in search.top_k(vectors, F.col("vec_id") == 4).collect()}
+    assert set(got.values()) == {0} and len(got) == 4
+    fits = vectors.where("vec_id in (0, 1, 4)")
+    with pytest.raises(Exception, match="does not fit 64 bits|Overflow"):
+        search.top_k(vectors, F.col("vec_id") == 2).collect()
+    got = {r.vec_id: r.score for r in search.top_k(fits, F.col("vec_id") == 0, scale=1).collect()}
+    assert got == {1: 6_000_000 + 5_000_000_000_000_000, 4: 0}

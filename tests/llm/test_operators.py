@@ -300,6 +300,50 @@ def test_urls(spark, sf_dir):
         assert r.verdict == best.verdict if best else r.verdict in ("allow", "block")
 
 
+def test_urls_are_judged_by_how_they_look(spark, sf_dir):
+    """Blocked URLs are long and full of digits, on hosts and endings of all kinds; no suffix tells."""
+    from tidelog.llm import url_filter
+
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 7)))
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+
+    def url(bad, host):
+        path = f"/{word()}/" + (digits(rng.randint(20, 40)) if bad else word()) + rng.choice([".html", "", ".php"])
+        return f"http://{word()}.{word()}.{host}{path}" + (f"?a={digits(9)}&b=1&c=2" if bad and rng.random() < 0.5 else "")
+
+    rows, truth = [], {}
+    for i in range(3_000):
+        told, bad = rng.random() < 0.6, rng.random() < 0.4
+        host = ("bad.test" if bad else "good.test") if told else "unknown.test"
+        rows.append((i, url(bad, host)))
+        if not told:
+            truth[i] = bad
+    rules = [url_filter.Rule("bad.test", "/", "block"), url_filter.Rule("good.test", "/", "allow")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {r.page_id: r for r in url_filter.judge_urls(pages, rules).collect()}
+    right = [(got[i].verdict == "block") == bad for i, bad in truth.items()]
+    assert np.mean(right) > 0.95 and all(got[i].rule is None for i in truth)
+
+
+def test_shares_tell_nothing_that_a_rule_tested(spark, sf_dir):
+    """The given pages: many scores, not the handful that copied rules would give."""
+    rows = queries.op10_url_filter(spark, "/root/testdata/sf0.01").collect()
+    assert len({r.score for r in rows if r.rule is None}) > 30
+
+
+def test_urls_that_repeat_or_are_long(spark):
+    from tidelog.llm import url_filter
+
+    long = "http://a.example.com/" + "x1" * 300_000
+    rows = [(1, long), (2, long), (2, None), (None, "http://b.net/es/q"), (3, "no host"), (4, "http://c.net/es/1"), (5, "http://c.org/z")]
+    got = url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), queries.RULES).collect()
+    assert len(got) == len(rows)
+    by = {(r.page_id, r.rule): r for r in got}
+    assert by[1, "com/"].verdict == by[2, "com/"].verdict == "allow" and by[4, "net/es/"].verdict == "block"
+    assert by[5, None].verdict in ("allow", "block") and by[2, None].host == "" == by[3, None].path
+
+
 def test_long_texts_are_hashed_in_segments(monkeypatch):
     import pyarrow as pa
 

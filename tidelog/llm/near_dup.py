@@ -27,7 +27,8 @@ a partner's union with the set cannot exceed ``k`` shingles, the overlap is exac
 A document is its ``doc_id``: rows that share one share a component. Rows without an id
 link with nothing and are kept. NULL texts, and texts without words, have an empty set,
 which links with nothing. Words lower-case A-Z; a text with fewer words than a shingle
-has its whole sequence as one.
+has its whole sequence as one. Texts of any length are read whole; an empty table gives no rows;
+columns beyond id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -313,3 +314,33 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, k: int
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def kept_documents(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all columns, of which one document of each group stays.
+
+    Here a document is its ``doc_id`` and its text: different texts under one id, and texts
+    without an id, are documents of their own. The one with the smallest id stays (NULL last,
+    then by a hash of the text); of rows with its id and text one stays, the least by a hash of
+    all columns.
+    """
+    counted = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    if counted.where("n > 1 or doc_id is null").isEmpty():
+        # ids tell documents apart, so texts need not be moved a second time
+        gone = near_duplicates(docs, shingle, percent).where("not kept").select("doc_id").distinct()
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    node = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_id").isNull(), F.col("text"))
+    ids = docs.select(node.alias("__node"), F.col("doc_id").alias("__id"))
+    found = near_duplicates(docs.select(node.alias("doc_id"), "text"), shingle, percent)
+    found = stored(found.select(F.col("doc_id").alias("__node"), "component_id").distinct(), "near")
+    order = F.struct(F.col("__id").isNull().alias("none"), "__id", "__node")
+    named = ids.groupBy("__node", "__id").agg(F.count("*").alias("__n"))
+    named = stored(named, "named")
+    best = named.join(found, "__node").groupBy("component_id").agg(F.min(order).alias("least"))
+    chosen = best.select(F.col("least.__node").alias("__node"))
+    left = docs.withColumn("__node", node).join(chosen, "__node", "left_semi")
+    several = named.where("__n > 1").select("__node")
+    once = left.join(several, "__node", "left_anti").select(*docs.columns)
+    again = left.join(several, "__node", "left_semi").withColumn("__row", F.struct(*docs.columns))
+    again = again.groupBy("__node").agg(F.min_by("__row", F.xxhash64(*docs.columns)).alias("__row"))
+    return once.unionByName(again.select("__row.*"))

@@ -32,8 +32,7 @@ RULES = [
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # its SQL knows runs of three lines only
-    cut = line_dedup.delete_repeated_lines(table(spark, sf_dir, "documents"), words=None)
+    cut = line_dedup.delete_repeated_lines(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "text", "n_deleted")
 
 
@@ -120,15 +119,22 @@ trimmed as (
     regexp_replace(parts[i], '^{BLANK}+|{BLANK}+$', '', 'g') as body
   from lines),
 numbered as (
-  select doc_id, i, body, row_number() over (partition by doc_id order by i) as p
+  select doc_id, i, body, row_number() over (partition by doc_id order by i) as p,
+    count(*) over (partition by doc_id) as total, len(regexp_extract_all(body, '[^\x20\x09-\x0D]+')) as k
   from trimmed where body <> ''),
 windows as (
-  select doc_id, p, body || chr(10) || lead(body, 1) over w || chr(10) || lead(body, 2) over w as run
+  select doc_id, p, 1 as size, total, k as words, body as run from numbered
+  union all
+  select doc_id, p, 2, total, k + lead(k) over w, body || chr(10) || lead(body) over w
+  from numbered window w as (partition by doc_id order by p)
+  union all
+  select doc_id, p, 3, total, 0, body || chr(10) || lead(body, 1) over w || chr(10) || lead(body, 2) over w
   from numbered window w as (partition by doc_id order by p)),
 ranked as (
-  select doc_id, p, row_number() over (partition by run order by doc_id, p) as r
-  from windows where run is not null),
-gone as (select distinct doc_id, p + d as p from ranked, (select unnest([0, 1, 2]) as d) where r > 1),
+  select doc_id, p, size, row_number() over (partition by run order by doc_id, p) as r
+  from windows where run is not null and (size = 3 or words >= 8 or size = total)),
+gone as (
+  select distinct doc_id, p + d as p from ranked, (select unnest([0, 1, 2]) as d) where r > 1 and d < size),
 marked as (
   select t.doc_id, t.i, t.line, case when n.p is not null then g.p is not null end as deleted
   from trimmed t left join numbered n using (doc_id, i)
