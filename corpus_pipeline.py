@@ -8,7 +8,8 @@ the last adds ``copies``, how often the mix repeats a row.
 * ``line_dedup``: runs of three lines or of eight words, and whole texts, that occurred
   before are deleted; a document that had words and keeps none goes. ``n_chars`` follows the text.
 * ``near_dup``: of documents with 80 % of their five-word shingles in common the one
-  with the smallest id stays, once.
+  with the smallest id stays, once. Texts that share an id, or have none, are documents of
+  their own.
 * ``decontamination``: documents that hold a benchmark item go.
 * ``mixing``: sources are mixed to their targets; documents that the mix leaves out go.
 
@@ -46,17 +47,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = stored(near_dup.near_duplicates(docs), "near")
-    gone = found.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    again = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
-    again = again.where("n > 1").select(F.col("doc_id").alias("__again"))
-    left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    if again.isEmpty():  # ids are unique, so the texts need not be moved a second time
-        return left
-    # an id that comes with several rows keeps one
-    once = left.join(again, F.col("doc_id") == F.col("__again"), "left_anti")
-    several = left.join(again, F.col("doc_id") == F.col("__again"), "left_semi").dropDuplicates(["doc_id"])
-    return once.union(several)
+    return near_dup.kept_documents(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
