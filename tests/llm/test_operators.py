@@ -146,20 +146,72 @@ def test_language_model(spark, sf_dir, docs, monkeypatch, head):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_word_probabilities_sum_to_one(spark, docs):
-    texts = spark.createDataFrame(docs[:60], "doc_id long, text string")
+def tables(texts):
+    """A model, and class and count of every training word by its hash; the head's hashes."""
     counts = class_lm.word_counts(texts)
-    model = class_lm.learn(texts, counts)
+    model, tail = class_lm.learn(texts, counts)
+    head = model.head.words.tolist()
+    known = {w: (c, n) for w, c, n in zip(head, model.own.tolist(), model.head.n.tolist())}
+    if tail is not None:
+        known.update({r.word % 2**64: (r["class"], r.n) for r in tail.collect()})
+    assert len(known) == counts.count()
+    return model, known, set(head)
+
+
+def word_hash(word: bytes) -> int:
+    data = np.frombuffer(word, np.uint8)
+    return int(W.span_hashes(data, np.array([0]), np.array([len(data)]))[0])
+
+
+@pytest.mark.parametrize("head", [class_lm.HEAD, 50, 0])
+def test_word_probabilities_sum_to_one(spark, docs, monkeypatch, head):
+    monkeypatch.setattr(class_lm, "HEAD", head)
+    model, known, _ = tables(spark.createDataFrame(docs[:60], "doc_id long, text string"))
     assert np.allclose((10**model.transition).sum(1), 1)
-    n_clustered = len(model.clustered)
-    for c in range(class_lm.CLASSES):
-        own = model.emission[model.symbol_class[:n_clustered] == c]
-        assert not len(own) or math.isclose((10**own).sum(), 1)
-    clustered = set(model.clustered.tolist())
-    for kind in range(class_lm.KINDS):
-        rare = [r.n for r in counts.where(F.col("kind") == kind).collect() if r.word % 2**64 not in clustered]
-        mass = (10 ** model.rare(np.array([*rare, 0]), np.full(len(rare) + 1, kind))).sum()
-        assert math.isclose(mass, 1)
+    share = defaultdict(float)
+    for c, n in known.values():
+        share[c] += n / model.size[c]
+    assert all(0 <= c < class_lm.CLASSES for c in share) and all(math.isclose(x, 1) for x in share.values())
+
+
+@pytest.mark.parametrize("head", [class_lm.HEAD, 300])
+def test_score_is_the_sum_over_tokens(spark, docs, monkeypatch, head):
+    """100 documents scored token by token with the model's tables."""
+    monkeypatch.setattr(class_lm, "HEAD", head)
+    some = docs[:100]
+    frame = spark.createDataFrame(some, "doc_id long, text string")
+    train = F.col("doc_id") % 3 != 0
+    model, known, heads = tables(frame.where(train))
+    got = {r.doc_id: r.score for r in class_lm.score_texts(frame, train).collect()}
+    for doc_id, text in some:
+        context, total = class_lm.END, 0.0
+        for word in brute.words(text):
+            h = word_hash(word)
+            c, n = known.get(h, (None, 0))
+            if c is None:
+                total += model.transition[context, class_lm.CLASSES + min(len(word), class_lm.KINDS)]
+            else:
+                total += model.transition[context, c] + math.log10(n / model.size[c])
+            context = c if h in heads else class_lm.TAIL
+        total += model.transition[context, class_lm.CLASSES]
+        assert math.isclose(got[doc_id], total, rel_tol=1e-9)
+
+
+def test_words_of_one_use_share_a_class(spark):
+    """Animals and colours: each follows its own words, and tail words join them."""
+    rng = random.Random(5)
+    animals, colours = [f"animal{i}" for i in range(20)], [f"colour{i}" for i in range(20)]
+    rows = []
+    for i in range(1_500):
+        words = []
+        for _ in range(8):
+            words += rng.choice([["the", rng.choice(animals), "runs"], ["painted", rng.choice(colours), "walls"]])
+        rows.append((i, " ".join(words)))
+    rows.append((9_999, "the animalrare runs painted colourrare walls"))
+    model, known, _ = tables(spark.createDataFrame(rows, "doc_id long, text string"))
+    of = lambda word: known[word_hash(word.encode())][0]
+    seen = {of(w) for w in animals}, {of(w) for w in colours}
+    assert not seen[0] & seen[1] and of("animalrare") not in seen[1] and of("colourrare") not in seen[0]
 
 
 def test_exchange_never_loses_likelihood():

@@ -1,24 +1,29 @@
 """Scoring texts with a class-based bigram model (Brown and others, 1992).
 
-``P(text)`` is the product, over its tokens, of ``P(class | class before)`` and
-``P(word | class)``. The tokens are the words, A-Z lower-cased, and one end.
+``P(text)`` is the product, over its tokens, of ``P(class | context)`` and
+``P(word | class)``. The tokens are the words, A-Z lower-cased, and one end. The context is
+the class of the token before; all words outside the ``HEAD`` most frequent are one context,
+as they are too rare to tell what follows them.
 
 * Word counts cover all training texts; tasks count their words before Spark sums them.
-* Classes. The ``CLUSTERED`` most frequent words are assigned to ``CLASSES`` classes by
-  exchange: each word in turn moves to the class that gains most likelihood of the class
-  bigrams, until a sweep moves none, ``SWEEPS`` times at most. Every other word has one
-  of ``KINDS`` classes by its length in bytes, known or not; the end is a class alone.
-  Bigram counts cover all training texts.
-* Transitions are smoothed towards class frequencies. A class of lengths keeps the mass
-  ``D / (T + D)`` (``T`` tokens, ``D`` types seen) for a word not seen in training.
-
-What reaches the driver is bounded: bigrams of clustered words, and the counts of the
-``HEAD`` most frequent words, which tasks look up locally. The other words of a text, the
-rare tail, are joined with the full counts. Frequent words are never shuffled, so no
-hot word exists in that join.
+* Every word of the training texts has one of ``CLASSES`` classes, by exchange. The likelihood of the class
+  bigrams is ``sum f(N(c,d)) - sum f(N(c,.)) - sum f(N(.,d))``, ``f(x) = x log x``. The
+  ``SEEDS`` most frequent words are exchanged one by one first. Then the head words are
+  exchanged in rounds: the words before and after each are kept as a table, a row a word; tasks
+  score every word in every class against the class matrix (to first order, without
+  the word's own share), and half of the words move at a time, until the likelihood settles.
+  The other words, the rare tail, then join the class that their neighbours make likeliest.
+* A word not seen in training has one of ``KINDS`` classes by its length in bytes. How likely
+  they are after a context is told by the words seen once.
+* Transitions are smoothed towards class frequencies.
+
+What reaches the driver is bounded: counts and classes of the head, and matrices of classes.
+Tasks look the head up locally; the tail of a text is joined with the tail's classes. Frequent
+words are never shuffled, so no hot word exists in that join.
 
 Words are told apart by 64-bit hashes. Rows with one id and text are scored as copies of
-one document. NULL text is empty: one end. Nothing to learn from leaves a uniform model.
+one document. NULL text is empty: one end. Texts of any length are read whole. Nothing to learn
+from, or an empty table, leaves a uniform model. Columns beyond id and text are not read.
 """
 
 from __future__ import annotations
@@ -34,40 +39,46 @@ from pyspark.sql import functions as F
 from tidelog.llm import words as W
 from tidelog.llm.common import stored
 
-CLUSTERED = 1_500
 CLASSES = 48
-SWEEPS = 6
+SEEDS, SWEEPS = 512, 6
+#: The exchange ends when a round gains less than this share of the likelihood.
+SETTLED = 1e-4
 KINDS = 16
 HEAD = 1 << 18
 _BUFFER = 1 << 21
 _PRIOR = 20.0
 
+# Contexts are the classes, then the tail, then the end; targets the classes, the end, the kinds.
+TAIL, END = CLASSES, CLASSES + 1
+CONTEXTS, TARGETS = CLASSES + 2, CLASSES + 1 + KINDS
+
+
+@dataclass
+class Head:
+    """The most frequent words: sorted hashes, counts, lengths; ``all`` if there are no others."""
+
+    words: np.ndarray
+    n: np.ndarray
+    kind: np.ndarray
+    all: bool
+
 
 @dataclass
 class Model:
-    """What tasks need to score: counts of the head, classes, and log10 probabilities."""
-
-    head: np.ndarray  # sorted hashes
-    head_n: np.ndarray
-    clustered: np.ndarray  # sorted hashes
-    symbol_class: np.ndarray  # class of a clustered word, a kind, or the end
-    emission: np.ndarray  # log10 P(word | class) of a clustered word
-    transition: np.ndarray
-    kind_tokens: np.ndarray
-    kind_types: np.ndarray
+    """What tasks need to score: the head with its classes, and log10 probabilities."""
+
+    head: Head
+    own: np.ndarray  # class of each head word
+    size: np.ndarray  # tokens of each class
+    transition: np.ndarray  # log10 P(target | context)
     tokens: int
     types: int
     ends: int
 
     @property
-    def end(self) -> int:
-        return len(self.clustered) + KINDS
-
-    def rare(self, n: np.ndarray, kind: np.ndarray) -> np.ndarray:
-        """log10 P(word | kind) of words seen ``n`` times in training."""
-        mass = self.kind_tokens[kind] + self.kind_types[kind]
-        share = np.where(n > 0, n, self.kind_types[kind]) / np.maximum(mass, 1)
-        return np.log10(np.where(mass > 0, share, 1.0))
+    def emission(self) -> np.ndarray:
+        """log10 P(word | class) of each head word."""
+        return np.log10(self.head.n / self.size[self.own])
 
     def base(self, n: np.ndarray) -> np.ndarray:
         return np.log10((n + 1) / (self.tokens + self.types + 1))
@@ -121,45 +132,87 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.min("kind").alias("kind"), F.sum("n").alias("n"))
 
 
-def _head(counts: DataFrame, size: int) -> pa.Table:
+def _head(counts: DataFrame, size: int) -> Head:
     """The most frequent words, ``size`` at most, found by a histogram of counts."""
     step = F.floor(F.log2("n") * 16).cast("int")
     steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect()
     low, total = 1 << 30, 0
     for row in sorted(steps, key=lambda r: -r["step"]):
-        total += row["words"]
-        if total > size:
+        if total + row["words"] > size:
             break
+        total += row["words"]
         low = row["step"]
-    return counts.where(step >= low).toArrow()
+    found = counts.where(step >= low).toArrow()
+    words = found["word"].to_numpy().view(W.U64)
+    order = np.argsort(words)
+    n, kind = found["n"].to_numpy()[order], found["kind"].to_numpy()[order]
+    return Head(words[order], n, kind, total == sum(r["words"] for r in steps))
 
 
-def _bigrams(texts: DataFrame, clustered: np.ndarray) -> np.ndarray:
-    """A matrix of how often one symbol follows another, over all texts."""
-    n = len(clustered) + KINDS + 1
-    shared = texts.sparkSession.sparkContext.broadcast(clustered)
+def _contexts(texts: DataFrame, head: Head) -> DataFrame:
+    """``word, near, n``: for each head word the tokens before and after it, and how often.
+
+    Words are positions in the head; ``near`` is twice such a position (or that of the tail
+    or the end, past the last) and 1 for a token before. A row holds at most two entries a word.
+    """
+    size = len(head.words)
+    shared = texts.sparkSession.sparkContext.broadcast(head.words)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n * n, dtype=np.int64)
+        waiting: list[np.ndarray] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if waiting:
+                codes, n = np.unique(np.concatenate(waiting), return_counts=True)
+                word, near = np.divmod(codes, 2 * (size + 2))
+                columns = [word.astype(np.int32), near.astype(np.int32), n]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["word", "near", "n"])
+                waiting.clear()
+
         for batch in batches:
             for part in W.slices(batch.column("text")):
-                words, hashes, kinds = _tokens(part)
+                words, hashes, _ = _tokens(part)
                 at = _find(shared.value, hashes)
-                symbols = np.where(at >= 0, at, n - 1 - KINDS + kinds)
-                line = _sequence(words, symbols, n - 1)
-                codes = line[:-1] * n + line[1:]
-                if len(codes) * 8 > len(total):
-                    total += np.bincount(codes, minlength=n * n)
-                else:
-                    np.add.at(total, codes, 1)
+                line = _sequence(words, np.where(at >= 0, at, size), size + 1)
+                before, after = line[:-1], line[1:]
+                for word, near, side in ((before, after, 0), (after, before, 1)):
+                    mine = word < size
+                    waiting.append((word[mine] * (size + 2) + near[mine]) * 2 + side)
+                if sum(map(len, waiting)) > _BUFFER:
+                    yield from flush()
+        yield from flush()
+
+    counted = texts.select("text").mapInArrow(count, "word int, near int, n long")
+    summed = counted.groupBy("word", "near").agg(F.sum("n").alias("n"))
+    lists = summed.groupBy("word").agg(F.collect_list(F.struct("near", "n")).alias("of"))
+    return stored(lists.select("word", F.col("of.near").alias("near"), F.col("of.n").alias("n")), "contexts")
+
+
+def _entries(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Row, word, neighbour, side and count of every entry of a batch of contexts."""
+    near = batch.column("near")
+    row = np.repeat(np.arange(batch.num_rows), near.value_lengths().to_numpy(zero_copy_only=False))
+    code = near.flatten().to_numpy()
+    n = batch.column("n").flatten().to_numpy().astype(float)
+    return row, batch.column("word").to_numpy()[row], code >> 1, code & 1, n
+
+
+def _summed(contexts: DataFrame, shape: tuple[int, int], cells) -> np.ndarray:
+    """A matrix summed over all entries; ``cells`` gives rows, columns and values of a batch."""
+    size = shape[0] * shape[1]
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            row, column, value = cells(*_entries(batch))
+            total += np.bincount(row * shape[1] + column, value, size)
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["pair", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["cell", "n"])
 
-    summed = texts.select("text").mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    found = summed.toArrow()
-    out = np.zeros(n * n)
-    out[found["pair"].to_numpy()] = found["n"].to_numpy()
-    return out.reshape(n, n)
+    found = contexts.mapInArrow(count, "cell long, n double").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size)
+    out[found["cell"].to_numpy()] = found["n"].to_numpy()
+    return out.reshape(shape)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -214,50 +267,201 @@ def exchange(bigrams: np.ndarray, movable: int, classes: int = CLASSES, sweeps:
     return own
 
 
-def learn(texts: DataFrame, counts: DataFrame) -> Model:
-    """A model of ``texts``, whose ``word_counts`` are ``counts``."""
+def _symbols(own: np.ndarray) -> np.ndarray:
+    """The context of every head position, and of the tail and the end past the last."""
+    return np.append(own, [TAIL, END])
+
+
+def _matrix(contexts: DataFrame, own: np.ndarray) -> np.ndarray:
+    """How often one context follows another, where one of both is a head word."""
+    symbol, size = _symbols(own), len(own)
+
+    def cells(row, word, near, side, n):
+        # a pair of head words is met from both sides, and counts once
+        use = (side == 0) | (near >= size)
+        first, second = np.where(side == 0, word, near)[use], np.where(side == 0, near, word)[use]
+        return symbol[first], symbol[second], n[use]
+
+    return _summed(contexts, (CONTEXTS, CONTEXTS), cells)
+
+
+def _likelihood(pairs: np.ndarray) -> float:
+    return float(_xlogx(pairs).sum() - _xlogx(pairs.sum(0)).sum() - _xlogx(pairs.sum(1)).sum())
+
+
+def _best(left: np.ndarray, right: np.ndarray, pairs: np.ndarray, own: np.ndarray | None) -> np.ndarray:
+    """The class that gains most likelihood for each word, by the contexts before and after it.
+
+    A word counts in its own class without itself.
+    """
+    eps = 0.5
+    logs, n = np.log(pairs + eps), left.sum(1)
+    follows, leads = np.log(pairs.sum(0) + eps), np.log(pairs.sum(1) + eps)
+    score = left @ logs[:, :CLASSES] + right @ logs[:CLASSES].T
+    score -= n[:, None] * (follows[:CLASSES] + leads[:CLASSES])
+    if own is not None and len(own):
+        placed = np.flatnonzero(own < CLASSES)
+        a, l, r, m = own[placed], left[placed], right[placed], n[placed]
+        alone = (l * np.log(np.maximum(pairs[:, a].T - l, 0) + eps)).sum(1)
+        alone += (r * np.log(np.maximum(pairs[a] - r, 0) + eps)).sum(1)
+        for sums in (pairs.sum(0)[a], pairs.sum(1)[a]):
+            alone -= m * np.log(np.maximum(sums - m, 0) + eps)
+        score[placed, a] = alone
+    return score.argmax(1)
+
+
+def _proposals(contexts: DataFrame, own: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Head words that had better be in another class, and which."""
+    shared = contexts.sparkSession.sparkContext.broadcast((own, pairs))
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, pairs = shared.value
+        symbol = _symbols(own)
+        for batch in batches:
+            row, _, near, side, n = _entries(batch)
+            shape = (2, batch.num_rows, CONTEXTS)
+            cell = (side * batch.num_rows + row) * CONTEXTS + symbol[near]
+            right, left = np.bincount(cell, n, 2 * batch.num_rows * CONTEXTS).reshape(shape)
+            word = batch.column("word").to_numpy()
+            best = _best(left, right, pairs, own[word])
+            moves = best != own[word]
+            columns = [pa.array(word[moves]), pa.array(best[moves].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "class"])
+
+    found = contexts.select("word", "near", "n").mapInArrow(score, "word int, class int").toArrow()
+    return found["word"].to_numpy(), found["class"].to_numpy()
+
+
+def _seeded(contexts: DataFrame, head: Head) -> np.ndarray:
+    """Classes of the most frequent words by exchange; the others are still in the tail."""
+    often = np.lexsort((head.words, -head.n))[:SEEDS]
+    place = np.full(len(head.words) + 2, len(often))
+    place[often], place[-1] = np.arange(len(often)), len(often) + 1
+
+    def cells(row, word, near, side, n):
+        use = (place[word] < len(often)) & ((side == 0) | (place[near] >= len(often)))
+        first, second = np.where(side == 0, word, near)[use], np.where(side == 0, near, word)[use]
+        return place[first], place[second], n[use]
+
+    own = np.full(len(head.words), TAIL)
+    if len(often):
+        bigrams = _summed(contexts, (len(often) + 2, len(often) + 2), cells)
+        own[often] = exchange(bigrams, len(often))[: len(often)]
+    return own
+
+
+def head_classes(contexts: DataFrame, head: Head) -> np.ndarray:
+    """The class of every head word, by exchange in rounds until the likelihood settles."""
+    own = _seeded(contexts, head)
+    pairs = _matrix(contexts, own)
+    best, before, turn = own, -np.inf, 0
+    while True:
+        word, to = _proposals(contexts, own, pairs)
+        new = own[word] == TAIL
+        # half of the words at a time, so that two that suit each other do not swap for ever
+        mine = new | (W.mix(word.astype(W.U64)) % W.U64(2) == W.U64(turn % 2))
+        own = own.copy()
+        own[word[mine]] = to[mine]
+        pairs = _matrix(contexts, own)
+        now, turn = _likelihood(pairs), turn + 1
+        if now > before:
+            best = own
+        if not len(word) or (turn > 1 and now - before < SETTLED * abs(now)):
+            return best
+        before = now
+
+
+def _tail(texts: DataFrame, head: Head, own: np.ndarray, pairs: np.ndarray) -> DataFrame:
+    """``word, kind, n, class`` of the words outside the head, and ``around, times``: the
+    contexts before and after them, as ``before * CONTEXTS + after``."""
+    shared = texts.sparkSession.sparkContext.broadcast((head.words, own, pairs))
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, own, _ = shared.value
+        symbol = _symbols(own)
+        for batch in batches:
+            for part in W.slices(batch.column("text")):
+                words, hashes, kinds = _tokens(part)
+                at = _find(known, hashes)
+                line = symbol[_sequence(words, np.where(at >= 0, at, len(own)), len(own) + 1)]
+                here = np.arange(len(at)) + words.rows() + 1
+                rare = at < 0
+                around = line[here[rare] - 1] * CONTEXTS + line[here[rare] + 1]
+                columns = [hashes[rare].view(np.int64), kinds[rare].astype(np.int32), around.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["word", "kind", "around"])
+
+    met = texts.select("text").mapInArrow(count, "word long, kind int, around int")
+    met = met.groupBy("word", "around").agg(F.min("kind").alias("kind"), F.count("*").alias("times"))
+    lists = met.groupBy("word").agg(
+        F.min("kind").alias("kind"), F.sum("times").alias("n"), F.collect_list(F.struct("around", "times")).alias("of")
+    )
+    lists = lists.select("word", "kind", "n", F.col("of.around").alias("around"), F.col("of.times").alias("times"))
+
+    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = shared.value[2]
+        for batch in batches:
+            around, size = batch.column("around"), batch.num_rows
+            row = np.repeat(np.arange(size), around.value_lengths().to_numpy(zero_copy_only=False))
+            code, n = around.flatten().to_numpy(), batch.column("times").flatten().to_numpy()
+            left, right = (
+                np.bincount(row * CONTEXTS + side, n, size * CONTEXTS).reshape(size, CONTEXTS)
+                for side in np.divmod(code, CONTEXTS)
+            )
+            best = pa.array(_best(left, right, pairs, None).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns, best], names=[*batch.schema.names, "class"])
+
+    return stored(
+        lists.mapInArrow(place, "word long, kind int, n long, around array<int>, times array<long>, class int"), "tail"
+    )
+
+
+def learn(texts: DataFrame, counts: DataFrame) -> tuple[Model, DataFrame | None]:
+    """A model of ``texts``, whose ``word_counts`` are ``counts``, and its tail (None: no words)."""
     head = _head(counts, HEAD)
-    hashes, n = head["word"].to_numpy().view(W.U64), head["n"].to_numpy()
-    kinds = head["kind"].to_numpy()
-    often = np.lexsort((hashes, -n))[:CLUSTERED]
-    by_rank = hashes[often]
-    order = np.argsort(by_rank)
-    clustered, clustered_n, clustered_kind = by_rank[order], n[often][order], kinds[often][order]
-
-    summed = counts.groupBy("kind").agg(F.sum("n").alias("tokens"), F.count("*").alias("types")).collect()
-    kind_tokens, kind_types = np.zeros(KINDS), np.zeros(KINDS)
-    for row in summed:
-        kind_tokens[row["kind"]], kind_types[row["kind"]] = row["tokens"], row["types"]
-    words, types = int(kind_tokens.sum()), int(kind_types.sum())
-    np.subtract.at(kind_tokens, clustered_kind, clustered_n)
-    np.subtract.at(kind_types, clustered_kind, 1)
-
-    bigrams = _bigrams(texts, clustered)
-    # the exchange starts from the order of frequency
-    place = np.concatenate([order, np.arange(len(order), len(bigrams))])
-    ranked = np.empty_like(bigrams)
-    ranked[np.ix_(place, place)] = bigrams
-    own = exchange(ranked, len(order))[place]
-
-    total = CLASSES + KINDS + 1
-    member = np.zeros((len(bigrams), total))
-    member[np.arange(len(bigrams)), own] = 1
-    pairs = member.T @ bigrams @ member
-    ends = int(bigrams[:, -1].sum())
-    share = (pairs.sum(0) + 1) / (pairs.sum() + total)
-    transition = (pairs + _PRIOR * share) / (pairs.sum(1, keepdims=True) + _PRIOR)
-    sizes = member[: len(clustered)].T @ clustered_n
-    emission = np.log10(clustered_n / sizes[own[: len(clustered)]])
-    by_hash = np.argsort(hashes)
-    return Model(
-        hashes[by_hash], n[by_hash], clustered, own, emission, np.log10(transition),
-        kind_tokens, kind_types, words + ends, types + (ends > 0), ends,
-    )
+    contexts = _contexts(texts, head)
+    own = head_classes(contexts, head)
+    pairs = _matrix(contexts, own)
+    words, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    ends = texts.count()
+
+    # targets after contexts: head words, words seen once by length, and ends
+    symbol, single = _symbols(own), head.n == 1
+
+    def targets(row, word, near, side, n):
+        seen = side == 1
+        once = seen & single[word]
+        stop = (side == 0) & (near == len(own) + 1)
+        context = np.concatenate([symbol[near[seen]], symbol[near[once]], symbol[word[stop]]])
+        target = np.concatenate([own[word[seen]], CLASSES + 1 + head.kind[word[once]], np.full(stop.sum(), CLASSES)])
+        return context, target, np.concatenate([n[seen], n[once], n[stop]])
+
+    after = _summed(contexts, (CONTEXTS, TARGETS), targets)
+    size = np.bincount(own[own < CLASSES], head.n[own < CLASSES], CLASSES)
+    tail = None if head.all else _tail(texts, head, own, pairs)
+    if tail is not None:
+        each = tail.select("kind", "n", "class", F.explode(F.arrays_zip("around", "times")).alias("a"))
+        before, behind = F.expr(f"a.around div {CONTEXTS}"), F.col("a.around") % CONTEXTS
+        each = each.select(
+            "class", before.cast("int").alias("before"), (behind == END).alias("stops"),
+            F.when(F.col("n") == 1, F.col("kind")).alias("once"), F.col("a.times").alias("times"),
+        )
+        for r in each.groupBy("class", "before", "stops", "once").agg(F.sum("times").alias("times")).collect():
+            after[r["before"], r["class"]] += r["times"]
+            size[r["class"]] += r["times"]
+            if r["stops"]:
+                after[TAIL, CLASSES] += r["times"]
+            if r["once"] is not None:
+                after[r["before"], CLASSES + 1 + r["once"]] += r["times"]
+    after[END, CLASSES] = ends - after[:, CLASSES].sum()  # texts without words
+    share = (after.sum(0) + 1) / (after.sum() + TARGETS)
+    transition = (after + _PRIOR * share) / (after.sum(1, keepdims=True) + _PRIOR)
+    model = Model(head, own, np.maximum(size, 1), np.log10(transition), words + ends, types + (ends > 0), ends)
+    return model, tail
 
 
 _SCORED = (
     "doc_id long, version long, n_tokens long, n_known long, base double, score double, "
-    "tail array<struct<word: long, kind: int, n: long>>"
+    "tail array<struct<word: long, kind: int, context: int, n: long>>"
 )
 
 
@@ -267,46 +471,50 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
+        emission = own.emission
         for batch in batches:
             for part in W.slices(batch.column("text")):
-                yield _score(own, batch, part)
+                yield _score(own, emission, batch, part)
 
     return docs.select("doc_id", "version", "text").mapInArrow(score, _SCORED)
 
 
-def _score(own: Model, batch: pa.RecordBatch, part: W.Slice) -> pa.RecordBatch:
+def _score(own: Model, emission: np.ndarray, batch: pa.RecordBatch, part: W.Slice) -> pa.RecordBatch:
     words, hashes, kinds = _tokens(part)
-    rows, docs = words.rows(), part.high - part.low
-    top, at = _find(own.clustered, hashes), _find(own.head, hashes)
-    classes = own.symbol_class[_sequence(words, np.where(top >= 0, top, own.end - KINDS + kinds), own.end)]
-    steps = own.transition[classes[:-1], classes[1:]]
-    total = np.add.reduceat(steps, words.first[:-1] + np.arange(docs))
-
+    rows, docs, size = words.rows(), part.high - part.low, len(own.head.words)
+    at = _find(own.head.words, hashes)
     seen = at >= 0
-    n = np.where(seen, own.head_n[np.maximum(at, 0)] if len(own.head) else 0, 0)
-    emitted = np.where(seen, own.rare(n, kinds), 0.0)
-    if len(own.clustered):
-        emitted = np.where(top >= 0, own.emission[np.maximum(top, 0)], emitted)
-    total += np.bincount(rows, emitted, docs)
-    base = np.bincount(rows, np.where(seen, own.base(n), 0.0), docs) + own.base(np.array(own.ends))
-    known = np.bincount(rows[seen], minlength=docs) + (own.ends > 0)
-
-    # the tail: each row's words that the head lacks, once, with their number
-    order = np.lexsort((hashes[~seen], rows[~seen]))
-    row, word, kind = (x[~seen][order] for x in (rows, hashes, kinds))
+    line = _sequence(words, np.where(seen, at, size), size + 1)
+    context = _symbols(own.own)[line]
+    here = np.arange(len(at)) + words.rows() + 1
+    before = context[here - 1]
+    ends = words.first[1:] + np.arange(docs) + 1  # where each row's end lies in the line
+    total = own.transition[context[ends - 1], CLASSES]
+    known = at[seen]
+    step = own.transition[before[seen], own.own[known]] + emission[known] if len(known) else np.zeros(0)
+    total = total + np.bincount(rows[seen], step, docs)
+    base = own.base(own.head.n[known]) if len(known) else np.zeros(0)
+    base = np.bincount(rows[seen], base, docs) + own.base(np.array(own.ends))
+    n_known = np.bincount(rows[seen], minlength=docs) + (own.ends > 0)
+
+    # the tail: each row's words that the head lacks, by context, once, with their number
+    rare = ~seen
+    order = np.lexsort((before[rare], hashes[rare], rows[rare]))
+    row, word, kind, after = (x[rare][order] for x in (rows, hashes, kinds, before))
     new = np.ones(len(row), dtype=bool)
-    new[1:] = (row[1:] != row[:-1]) | (word[1:] != word[:-1])
+    new[1:] = (row[1:] != row[:-1]) | (word[1:] != word[:-1]) | (after[1:] != after[:-1])
     begins = np.flatnonzero(new)
     tail = pa.StructArray.from_arrays(
         [
             pa.array(word[begins].view(np.int64)),
             pa.array(kind[begins].astype(np.int32)),
+            pa.array(after[begins].astype(np.int32)),
             pa.array(np.diff(np.append(begins, len(row)))),
         ],
-        names=["word", "kind", "n"],
+        names=["word", "kind", "context", "n"],
     )
     bounds = np.searchsorted(row[begins], np.arange(docs + 1)).astype(np.int32)
-    arrays = [words.counts + 1, known.astype(np.int64), base, total]
+    arrays = [words.counts + 1, n_known.astype(np.int64), base, total]
     return pa.RecordBatch.from_arrays(
         [
             *(batch.column(c).slice(part.low, docs) for c in ("doc_id", "version")),
@@ -323,28 +531,35 @@ def score_texts(docs: DataFrame, learn_from: Column) -> DataFrame:
     Training reads the rows where ``learn_from``, a condition on ``doc_id``, holds.
     ``base_score`` is that of an add-one unigram model.
     """
+    spark = docs.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     training = docs.where(learn_from)
     counts = stored(word_counts(training), "counts")
-    model = learn(training, counts)
+    model, known = learn(training, counts)
 
     scored = stored(_scored(docs.withColumn("version", F.xxhash64("text")), model), "scored")
     tail = scored.select("doc_id", "version", F.explode("tail").alias("t")).select("doc_id", "version", "t.*")
-    seen = tail.join(counts.select("word", F.col("n").alias("c")), "word", "left").fillna(0, ["c"])
-    kinds = F.array(*(F.lit(float(x)) for x in model.kind_types))
-    sizes = F.array(*(F.lit(float(x)) for x in model.kind_types + model.kind_tokens))
-    mass = F.get(sizes, F.col("kind"))
-    share = F.when(F.col("c") > 0, F.col("c")).otherwise(F.get(kinds, F.col("kind"))) / mass
-    rare = F.when(mass > 0, F.log10(share)).otherwise(0.0)
+    if known is None:
+        seen = tail.withColumns({"c": F.lit(None).cast("long"), "class": F.lit(None).cast("int")})
+    else:
+        seen = tail.join(known.select("word", F.col("n").alias("c"), "class"), "word", "left")
+    target = F.coalesce("class", F.col("kind") + CLASSES + 1)
+    steps = [(i, j, float(model.transition[i, j])) for i in range(CONTEXTS) for j in range(TARGETS)]
+    steps = spark.createDataFrame(steps, "context int, target int, step double")
+    sizes = spark.createDataFrame([(i, float(np.log10(x))) for i, x in enumerate(model.size)], "class int, size double")
+    seen = seen.withColumn("target", target).join(F.broadcast(steps), ["context", "target"])
+    seen = seen.join(F.broadcast(sizes), "class", "left")
+    emitted = F.when(F.col("c").isNotNull(), F.log10("c") - F.col("size")).otherwise(0.0)
+    c = F.coalesce("c", F.lit(0))
     own = seen.select(
         "doc_id",
         "version",
         F.lit(0).cast("long").alias("copies"),
         F.lit(0).cast("long").alias("n_tokens"),
-        F.when(F.col("c") > 0, F.col("n")).otherwise(0).cast("long").alias("n_known"),
-        (F.col("n") * F.log10((F.col("c") + 1) / F.lit(float(model.tokens + model.types + 1)))).alias("base"),
-        (F.col("n") * rare).alias("score"),
+        F.when(c > 0, F.col("n")).otherwise(0).cast("long").alias("n_known"),
+        (F.col("n") * F.log10((c + 1) / F.lit(float(model.tokens + model.types + 1)))).alias("base"),
+        (F.col("n") * (F.col("step") + emitted)).alias("score"),
     )
     head = scored.select("doc_id", "version", F.lit(1).cast("long").alias("copies"), "n_tokens", "n_known", "base", "score")
     sums = head.union(own).groupBy("doc_id", "version").agg(
