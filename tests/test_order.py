@@ -202,6 +202,18 @@ def test_feed_from_the_start_is_passed_over(spark, folder):
     assert as_table(store.read()) == fold_changes(BASE, [c[1:4] for c in changes]) != want
 
 
+def test_a_silent_lane_is_not_waited_for(spark, folder):
+    store = plain(spark, folder)
+    lane = lambda seq, key, number: (seq, "c", None, row(key, f"s{seq}"), number)
+    send(spark, folder, store, [lane(1, 101, 0), lane(2, 102, 1)], idle_after=1)
+    send(spark, folder, store, [lane(5, 105, 1)], idle_after=1)
+    assert store.manifest().applied == 1 and 105 not in as_table(store.read())
+    send(spark, folder, store, [lane(6, 106, 1)], idle_after=1)
+    assert store.manifest().applied == 6 and {105, 106} <= set(as_table(store.read()))
+    with pytest.raises(Exception, match="out of order"):
+        send(spark, folder, store, [lane(3, 103, 0)], idle_after=1)
+
+
 def test_what_waits_is_bounded(spark, folder):
     changes, lanes = laned(7, n=60, lanes=2)
     store = plain(spark, folder)
@@ -302,7 +314,7 @@ def test_plan_is_near_equal_in_rows(spark):
 
 def test_only_buckets_that_may_hold_a_key_are_read(spark, folder, monkeypatch):
     rows = {k: row(k, "base") for k in range(0, 4_000, 2)}
-    store = KeyedStore(spark, f"{folder}/store", schemas.DEMO, KEYS, 64, min_merge_rows=0, key_filters=True)
+    store = KeyedStore(spark, f"{folder}/store", schemas.DEMO, KEYS, 64, merge_share=0, min_merge_rows=0, key_filters=True)
     store.create(base(spark, rows))
     assert len(store.manifest().buckets) == 64
     ids = lambda keys: spark.createDataFrame([(k,) for k in keys], "id int")

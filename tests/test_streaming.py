@@ -248,6 +248,36 @@ def test_partition_commit_on_a_new_checkpoint(spark, folder):
     assert send("a", (11, 5, 0)) == [1, 2, 3, 4, 9, 10]
 
 
+def test_staging_shrinks_and_late_rows_survive_a_crash(spark, folder, monkeypatch):
+    """Only open partitions stay staged; a late partition is replaced once, though its batch runs twice."""
+    schema = T.StructType.fromDDL("id bigint, ts_date string, ts_hour string, ts_minute string")
+    tables.create_table(spark, "swept", schema, f"{folder}/table", PARTS)
+    committer = PartitionCommitter(spark, "swept", f"{folder}/table", f"{folder}/state")
+    ids = lambda: sorted(r.id for r in spark.table("swept").select("id").collect())
+    for n in range(5):
+        committer.process(timed(spark, [(2 * n, n, 0), (2 * n + 1, n, 30)]), "event_time", n)
+    # hour 4 is published too, but for its own batch nothing is open
+    assert ids() == list(range(10))
+    assert len(storage.list_names(spark, f"{folder}/state/stage")) <= 1
+    assert len(storage.list_names(spark, f"{folder}/state/ledger")) == 1
+    touch = storage.touch
+
+    def crash(spark_, path):
+        if "/done/" in path:
+            raise OSError("died before its marker")
+        touch(spark_, path)
+
+    late = timed(spark, [(100, 1, 5), (101, 6, 0)])
+    monkeypatch.setattr(storage, "touch", crash)
+    with pytest.raises(OSError, match="died"):
+        committer.process(late, "event_time", 5)
+    monkeypatch.undo()
+    committer.process(late, "event_time", 5)
+    assert ids() == [*range(10), 100]
+    assert storage.list_names(spark, f"{folder}/state/copies") == []
+    assert len(storage.list_names(spark, f"{folder}/state/stage")) == 1
+
+
 def test_partition_commit_of_several_feeds(spark, folder):
     """Event time is the slowest feed's; a feed that falls silent blocks no longer than it may."""
     schema = T.StructType.fromDDL("id bigint, ts_date string, ts_hour string, ts_minute string")

@@ -209,7 +209,9 @@ select bucket, cast(ceil(sum(octet_length(encode(line)) + 1) / 1000.0) as bigint
 from lines group by bucket""",
     "parquet_sink": _BASE_WIDE,
     "partitioned_insert": _PARTED,
-    "append_only_guard": f"with {_LOG} select seq, id, actor, alias from log where row_kind = '+I'",
+    "append_only_guard": f"""with {_LOG}
+select cdc.op, count(*) as rows, bool_or(row_kind <> '+I') as refused
+from log join cdc using (seq) group by cdc.op""",
     "partition_commit": _published("max(ts)"),
     "partition_commit_feeds": f"""{_PARTED}, (
   select min(event_id) + 2 * ((max(event_id) - min(event_id)) // 3 + 1) as third from events) cut

@@ -59,9 +59,11 @@ class Manifest:
     feeds: dict[str, int] = field(default_factory=dict)
     #: How the table is laid out; a store opened with another layout is refused.
     layout: dict[str, int | list[str]] = field(default_factory=dict)
-    #: Order of a feed (``streaming.frontier``): the highest ``seq`` seen of every lane, up to
-    #: where changes are applied, and the version that holds those which wait.
+    #: Order of a feed (``streaming.frontier``): the highest ``seq`` seen of every lane and the
+    #: batch that last had some, up to where changes are applied, and the version that holds
+    #: those which wait.
     lanes: dict[str, int] = field(default_factory=dict)
+    lane_seen: dict[str, int] = field(default_factory=dict)
     applied: int | None = None
     held: int | None = None
     #: A snapshot under way (``streaming.snapshot``).

@@ -38,6 +38,7 @@ def start_apply_changes(
     expected_lanes: int | None = None,
     late: str = "fail",
     max_held: int = frontier.MAX_HELD,
+    idle_after: int | None = None,
     snapshot: Snapshot | None = None,
     chunks_per_batch: int = 1,
     **options,
@@ -45,7 +46,7 @@ def start_apply_changes(
     """Apply a stream of changes (``seq, op, before, after``, and ``lanes``) in order of ``seq``.
 
     Without ``lanes`` the feed is one lane. Changes wait until every lane has come ``slack``
-    past them; ``finish_changes`` applies those that wait when the feed has ended. A change
+    past them, but for lanes silent for ``idle_after`` batches; ``finish_changes`` applies those that wait when the feed has ended. A change
     that comes too late fails its batch, see ``frontier``. With ``snapshot``, chunks of the
     source are read between the batches. ``trigger=None`` takes what is available and stops.
     """
@@ -59,7 +60,7 @@ def start_apply_changes(
         # Kept on disk, so the source is not fetched and decoded for every use.
         batch = batch.persist(StorageLevel.DISK_ONLY)
         try:
-            ready, state = frontier.advance(batch, store, lanes, slack, expected_lanes, late, max_held)
+            ready, state = frontier.advance(batch, store, lanes, slack, expected_lanes, late, max_held, idle_after)
             within = snapshot.covered() if snapshot else None
             reduced = ops.reduce_changes(ready, store.keys, within=within, **options)
             part = snapshot.chunk(chunks_per_batch) if snapshot else None

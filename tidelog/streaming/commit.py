@@ -7,8 +7,9 @@ and the ledger says so. Every step overwrites its own output and the batch's mar
 comes last, so a batch that failed half-way can run again, and one that is done is left
 alone. Batches are numbered by the committer, in the order they come, whichever feed they
 are of: a job on a new checkpoint adds to what earlier ones staged and published. Rows
-arriving after their partition was published publish it again, whole, and the ledger
-marks it late.
+arriving after their partition was published publish it again, whole, from a copy of what was
+published, and the ledger marks it late. So what is staged for a partition is needed until
+it is published, and folders that no open partition needs are deleted.
 
 Several feeds may fill one table. Event time is then that of the feed furthest behind, so
 nothing is published before every feed has passed it; a feed that has been silent for a
@@ -20,6 +21,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -126,7 +128,9 @@ class PartitionCommitter:
         parts = list(PARTS)
         joined = self.ledger(before=batch).join(arrived, parts, "full_outer")
         came = F.col("arrived_top").isNotNull()
-        known = F.coalesce("batches", F.array().cast("array<bigint>"))
+        # what was published is in the table, and no longer looked for in the stage
+        known = F.when(F.col("published_in").isNull(), F.col("batches"))
+        known = F.coalesce(known, F.array().cast("array<bigint>"))
         merged = joined.select(
             *parts,
             F.when(came, F.concat(known, F.array(F.lit(batch).cast("bigint"))))
@@ -180,18 +184,55 @@ class PartitionCommitter:
             F.max(event_time).alias("arrived_top")
         )
         ready = self._extend_ledger(arrived, batch, feed).where(F.col("published_in") == batch)
-        sources = ready.select(F.explode("batches").alias("n")).distinct().collect()
+        columns = self._columns()
+        new, late = ready.where("not late"), ready.where("late").select(*parts)
+        sources = [r["n"] for r in new.select(F.explode("batches").alias("n")).distinct().collect()]
+        pieces = []
         if sources:
-            pieces = self._staged([row["n"] for row in sources], schema)
-            self._publish(pieces.join(ready.select(*parts), parts, "left_semi"))
+            pieces.append(self._staged(sources, schema).join(new.select(*parts), parts, "left_semi"))
+        if not late.isEmpty():
+            # what was published has everything but this batch
+            pieces.append(self._copied(late, batch))
+            pieces.append(self._staged([batch], schema).join(late, parts, "left_semi"))
+        if pieces:
+            self._publish(reduce(DataFrame.unionByName, [p.select(*columns) for p in pieces]))
             # Names of the partitions this batch completed: catalog metadata, not rows.
             self._announce([tuple(row) for row in ready.select(*parts).toLocalIterator()])
         storage.touch(self.spark, f"{self.path}/done/{batch}.{name}")
+        self._sweep(batch)
+
+    def _columns(self) -> list[str]:
+        return self.spark.table(self.table).columns
+
+    def _copied(self, late: DataFrame, batch: int) -> DataFrame:
+        """What the table holds of late partitions, copied before they are replaced.
+
+        An attempt that failed after its copy was whole may have replaced them; then the copy counts.
+        """
+        folder = f"{self.path}/copies/batch={batch}"
+        table = self.spark.table(self.table)
+        if not storage.exists(self.spark, f"{folder}/_SUCCESS"):
+            table.join(F.broadcast(late), list(PARTS), "left_semi").select(*table.columns).write.mode(
+                "overwrite"
+            ).parquet(folder)
+        return self.spark.read.schema(table.schema).parquet(folder)
+
+    def _sweep(self, batch: int) -> None:
+        """Delete what no open partition, and no batch that may run again, needs."""
+        open_ = self.ledger().where(F.col("published_in").isNull())
+        needed = {r["n"] for r in open_.select(F.explode("batches").alias("n")).distinct().collect()}
+        for kind, kept in (("stage", needed), ("copies", set()), ("ledger", {batch})):
+            for name in storage.list_names(self.spark, f"{self.path}/{kind}"):
+                number = int(name.split("=")[1])
+                if number <= batch and number not in kept:
+                    storage.delete_folder(self.spark, f"{self.path}/{kind}/{name}")
+        for name in storage.list_names(self.spark, f"{self.path}/clocks"):
+            if name.endswith(".json") and int(name[:-5]) < batch:
+                storage.delete_folder(self.spark, f"{self.path}/clocks/{name}")
 
     def _publish(self, rows: DataFrame) -> None:
         """Replace the partitions ``rows`` belong to, and no others."""
-        columns = self.spark.table(self.table).columns
-        writer = tables.together(rows.select(*columns), *PARTS).write.mode("overwrite")
+        writer = tables.together(rows.select(*self._columns()), *PARTS).write.mode("overwrite")
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*PARTS)
         writer.parquet(self.location)
 

@@ -10,8 +10,9 @@ one manifest, so a crash loses none of them.
 
 A change at or below the frontier is out of order and fails its batch (``OutOfOrder``), or,
 with ``late="skip"``, is taken for one that was applied before: a feed read again from the
-start by a new checkpoint. What waits is bounded: ``max_held`` rows, then the batch fails and
-names the lane that lags.
+start by a new checkpoint. A lane that has been silent for ``idle_after`` batches is not waited
+for; should it come back with a change below the frontier, that one is out of order. What waits
+is bounded: beyond ``max_held`` rows the batch fails and names the lane that lags.
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ def advance(
     expected: int | None = None,
     late: str = "fail",
     max_held: int = MAX_HELD,
+    idle_after: int | None = None,
 ) -> tuple[DataFrame, dict]:
     """The changes to apply now, those that waited among them, and the manifest's new fields.
 
@@ -57,7 +59,8 @@ def advance(
         .agg(F.min("seq").alias("low"), F.max("seq").alias("high"), F.count_if(F.col("seq").isNull()).alias("none"))
         .collect()
     )
-    tops = dict(manifest.lanes)
+    tops, heard = dict(manifest.lanes), dict(manifest.lane_seen)
+    turn = max(heard.values(), default=0) + 1
     for row in seen:
         if row["none"]:
             raise OutOfOrder(f"lane {row['lane']} has changes without seq")
@@ -67,15 +70,18 @@ def advance(
                 f"{manifest.applied} are applied"
             )
         tops[row["lane"]] = max(row["high"], tops.get(row["lane"], row["high"]))
+        heard[row["lane"]] = turn
     applied = manifest.applied
     if tops and (expected is None or len(tops) >= expected):
-        level = min(tops.values()) - slack
+        waited_for = [x for lane, x in tops.items() if idle_after is None or turn - heard[lane] <= idle_after]
+        level = min(waited_for or tops.values()) - slack
         applied = level if applied is None else max(applied, level)
     pending = batch if manifest.applied is None else batch.where(F.col("seq") > manifest.applied)
     waited = store.read_held(batch.schema)
     if waited is not None:
         pending = pending.unionByName(waited)
-    return _split(pending, store, manifest, applied, tops, max_held)
+    rows, state = _split(pending, store, manifest, applied, tops, max_held)
+    return rows, {**state, "lane_seen": heard}
 
 
 def _split(
