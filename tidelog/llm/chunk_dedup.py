@@ -40,7 +40,7 @@ MEAN = 24
 MIN_WORDS = 20
 MIN_BYTES = 512
 #: Rows of one digest that a task takes, and digests that are dealt out to several.
-HOT, MAX_HOT = 20_000, 10_000
+HOT, MAX_HOT = 50_000, 10_000
 
 _GEAR = (W.EXACT >> W.U64(40)).astype(np.uint16)
 
@@ -118,11 +118,11 @@ def _spans(part: W.Slice, min_words: int, mean: int):
     return row[first], starts[first] - base, ends[last] - base, W.mix(body + (last - first).astype(W.U64))
 
 
-def spans(docs: DataFrame, min_words: int = MIN_WORDS, mean: int = MEAN) -> DataFrame:
+def spans(docs: DataFrame, min_words: int = MIN_WORDS, mean: int = MEAN, version: Column | None = None) -> DataFrame:
     """``doc_id, version, start, digest``: every span.
 
-    ``version`` is a hash of the text, which tells texts apart that share an id; ``start`` is
-    in bytes. Where a span ends follows from the text.
+    ``version`` (see ``_version``) tells texts apart that share an id; ``start`` is in bytes. Where
+    a span ends follows from the text.
     """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,16 +136,22 @@ def spans(docs: DataFrame, min_words: int = MIN_WORDS, mean: int = MEAN) -> Data
                         names=["doc_id", "version", "start", "digest"],
                     )
 
-    versioned = docs.select("doc_id", "text", _version(F.col("text")).alias("version"))
+    version = F.xxhash64("text") if version is None else version
+    versioned = docs.select("doc_id", "text", version.alias("version"))
     return versioned.mapInArrow(cut, "doc_id long, version long, start int, digest long")
 
 
-def _version(text: Column) -> Column:
-    return F.xxhash64(text)
+def _version(docs: DataFrame) -> Column:
+    """A hash of the text; where no id is NULL or comes twice, ids suffice, and it is a constant."""
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    unique = ids.where("n > 1 or doc_id is null").isEmpty()
+    return F.lit(0).cast("long") if unique else F.xxhash64(F.col("text").cast("string"))
 
 
-def _salted(rows: DataFrame, hot: DataFrame, *place: str) -> DataFrame:
+def _salted(rows: DataFrame, hot: DataFrame | None, *place: str) -> DataFrame:
     """``rows`` with a ``salt`` below the number that their digest's frequency asks for."""
+    if hot is None:
+        return rows
     marked = rows.join(F.broadcast(hot), "digest", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
     if place:
         salt = F.pmod(F.xxhash64(*place), F.col("salts")).cast("int")
@@ -154,23 +160,27 @@ def _salted(rows: DataFrame, hot: DataFrame, *place: str) -> DataFrame:
     return marked.withColumn("salt", salt).drop("salts")
 
 
-def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, mean: int = MEAN) -> DataFrame:
+def repeated_spans(
+    docs: DataFrame, min_words: int = MIN_WORDS, mean: int = MEAN, version: Column | None = None
+) -> DataFrame:
     """``doc_id, version, found``: by document, the spans that occurred before.
 
     ``found`` holds ``start`` in bytes and ``first_id``, the document of the first
     occurrence. Documents without such spans are left out.
     """
-    every = spans(docs, min_words, mean)
+    every = spans(docs, min_words, mean, version)
     often = stored(every.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1"), "often")
     # rows of a frequent digest go to several tasks; which digests are listed changes nothing else
     hot = often.where(F.col("n") >= HOT).orderBy(F.desc("n"), "digest").limit(MAX_HOT)
-    hot = hot.select("digest", F.ceil(F.col("n") / HOT).alias("salts"))
-    keys = ["digest", "salt"]
+    hot = [(r["digest"], -(-r["n"] // HOT)) for r in hot.collect()]
+    hot = docs.sparkSession.createDataFrame(hot, "digest long, salts long") if hot else None
+    keys = ["digest"] if hot is None else ["digest", "salt"]
     met = _salted(every, hot, "doc_id", "version", "start").join(_salted(often.select("digest"), hot), keys)
     met = stored(met, "spans")
     met = met.select(*keys, F.struct("doc_id", "version", "start").alias("at"))
     first = met.groupBy(*keys).agg(F.min("at").alias("kept"), F.max("at").alias("other"))
-    first = first.groupBy("digest").agg(F.min("kept").alias("kept"), F.max("other").alias("other"))
+    if hot is not None:
+        first = first.groupBy("digest").agg(F.min("kept").alias("kept"), F.max("other").alias("other"))
     first = _salted(first.where("kept <> other").drop("other"), hot)
     later = met.join(first, keys).where("at > kept")
     span = F.struct(F.col("at.start").cast("long").alias("start"), F.col("kept.doc_id").alias("first_id"))
@@ -204,9 +214,10 @@ def merged(found: list[dict]) -> list[list]:
 
 def _marked(docs: DataFrame, min_words: int, how: str) -> DataFrame:
     """``docs`` with ``__found``, last, where spans repeat earlier ones."""
-    found = repeated_spans(texts(docs), min_words)
+    own = texts(docs)
+    version = _version(own)
+    found = repeated_spans(own, min_words, version=version)
     found = found.select(*(F.col(c).alias(f"__{c}") for c in ("doc_id", "version", "found")))
-    version = _version(F.col("text").cast("string"))
     same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (version == F.col("__version"))
     return docs.join(found, same, how).drop("__doc_id", "__version")
 
