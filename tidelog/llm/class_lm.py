@@ -2,24 +2,24 @@
 
 ``P(text)`` is the product, over its tokens, of ``P(class | context)`` and
 ``P(word | class)``. The tokens are the words, A-Z lower-cased, and one end. The context is
-the class of the token before; all words outside the ``HEAD`` most frequent are one context,
-as they are too rare to tell what follows them.
+the class of the token before; all words outside the core, the ``CORE`` most frequent, are one
+context, as they are too rare to tell what follows them.
 
 * Word counts cover all training texts; tasks count their words before Spark sums them.
 * Every word of the training texts has one of ``CLASSES`` classes, by exchange. The likelihood of the class
   bigrams is ``sum f(N(c,d)) - sum f(N(c,.)) - sum f(N(.,d))``, ``f(x) = x log x``. The
-  ``SEEDS`` most frequent words are exchanged one by one first. Then the head words are
+  ``SEEDS`` most frequent words are exchanged one by one first. Then the core's words are
   exchanged in rounds: the words before and after each are kept as a table, a row a word; tasks
   score every word in every class against the class matrix (to first order, without
   the word's own share), and half of the words move at a time, until the likelihood settles.
-  The other words, the rare tail, then join the class that their neighbours make likeliest.
+  All other words, the tail, then join the class that their neighbours make likeliest.
 * A word not seen in training has one of ``KINDS`` classes by its length in bytes. How likely
   they are after a context is told by the words seen once.
 * Transitions are smoothed towards class frequencies.
 
-What reaches the driver is bounded: counts and classes of the head, and matrices of classes.
-Tasks look the head up locally; the tail of a text is joined with the tail's classes. Frequent
-words are never shuffled, so no hot word exists in that join.
+What reaches the driver is bounded: counts and classes of the ``HEAD`` most frequent words, and
+matrices of classes. Tasks look the head up locally; other words of a text are joined with the
+tail's classes. Frequent words are never shuffled, so no hot word exists in that join.
 
 Words are told apart by 64-bit hashes. Rows with one id and text are scored as copies of
 one document. NULL text is empty: one end. Texts of any length are read whole. Nothing to learn
@@ -44,7 +44,7 @@ SEEDS, SWEEPS = 512, 6
 #: The exchange ends when a round gains less than this share of the likelihood.
 SETTLED = 1e-4
 KINDS = 16
-HEAD = 1 << 18
+CORE, HEAD = 1 << 15, 1 << 18
 _BUFFER = 1 << 21
 _PRIOR = 20.0
 
@@ -69,6 +69,7 @@ class Model:
 
     head: Head
     own: np.ndarray  # class of each head word
+    symbol: np.ndarray  # what it is as a context: its class, or the tail
     size: np.ndarray  # tokens of each class
     transition: np.ndarray  # log10 P(target | context)
     tokens: int
@@ -150,9 +151,9 @@ def _head(counts: DataFrame, size: int) -> Head:
 
 
 def _contexts(texts: DataFrame, head: Head) -> DataFrame:
-    """``word, near, n``: for each head word the tokens before and after it, and how often.
+    """``word, near, n``: for each word of the core the tokens before and after it, and how often.
 
-    Words are positions in the head; ``near`` is twice such a position (or that of the tail
+    Words are positions in the core; ``near`` is twice such a position (or that of the tail
     or the end, past the last) and 1 for a token before. A row holds at most two entries a word.
     """
     size = len(head.words)
@@ -371,14 +372,34 @@ def head_classes(contexts: DataFrame, head: Head) -> np.ndarray:
         before = now
 
 
-def _tail(texts: DataFrame, head: Head, own: np.ndarray, pairs: np.ndarray) -> DataFrame:
-    """``word, kind, n, class`` of the words outside the head, and ``around, times``: the
-    contexts before and after them, as ``before * CONTEXTS + after``."""
-    shared = texts.sparkSession.sparkContext.broadcast((head.words, own, pairs))
+def _tail(texts: DataFrame, core: Head, own: np.ndarray, pairs: np.ndarray) -> DataFrame:
+    """``word, kind, n, class`` of the words outside the core, and ``around, times``: the
+    contexts before and after them, as ``before * CONTEXTS + after``.
+
+    Each of them is rarer than the whole core, so none is hot.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((core.words, own, pairs))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, own, _ = shared.value
         symbol = _symbols(own)
+        waiting: list[tuple[np.ndarray, ...]] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if waiting:
+                hashes, kinds, around = (np.concatenate(x) for x in zip(*waiting))
+                order = np.lexsort((around, hashes))
+                hashes, kinds, around = hashes[order], kinds[order], around[order]
+                new = np.ones(len(hashes), dtype=bool)
+                new[1:] = (hashes[1:] != hashes[:-1]) | (around[1:] != around[:-1])
+                at = np.flatnonzero(new)
+                times = np.diff(np.append(at, len(hashes)))
+                columns = [hashes[at].view(np.int64), kinds[at].astype(np.int32), around[at].astype(np.int32), times]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c) for c in columns], names=["word", "kind", "around", "times"]
+                )
+                waiting.clear()
+
         for batch in batches:
             for part in W.slices(batch.column("text")):
                 words, hashes, kinds = _tokens(part)
@@ -387,11 +408,14 @@ def _tail(texts: DataFrame, head: Head, own: np.ndarray, pairs: np.ndarray) -> D
                 here = np.arange(len(at)) + words.rows() + 1
                 rare = at < 0
                 around = line[here[rare] - 1] * CONTEXTS + line[here[rare] + 1]
-                columns = [hashes[rare].view(np.int64), kinds[rare].astype(np.int32), around.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["word", "kind", "around"])
+                waiting.append((hashes[rare], kinds[rare], around))
+                if sum(len(x) for x, _, _ in waiting) > _BUFFER:
+                    yield from flush()
+        yield from flush()
 
-    met = texts.select("text").mapInArrow(count, "word long, kind int, around int")
-    met = met.groupBy("word", "around").agg(F.min("kind").alias("kind"), F.count("*").alias("times"))
+    met = texts.select("text").mapInArrow(count, "word long, kind int, around int, times long")
+    # one shuffle, by word, serves both groupings
+    met = met.repartition("word").groupBy("word", "around").agg(F.min("kind").alias("kind"), F.sum("times").alias("times"))
     lists = met.groupBy("word").agg(
         F.min("kind").alias("kind"), F.sum("times").alias("n"), F.collect_list(F.struct("around", "times")).alias("of")
     )
@@ -417,27 +441,27 @@ def _tail(texts: DataFrame, head: Head, own: np.ndarray, pairs: np.ndarray) -> D
 
 def learn(texts: DataFrame, counts: DataFrame) -> tuple[Model, DataFrame | None]:
     """A model of ``texts``, whose ``word_counts`` are ``counts``, and its tail (None: no words)."""
-    head = _head(counts, HEAD)
-    contexts = _contexts(texts, head)
-    own = head_classes(contexts, head)
+    head, core = _head(counts, HEAD), _head(counts, min(CORE, HEAD))
+    contexts = _contexts(texts, core)
+    own = head_classes(contexts, core)
     pairs = _matrix(contexts, own)
     words, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     ends = texts.count()
 
-    # targets after contexts: head words, words seen once by length, and ends
-    symbol, single = _symbols(own), head.n == 1
+    # targets after contexts: words, words seen once by length, and ends
+    symbol, single = _symbols(own), core.n == 1
 
     def targets(row, word, near, side, n):
         seen = side == 1
         once = seen & single[word]
         stop = (side == 0) & (near == len(own) + 1)
         context = np.concatenate([symbol[near[seen]], symbol[near[once]], symbol[word[stop]]])
-        target = np.concatenate([own[word[seen]], CLASSES + 1 + head.kind[word[once]], np.full(stop.sum(), CLASSES)])
+        target = np.concatenate([own[word[seen]], CLASSES + 1 + core.kind[word[once]], np.full(stop.sum(), CLASSES)])
         return context, target, np.concatenate([n[seen], n[once], n[stop]])
 
     after = _summed(contexts, (CONTEXTS, TARGETS), targets)
-    size = np.bincount(own[own < CLASSES], head.n[own < CLASSES], CLASSES)
-    tail = None if head.all else _tail(texts, head, own, pairs)
+    size = np.bincount(own[own < CLASSES], core.n[own < CLASSES], CLASSES)
+    tail = None if core.all else _tail(texts, core, own, pairs)
     if tail is not None:
         each = tail.select("kind", "n", "class", F.explode(F.arrays_zip("around", "times")).alias("a"))
         before, behind = F.expr(f"a.around div {CONTEXTS}"), F.col("a.around") % CONTEXTS
@@ -455,8 +479,18 @@ def learn(texts: DataFrame, counts: DataFrame) -> tuple[Model, DataFrame | None]
     after[END, CLASSES] = ends - after[:, CLASSES].sum()  # texts without words
     share = (after.sum(0) + 1) / (after.sum() + TARGETS)
     transition = (after + _PRIOR * share) / (after.sum(1, keepdims=True) + _PRIOR)
-    model = Model(head, own, np.maximum(size, 1), np.log10(transition), words + ends, types + (ends > 0), ends)
-    return model, tail
+    at = _find(core.words, head.words)
+    inside = at >= 0
+    classes, context = np.zeros(len(at), np.int64), np.full(len(at), TAIL)
+    classes[inside] = context[inside] = own[at[inside]]
+    if not inside.all():
+        # a word as frequent as one of the head is in the head
+        middle = tail.where(F.col("n") >= int(head.n.min())).select("word", "class").toArrow()
+        found = _find(head.words, middle["word"].to_numpy().view(W.U64))
+        classes[found] = middle["class"].to_numpy()
+    return Model(
+        head, classes, context, np.maximum(size, 1), np.log10(transition), words + ends, types + (ends > 0), ends
+    ), tail
 
 
 _SCORED = (
@@ -485,7 +519,7 @@ def _score(own: Model, emission: np.ndarray, batch: pa.RecordBatch, part: W.Slic
     at = _find(own.head.words, hashes)
     seen = at >= 0
     line = _sequence(words, np.where(seen, at, size), size + 1)
-    context = _symbols(own.own)[line]
+    context = _symbols(own.symbol)[line]
     here = np.arange(len(at)) + words.rows() + 1
     before = context[here - 1]
     ends = words.first[1:] + np.arange(docs) + 1  # where each row's end lies in the line
