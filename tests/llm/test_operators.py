@@ -147,7 +147,7 @@ def test_language_model(spark, sf_dir, docs, monkeypatch, head):
 
 
 def tables(texts):
-    """A model, and class and count of every training word by its hash; the head's hashes."""
+    """A model, class and count of every training word by its hash, and its context where not the tail."""
     counts = class_lm.word_counts(texts)
     model, tail = class_lm.learn(texts, counts)
     head = model.head.words.tolist()
@@ -155,7 +155,7 @@ def tables(texts):
     if tail is not None:
         known.update({r.word % 2**64: (r["class"], r.n) for r in tail.collect()})
     assert len(known) == counts.count()
-    return model, known, set(head)
+    return model, known, dict(zip(head, model.symbol.tolist()))
 
 
 def word_hash(word: bytes) -> int:
@@ -174,10 +174,11 @@ def test_word_probabilities_sum_to_one(spark, docs, monkeypatch, head):
     assert all(0 <= c < class_lm.CLASSES for c in share) and all(math.isclose(x, 1) for x in share.values())
 
 
-@pytest.mark.parametrize("head", [class_lm.HEAD, 300])
-def test_score_is_the_sum_over_tokens(spark, docs, monkeypatch, head):
+@pytest.mark.parametrize("core, head", [(class_lm.CORE, class_lm.HEAD), (100, 300)])
+def test_score_is_the_sum_over_tokens(spark, docs, monkeypatch, core, head):
     """100 documents scored token by token with the model's tables."""
     monkeypatch.setattr(class_lm, "HEAD", head)
+    monkeypatch.setattr(class_lm, "CORE", core)
     some = docs[:100]
     frame = spark.createDataFrame(some, "doc_id long, text string")
     train = F.col("doc_id") % 3 != 0
@@ -192,7 +193,7 @@ def test_score_is_the_sum_over_tokens(spark, docs, monkeypatch, head):
                 total += model.transition[context, class_lm.CLASSES + min(len(word), class_lm.KINDS)]
             else:
                 total += model.transition[context, c] + math.log10(n / model.size[c])
-            context = c if h in heads else class_lm.TAIL
+            context = heads.get(h, class_lm.TAIL)
         total += model.transition[context, class_lm.CLASSES]
         assert math.isclose(got[doc_id], total, rel_tol=1e-9)
 
