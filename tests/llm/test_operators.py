@@ -406,3 +406,29 @@ def test_long_texts_are_hashed_in_segments(monkeypatch):
     parts = [W.span_hashes(p.data, w.start, w.end) for p in W.slices(text) for w in [W.find_words(p)]]
     assert len(parts) > len(whole) and np.array_equal(np.concatenate(whole), np.concatenate(parts))
     assert whole[0][0] == whole[0][-1]
+
+
+def test_toxicity_learns_in_bounded_driver_memory(spark, monkeypatch):
+    """The driver holds a few dozen bytes a term of the sample beside its buckets, and the order of rows is nothing to it."""
+    import tracemalloc
+
+    from tidelog.llm import toxicity
+
+    monkeypatch.setattr(toxicity, "EPOCHS", 2)
+    monkeypatch.setattr(toxicity, "BATCH", 400)
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{i}" for i in rng.choice(3_000, 700, replace=False)) for _ in range(800)]
+    rows = [(f"{'insult' if i % 2 else 'kind'} {text}", i % 2) for i, text in enumerate(texts)]
+    machines, peaks = [], []
+    for given in (rows, rows[::-1]):
+        df = spark.createDataFrame(given, "text string, label int")
+        tracemalloc.start()
+        try:
+            machines.append(toxicity.learn(df))
+            peaks.append(tracemalloc.get_traced_memory()[1])
+        finally:
+            tracemalloc.stop()
+    terms = sum(len(text.split()) for text, _ in rows)
+    assert max(peaks) < 30 * terms + 100 * (1 << 18)
+    one, other = machines
+    assert one.bias == other.bias and np.array_equal(one.weight, other.weight) and np.array_equal(one.factor, other.factor)

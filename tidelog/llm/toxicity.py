@@ -23,7 +23,7 @@ repeated rows are learned and scored as often as they come.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,6 +44,7 @@ EPOCHS = 30
 BATCH = 32
 RATE = 0.2
 SEED = 7
+RUN = 1 << 18
 
 
 def _terms(part: W.Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +98,7 @@ class _Sample:
     def __post_init__(self):
         share = min(max(self.label.mean(), 1e-9), 1 - 1e-9)
         self.heavier = np.where(self.label == 1, 0.5 / share, 0.5 / (1 - share))
-        self.bounds = np.searchsorted(self.rows, np.arange(len(self.label) + 1))
+        self.bounds = np.searchsorted(self.rows, np.arange(len(self.label) + 1, dtype=self.rows.dtype))
 
     def of(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Position in ``chosen`` and bucket of every term of some texts."""
@@ -112,7 +113,7 @@ class _Sample:
 
     def part(self, chosen: np.ndarray) -> _Sample:
         """Some of the texts, as a sample."""
-        place = np.cumsum(chosen) - 1
+        place = np.cumsum(chosen, dtype=self.rows.dtype) - 1
         mine = chosen[self.rows]
         return _Sample(place[self.rows[mine]], self.at[mine], self.label[chosen])
 
@@ -122,15 +123,27 @@ class _Sample:
         return own, term, (_sigmoid(raw) - self.label[chosen]) * self.heavier[chosen], sums
 
 
+def _runs(bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about ``RUN`` terms each."""
+    low, n = 0, len(bounds) - 1
+    while low < n:
+        high = int(np.searchsorted(bounds, bounds[low] + RUN, "right")) - 1
+        high = min(max(high, low + 1), n)
+        yield low, high
+        low = high
+
+
+def _each(of: Callable[[np.ndarray], np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """A function of an array's rows, by ``RUN`` of them."""
+    return np.concatenate([of(rows[low : low + RUN]) for low in range(0, max(1, len(rows)), RUN)])
+
+
 def _moving(sample: _Sample, machine: tuple, weights: bool) -> np.ndarray:
     """Buckets whose slopes chance does not explain: of their factors, and of their ``weights``."""
     terms = len(machine[1])
     slope, met = np.zeros(terms), np.zeros(terms)
     slopes, noise = np.zeros((terms, FACTORS)), np.zeros(terms)
-    low = 0
-    while low < len(sample.label):
-        high = int(np.searchsorted(sample.bounds, sample.bounds[low] + (1 << 18), "right")) - 1
-        high = min(max(high, low + 1), len(sample.label))
+    for low, high in _runs(sample.bounds):
         own, term, error, sums = sample.errors(machine, np.arange(low, high))
         slope += np.bincount(term, error[own], terms)
         met += np.bincount(term, minlength=terms)
@@ -138,8 +151,7 @@ def _moving(sample: _Sample, machine: tuple, weights: bool) -> np.ndarray:
             each = error[own] * (sums[own, k] - machine[2][term, k])
             slopes[:, k] += np.bincount(term, each, terms)
             noise += np.bincount(term, each * each, terms)
-        low = high
-    out = (slopes**2).sum(1) > SURE_PAIR**2 * np.maximum(noise, 1e-12)
+    out = _each(lambda s: (s**2).sum(1), slopes) > SURE_PAIR**2 * np.maximum(noise, 1e-12)
     if weights:  # of a machine at rest the errors depend on the label alone
         share = sample.label.mean()
         spread = 1 / (16 * share) + 1 / (16 * (1 - share))
@@ -151,13 +163,19 @@ def _fit(sample: _Sample, terms: int) -> tuple[float, np.ndarray, np.ndarray]:
     rng = np.random.default_rng(SEED)
     bias, weight = 0.0, np.zeros(terms)
     factor = rng.normal(0, 0.02, (terms, FACTORS))
-    seen_w, seen_v = np.full(terms, 1e-6), np.full((terms, FACTORS), 1e-6)
+    seen_w = np.full(terms, 1e-6)
     open_ = _moving(sample, (bias, weight, factor), True)
     own_sample = sample.only(open_)
+    # only moving buckets have steps to remember
+    at_v, seen_v = np.cumsum(open_) - 1, np.full((open_.sum(), FACTORS), 1e-6)
     for epoch in range(EPOCHS):
         if epoch == EPOCHS // 2:
+            was = open_.copy()
             open_ |= _moving(sample, (bias, weight, factor), False)
             own_sample = sample.only(open_)
+            at_v, before = np.cumsum(open_) - 1, seen_v
+            seen_v = np.full((open_.sum(), FACTORS), 1e-6)
+            seen_v[at_v[was]] = before
         order = rng.permutation(len(sample.label))
         rate = RATE / (1 + 0.1 * (epoch % (EPOCHS // 2)))
         for low in range(0, len(order), BATCH):
@@ -173,10 +191,12 @@ def _fit(sample: _Sample, terms: int) -> tuple[float, np.ndarray, np.ndarray]:
                 slope = error[own] * (sums[own, k] - factor[term, k])
                 steps[:, k] = np.bincount(index, slope, len(touched))
             steps += 2e-3 * factor[touched]
-            seen_v[touched] += steps**2
+            met = at_v[touched]
+            seen_v[met] += steps**2
             weight[touched] -= rate * step / np.sqrt(seen_w[touched])
-            factor[touched] -= rate * steps / np.sqrt(seen_v[touched])
-    return bias, weight, np.where(open_[:, None], factor, 0.0)
+            factor[touched] -= rate * steps / np.sqrt(seen_v[met])
+    factor[~open_] = 0.0
+    return bias, weight, factor
 
 
 def _shift(sample: _Sample, terms: int) -> float:
@@ -253,29 +273,44 @@ def learn(labelled: DataFrame, sample: int = SAMPLE, pairs: int = PAIRS) -> Mach
     if not 0 < ones < total:
         share = min(max(ones / total, 1e-6), 1 - 1e-6) if total else 0.5
         return Machine(feature, float(np.log(share / (1 - share))), np.zeros(1), np.zeros((1, FACTORS)))
-    table = found.toArrow()
-    label = table["label"].to_numpy().astype(float)
-    lists = table["terms"].combine_chunks()
-    buckets, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
-    known, at = np.unique(buckets, return_inverse=True)
-    rows_of = np.repeat(np.arange(len(label)), sizes)
-    drawn = _Sample(*_ordered(rows_of, at, label))
+    drawn, known = _ordered(found.toArrow())
     bias, weight, factor = _fit(drawn, len(known))
-    bias += _shift(drawn, len(known))
     moved = (weight != 0) | (factor != 0).any(1)
     feature[known[moved]] = np.arange(moved.sum())
-    return Machine(feature, bias, weight[moved], factor[moved])
+    weight, factor = weight[moved], factor[moved]
+    bias += _shift(drawn, len(known))
+    return Machine(feature, bias, weight, factor)
 
 
-def _ordered(rows: np.ndarray, at: np.ndarray, label: np.ndarray):
-    """The sample in an order that does not depend on how its rows arrive."""
-    mark = np.bincount(rows, (W.mix(at.astype(W.U64)) >> W.U64(20)).astype(float), len(label))
+def _ordered(table: pa.Table) -> tuple[_Sample, np.ndarray]:
+    """The sample, in an order that does not depend on how its rows arrive, and its buckets.
+
+    Terms are numbered by their buckets, which ascend in every text, and texts are moved as
+    they are: beside the table this holds 12 bytes a term.
+    """
+    label = table["label"].to_numpy().astype(float)
+    met = np.zeros(1 << BITS, dtype=bool)
+    for lists in table["terms"].chunks:
+        met[lists.flatten().to_numpy()] = True
+    number = np.cumsum(met, dtype=np.int32) - np.int32(1)
+    sizes = np.concatenate([lists.value_lengths().to_numpy() for lists in table["terms"].chunks])
+    at = np.concatenate([number[lists.flatten().to_numpy()] for lists in table["terms"].chunks])
+    bounds = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    mark = np.zeros(len(label))
+    for low, high in _runs(bounds):
+        own = np.repeat(np.arange(high - low), sizes[low:high])
+        marks = W.mix(at[bounds[low] : bounds[high]].astype(W.U64)) >> W.U64(20)
+        mark[low:high] = np.bincount(own, marks.astype(float), high - low)
     order = np.lexsort((mark, label))
-    place = np.empty(len(order), dtype=np.int64)
-    place[order] = np.arange(len(order))
-    moved = place[rows]
-    by = np.lexsort((at, moved))
-    return moved[by], at[by], label[order]
+    moved = np.empty_like(at)
+    ends = np.cumsum(sizes[order], dtype=np.int64)
+    for low, high in _runs(np.concatenate([[0], ends])):
+        chosen = order[low:high]
+        begin = np.repeat(bounds[chosen] - (ends[low:high] - sizes[chosen]), sizes[chosen])
+        first, last = ends[low] - sizes[chosen[0]], ends[high - 1]
+        moved[first:last] = at[begin + np.arange(first, last)]
+    rows = np.repeat(np.arange(len(label), dtype=np.int32), sizes[order])
+    return _Sample(rows, moved, label[order]), np.flatnonzero(met)
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
