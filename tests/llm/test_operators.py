@@ -432,3 +432,29 @@ def test_toxicity_learns_in_bounded_driver_memory(spark, monkeypatch):
     assert max(peaks) < 30 * terms + 100 * (1 << 18)
     one, other = machines
     assert one.bias == other.bias and np.array_equal(one.weight, other.weight) and np.array_equal(one.factor, other.factor)
+
+
+def test_language_counts_in_bounded_memory():
+    """N-grams are counted as they come, however many texts a batch holds."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice(["river", "stone", "winter", "apple"]) for _ in range(300)) for _ in range(2_500)]
+    langs = ["en" if i % 3 else "de" for i in range(len(texts))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(langs)], names=["text", "lang"])
+    next(language.grams("warm"))
+    tracemalloc.start()
+    try:
+        got = [r for out in language._counted([batch]) for r in out.to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    want = defaultdict(int)
+    for text, lang in zip(texts, langs):
+        for part in language.grams(text):
+            for gram in part.view(np.int64).tolist():
+                want[lang, gram] += 1
+    assert {(r["lang"], r["gram"]): r["n"] for r in got} == want
+    assert sum(want.values()) > 4 * language.SEGMENT and peak < 64 * language.SEGMENT

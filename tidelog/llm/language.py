@@ -150,24 +150,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, keep: int = GRAMS, most: int =
     # copies of a chosen text meet in its task before one of them is moved
     rows = chosen.groupBy("lang", "hash").agg(F.min("text").alias("text")).select("lang", "text")
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        for batch in batches:
-            by: dict[str, list[np.ndarray]] = {}
-            for text, lang in zip(batch.column("text"), batch.column("lang")):
-                by.setdefault(lang.as_py(), []).extend(grams(text.as_py()))
-            for lang, found in by.items():
-                if not found:
-                    continue
-                values, n = np.unique(np.concatenate(found), return_counts=True)
-                totals[lang] = _add(totals.get(lang), values, n)
-        for lang, (values, n) in totals.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(values)), pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))],
-                names=["lang", "gram", "n"],
-            )
-
-    counted = rows.mapInArrow(count, "lang string, gram long, n long")
+    counted = rows.mapInArrow(_counted, "lang string, gram long, n long")
     counted = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     by_lang = counted.groupBy("lang").agg(F.sum("n").alias("total"), F.count_if(F.col("n") > 1).alias("again"))
     rate = counted.join(F.broadcast(by_lang), "lang").withColumn("rate", F.col("n") / F.col("total"))
@@ -192,6 +175,34 @@ def learn(docs: DataFrame, sample: int = SAMPLE, keep: int = GRAMS, most: int =
     return Filters(languages, slots, fill)
 
 
+def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each n-gram occurs in the texts of a language; ``SEGMENT`` of them wait to be counted."""
+    totals: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    waiting: dict[str, list[np.ndarray]] = {}
+    held = 0
+
+    def settle() -> None:
+        for lang, found in waiting.items():
+            values, n = np.unique(np.concatenate(found), return_counts=True)
+            totals[lang] = _add(totals.get(lang), values, n)
+        waiting.clear()
+
+    for batch in batches:
+        for text, lang in zip(batch.column("text"), batch.column("lang")):
+            for part in grams(text.as_py()):
+                waiting.setdefault(lang.as_py(), []).append(part)
+                held += len(part)
+                if held >= SEGMENT:
+                    settle()
+                    held = 0
+    settle()
+    for lang, (values, n) in totals.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(values)), pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))],
+            names=["lang", "gram", "n"],
+        )
+
+
 def _width(n: int) -> type:
     return np.uint8 if n <= 8 else np.uint16 if n <= 16 else np.uint32 if n <= 32 else np.uint64
 
