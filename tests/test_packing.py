@@ -1,6 +1,7 @@
 """Packing landed text files."""
 
 import math
+import pathlib
 from collections import Counter
 
 import pytest
@@ -109,3 +110,14 @@ def test_a_packer_that_dies_or_races_changes_nothing(spark, folder, monkeypatch)
 def test_nothing_landed(spark, folder):
     assert packing.pack(spark, f"{folder}/landed", f"{folder}/files") == 0
     assert packing.read_packed(spark, f"{folder}/landed", f"{folder}/files").collect() == []
+
+
+def test_a_task_writes_many_files(spark, folder):
+    """Tasks of the rewrite follow what they are given, not how many files come of it."""
+    land(spark, folder, [(i % 3, f"{i:05d}") for i in range(6_000)], 3)
+    made = packing.pack(spark, f"{folder}/landed", f"{folder}/files", 60)
+    path = f"{folder}/files/packed/run=000000000/data".removeprefix("file://")
+    written = list(pathlib.Path(path).rglob("part-*.txt"))
+    tasks = {file.name.split("-")[1] for file in written}
+    assert made == len(written) == 600 and len(tasks) <= spark.sparkContext.defaultParallelism
+    assert state(spark, folder)[2] == Counter((f"{i:05d}", bucket(i % 3)) for i in range(6_000))

@@ -3,8 +3,8 @@
 A stream lands an hour of lines in as many files as it had tasks and batches. ``pack``
 rewrites the lines of every folder into ``ceil(bytes / cap)`` files of near equal size: files,
 in order of their names, are laid end to end and cut into that many ranges; a file goes where
-its middle lies, and a file longer than a range is cut between lines. Each range is written by one
-task as one file. Sizes come from listings; contents are read once, by the rewrite.
+its middle lies, and a file longer than a range is cut between lines. Each range is written as one
+file; a task writes as many as ``SHARE`` bytes or ``FILES`` files hold. Sizes come from listings; contents are read once, by the rewrite.
 
 A run writes into a folder of its own and publishes it by one rename; what it covers, the
 files it read, is listed in it. Live files are those that no published run covers, so readers
@@ -28,6 +28,9 @@ from tidelog.session import empty_frame
 #: Bytes of a packed file; a range of lines ends at the line that passes its share.
 CAP = 1 << 30
 
+#: What a task of the rewrite is given, about: files to write, and bytes of lines.
+FILES, SHARE = 1_000, 128 << 20
+
 _FILES = "file string, bytes long, root string, bucket string"
 _LINES = "value string, bucket string"
 
@@ -98,7 +101,8 @@ def pack(spark: SparkSession, landed: str, path: str, cap: int = CAP) -> int:
     plan = planned.withColumn("bins", bins).where(F.col("files") != F.col("bins"))
     plan.write.parquet(f"{folder}/plan")
     plan = spark.read.schema(plan.schema).parquet(f"{folder}/plan")
-    made = plan.groupBy("bucket").agg(F.first("bins").alias("bins")).agg(F.sum("bins")).first()[0]
+    folders = plan.groupBy("bucket").agg(F.first("bins").alias("bins"), F.first("total").alias("total"))
+    made, held = folders.agg(F.sum("bins"), F.sum("total")).first()
     if not made:
         storage.delete_folder(spark, folder)
         return 0
@@ -115,7 +119,8 @@ def pack(spark: SparkSession, landed: str, path: str, cap: int = CAP) -> int:
     cut = small.unionByName(large)
     part = F.least(F.floor(F.col("middle") / share), F.col("bins") - 1).cast("int")
     cut = cut.select("value", "bucket", part.alias("bin"), "file", "place")
-    dealt = cut.repartition(int(min(made, 100_000)), "bucket", "bin").sortWithinPartitions("bucket", "bin", "file", "place")
+    tasks = min(made, max(spark.sparkContext.defaultParallelism, -(-made // FILES), -(-held // SHARE)))
+    dealt = cut.repartition(int(tasks), "bucket", "bin").sortWithinPartitions("bucket", "bin", "file", "place")
     dealt.select("value", "bucket", "bin").write.partitionBy("bucket", "bin").text(f"{folder}/data")
     storage.rename(spark, folder, f"{path}/packed/run={number:09d}")
     return int(made)
