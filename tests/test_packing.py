@@ -4,6 +4,7 @@ import math
 import pathlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,3 +122,65 @@ def test_a_task_writes_many_files(spark, folder):
     tasks = {file.name.split("-")[1] for file in written}
     assert made == len(written) == 600 and len(tasks) <= spark.sparkContext.defaultParallelism
     assert state(spark, folder)[2] == Counter((f"{i:05d}", bucket(i % 3)) for i in range(6_000))
+
+
+def test_packed_files_lie_side_by_side(spark, folder):
+    """On a mounted folder a packed file costs one file: no folder, no checksum file of its own."""
+    land(spark, folder, [(i % 2, f"{i:05d}") for i in range(400)], 2)
+    made = packing.pack(spark, f"{folder}/landed", f"{folder}/files", 100)
+    data = pathlib.Path(f"{folder}/files/packed/run=000000000/data".removeprefix("file://"))
+    found = list(data.rglob("*"))
+    assert {p.name for p in found if p.is_dir()} == {f"bucket={bucket(0)}", f"bucket={bucket(1)}"}
+    assert len([p for p in found if p.is_file()]) == made == 24
+
+
+def test_files_count_by_what_their_run_tells(spark, folder):
+    """What a failed task left among the packed files is not live; a packed file cut short fails its readers."""
+    rows = [(1, f"line {i}") for i in range(60)]
+    land(spark, folder, rows, 5)
+    assert packing.pack(spark, f"{folder}/landed", f"{folder}/files", 200) == 3
+    before = state(spark, folder)
+    data = pathlib.Path(f"{folder}/files/packed/run=000000000/data/bucket={bucket(1)}".removeprefix("file://"))
+    packed = sorted(data.iterdir())
+    (data / "part-00000-left-000001.txt").write_text("line 1\nli")
+    assert state(spark, folder) == before and before[2] == Counter((text, bucket(hour)) for hour, text in rows)
+    packed[0].write_bytes(packed[0].read_bytes()[:-3])
+    with pytest.raises(Exception, match="instead of"):
+        packing.read_packed(spark, f"{folder}/landed", f"{folder}/files").collect()
+
+
+@pytest.mark.parametrize("spark_first", [True, False])
+def test_runs_that_spark_wrote(spark, folder, monkeypatch, spark_first):
+    """Away from mounted folders Spark writes the packed files; either kind of run goes on from the other."""
+    landed, path = f"{folder}/landed", f"{folder}/files"
+    want, mounted = Counter(), packing._mounted
+    for turn in range(2):
+        rows = [(i % 2, f"{turn} {i:03d}") for i in range(100)]
+        land(spark, folder, rows, 3)
+        want += Counter((text, bucket(hour)) for hour, text in rows)
+        monkeypatch.setattr(packing, "_mounted", (lambda *_: False) if (turn == 0) == spark_first else mounted)
+        packing.pack(spark, landed, path, 150)
+        files, sizes, lines = state(spark, folder)
+        assert lines == want and files == {b: math.ceil(n / 150) for b, n in sizes.items()}
+        assert storage.exists(spark, f"{path}/packed/run={turn:09d}/files") == ((turn == 0) != spark_first)
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 1_000])
+def test_pieces_hold_every_line_once(tmp_path, piece):
+    """Lines that begin in a piece are its own, to their end, however many pieces that lies in."""
+    for n, text in enumerate(["", "\n", "\n\n", "ab\n\ncdefghij\nk\n", "one line without an end", "ä\nöü", "\n" * 9 + "z" * 30 + "\n"]):
+        (tmp_path / f"{n} a.txt").write_text(text, "utf-8")
+        size = len(text.encode())
+        starts = list(range(0, size, piece))
+        rows = pa.RecordBatch.from_pydict(
+            {
+                "file": [f"file://{tmp_path}/{n}%20a.txt"] * len(starts),
+                "start": starts,
+                "stop": [min(s + piece, size) for s in starts],
+                "bytes": [size] * len(starts),
+            }
+        )
+        out = pa.Table.from_batches(packing._reader(f"file://{tmp_path}")([rows])) if starts else None
+        got = out.sort_by("place").column("value").to_pylist() if out else []
+        assert got == text.removesuffix("\n").split("\n")[: None if text else 0]
+        assert not out or len(set(out.column("place").to_pylist())) == len(got)

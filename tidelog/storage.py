@@ -24,6 +24,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def uri(spark: SparkSession, path: str) -> str:
+    """A path as file listings write it: with its scheme, special characters escaped."""
+    _, fs, p = _fs(spark, path)
+    whole = fs.makeQualified(p).toUri()
+    authority = whole.getRawAuthority()
+    return f"{whole.getScheme()}:{f'//{authority}' if authority else ''}{whole.getRawPath()}"
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     _, fs, p = _fs(spark, path)
     if not fs.exists(p):
