@@ -31,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow.fs import FileSystem
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,8 +41,8 @@ from tidelog.session import empty_frame
 #: Bytes of a packed file; a range of lines ends at the line that passes its share.
 CAP = 1 << 30
 
-#: What a task of the rewrite is given, about: files to write, and bytes of lines.
-FILES, SHARE = 1_000, 128 << 20
+#: What a task is given, about: files to read or write, and bytes of lines.
+FILES, SHARE = 4_000, 128 << 20
 
 #: Bytes of a packed file that a task reads at once, and lines it hands on at once.
 PIECE, ROWS = 16 << 20, 50_000
@@ -65,15 +65,20 @@ def _mounted(spark: SparkSession, path: str) -> bool:
     return storage.uri(spark, path).startswith("file:")
 
 
+def _bucket(file: Column) -> Column:
+    return F.regexp_extract(file, "/bucket=([^/]*)/", 1)
+
+
 def _list(spark: SparkSession, folder: str) -> DataFrame:
     """The files below a folder: name, length, bucket; their contents are not read."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt")
     listed = reader.option("recursiveFileLookup", "true").load(folder)
     file = F.col("_metadata.file_path")
-    bucket = F.regexp_extract(file, "/bucket=([^/]*)/", 1)
-    return listed.select(
-        file.alias("file"), F.col("_metadata.file_size").alias("bytes"), F.lit(folder).alias("root"), bucket.alias("bucket")
+    names = listed.select(
+        file.alias("file"), F.col("_metadata.file_size").alias("bytes"), F.lit(folder).alias("root"), _bucket(file).alias("bucket")
     )
+    # Spark gives a task a handful of files, as if it read them
+    return names.coalesce(spark.sparkContext.defaultParallelism)
 
 
 def _written(spark: SparkSession, run: str) -> DataFrame:
@@ -86,16 +91,24 @@ def _written(spark: SparkSession, run: str) -> DataFrame:
     return told.select(file.alias("file"), "bytes", F.lit(data).alias("root"), "bucket")
 
 
-def live_files(spark: SparkSession, landed: str, path: str) -> DataFrame:
-    """``file, bytes, bucket`` of the files that hold every line once."""
+def _live(spark: SparkSession, landed: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """The landed and the packed files that hold every line once."""
+    nothing = empty_frame(spark, T.StructType.fromDDL(_FILES))
+    files = _list(spark, landed) if storage.exists(spark, landed) else nothing
     runs = _runs(spark, path)
-    files = _list(spark, landed) if storage.exists(spark, landed) else empty_frame(spark, T.StructType.fromDDL(_FILES))
     if not runs:
-        return files
+        return files, nothing
+    packed = nothing
     for run in runs:
-        files = files.unionByName(_written(spark, run))
+        packed = packed.unionByName(_written(spark, run))
     covered = spark.read.schema("file string").parquet(*[f"{run}/covers" for run in runs])
-    return files.join(covered, "file", "left_anti")
+    return files.join(covered, "file", "left_anti"), packed.join(covered, "file", "left_anti")
+
+
+def live_files(spark: SparkSession, landed: str, path: str) -> DataFrame:
+    """``file, bytes, bucket`` of the files that hold every line once."""
+    files, packed = _live(spark, landed, path)
+    return files.unionByName(packed)
 
 
 def _tasks(spark: SparkSession, files: int, held: int) -> int:
@@ -197,38 +210,49 @@ def _told(files: list[list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["file", "bytes", "bucket"])
 
 
-def _lines(spark: SparkSession, files: DataFrame, landed: str, path: str) -> DataFrame:
-    """The lines of some files with their columns; ``place`` orders them inside a file."""
-    places = files.groupBy("root", "bucket").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes")).collect()
-    mounted = _mounted(spark, path)
+def _lines_by_folder(spark: SparkSession, files: DataFrame) -> DataFrame | None:
+    """The lines of some files as Spark reads them, if there are any."""
     places = files.groupBy("root", "bucket").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes")).collect()
-    by_spark = [r for r in places if r["root"] == landed or not mounted]
-    by_name = [r for r in places if r["root"] != landed and mounted]
-    parts = []
-    if by_spark:
-        # only the folders that hold such files are read
-        whole = {r["root"] for r in by_spark if not r["bucket"]}
-        folders = {f"{r['root']}/bucket={unquote(r['bucket'])}" for r in by_spark if r["root"] not in whole}
-        text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt")
-        lines = text.schema("value string").text(sorted(whole | folders))
-        file = F.col("_metadata.file_path").alias("file")
-        parts.append(lines.select("value", file, F.monotonically_increasing_id().alias("place")).join(files, "file"))
-    if by_name:
-        starts = F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(PIECE).cast("long"))
-        pieces = files.where((F.col("root") != landed) & (F.col("bytes") > 0)).withColumn("start", F.explode(starts))
-        pieces = pieces.withColumn("stop", F.least(F.col("start") + PIECE, "bytes"))
-        tasks = _tasks(spark, sum(r["files"] for r in by_name), sum(r["bytes"] for r in by_name))
-        schema = T.StructType([*pieces.schema.fields, *T.StructType.fromDDL(_LINE).fields])
-        dealt = pieces.repartition(tasks, "file", "start")
-        parts.append(dealt.mapInArrow(_reader(storage.uri(spark, path)), schema).drop("start", "stop"))
-    if not parts:
+    if not places:
+        return None
+    text = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt")
+    found = text.schema("value string").text(sorted({r["root"] for r in places}))
+    file = F.col("_metadata.file_path")
+    # only the folders that hold such files are read
+    found = found.where(_bucket(file).isin(sorted({r["bucket"] for r in places})))
+    lines = found.select("value", file.alias("file"), F.monotonically_increasing_id().alias("place"))
+    tasks = _tasks(spark, sum(r["files"] for r in places), sum(r["bytes"] for r in places))
+    return lines.coalesce(tasks).join(files, "file")
+
+
+def _lines_by_name(spark: SparkSession, files: DataFrame, path: str) -> DataFrame | None:
+    """The lines of some files below ``path``, if there are any."""
+    files = files.where("bytes > 0")
+    number, held = files.agg(F.count("*"), F.sum("bytes")).first()
+    if not number:
+        return None
+    starts = F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(PIECE).cast("long"))
+    pieces = files.withColumn("start", F.explode(starts)).withColumn("stop", F.least(F.col("start") + PIECE, "bytes"))
+    schema = T.StructType([*pieces.schema.fields, *T.StructType.fromDDL(_LINE).fields])
+    dealt = pieces.repartition(_tasks(spark, number, held), "file", "start")
+    return dealt.mapInArrow(_reader(storage.uri(spark, path)), schema).drop("start", "stop")
+
+
+def _lines(spark: SparkSession, files: DataFrame, packed: DataFrame, path: str) -> DataFrame:
+    """The lines of some landed and packed files with their columns; ``place`` orders them inside a file."""
+    if _mounted(spark, path):
+        found = [_lines_by_folder(spark, files), _lines_by_name(spark, packed, path)]
+    else:
+        found = [_lines_by_folder(spark, files.unionByName(packed))]
+    found = [lines for lines in found if lines is not None]
+    if not found:
         return empty_frame(spark, T.StructType([*files.schema.fields, *T.StructType.fromDDL(_LINE).fields]))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
 def read_packed(spark: SparkSession, landed: str, path: str) -> DataFrame:
     """``value, bucket``: every line that has been landed, once, packed or not."""
-    return _lines(spark, live_files(spark, landed, path), landed, path).select("value", "bucket")
+    return _lines(spark, *_live(spark, landed, path), path).select("value", "bucket")
 
 
 def pack(spark: SparkSession, landed: str, path: str, cap: int = CAP) -> int:
@@ -258,13 +282,16 @@ def pack(spark: SparkSession, landed: str, path: str, cap: int = CAP) -> int:
         return 0
     plan.select("file").write.parquet(f"{folder}/covers")
     share = F.col("total") / F.col("bins")
+
+    def lines(of: Column) -> DataFrame:
+        by_stream = F.col("root") == landed
+        return _lines(spark, plan.where(of & by_stream), plan.where(of & ~by_stream), path)
+
     # only files longer than a share are laid out line by line
-    small = _lines(spark, plan.where(F.col("bytes") <= share), landed, path)
-    small = small.withColumn("middle", F.col("offset") + F.col("bytes") / 2)
+    small = lines(F.col("bytes") <= share).withColumn("middle", F.col("offset") + F.col("bytes") / 2)
     size = F.octet_length("value") + 1
     upto = F.sum(size).over(Window.partitionBy("file").orderBy("place")) - size / 2
-    large = _lines(spark, plan.where(F.col("bytes") > share), landed, path)
-    large = large.withColumn("middle", F.col("offset") + upto)
+    large = lines(F.col("bytes") > share).withColumn("middle", F.col("offset") + upto)
     cut = small.unionByName(large)
     part = F.least(F.floor(F.col("middle") / share), F.col("bins") - 1).cast("int")
     cut = cut.select("value", "bucket", part.alias("bin"), "file", "place")
